@@ -7,6 +7,7 @@ series) once per call, lazily.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import cached_property
 
@@ -31,6 +32,19 @@ from shelfwise.plans.consolidate import (
     sales_calendar,
 )
 from shelfwise.sources import fixtures as FX
+from shelfwise.sources.sinks import stage_table
+
+
+def _input_key(root: str) -> str:
+    """Folder plus size and mtime of each input file, when the folder is local."""
+    parts = [root]
+    for name in ("lineitem", "part", "supplier", "nation", "region", "orders"):
+        try:
+            st = os.stat(f"{root.rstrip('/')}/{name}.parquet")
+            parts.append(f"{name}:{st.st_size}:{st.st_mtime_ns}")
+        except OSError:
+            parts.append(name)
+    return "|".join(parts)
 
 
 class Context:
@@ -47,9 +61,15 @@ class Context:
         i = self.inputs
         return consolidate(i["train"], i["stores"], i["transactions"], i["oil"], i["holidays_events"])
 
-    @property
+    @cached_property
     def fact(self) -> DataFrame:
-        return self.consolidated.fact
+        """The consolidated fact, written once per application as a stage table.
+
+        Every analysis starts from this Parquet scan (pruned to its columns), as the
+        reference's analyses start from its consolidated file; the joins, guards and
+        gap fill run once, not once per analysis and subquery.
+        """
+        return stage_table(self.consolidated.fact, "fact", _input_key(self.t.root), sort_by=["date"])
 
     @cached_property
     def monthly(self) -> DataFrame:

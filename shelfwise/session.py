@@ -43,7 +43,8 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**REQUIRED_CONF, **PERFORMANCE_CONF, "spark.ui.enabled": "false"}
+    conf = {**REQUIRED_CONF, **PERFORMANCE_CONF, "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false"}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:

@@ -267,7 +267,7 @@ def _cleaning_metrics() -> str:
         v, cols = VIEW_OF[ds], INPUT_COLUMNS[ds]
         nulls = " + ".join(f"(count(*) - count({c}))" for c, _ in cols)
         dates = [c for c, t in cols if t == "date"]
-        after = " + ".join(f"(count(*) - count({c}))" for c in dates) or "0"
+        after = " + ".join(f"(count(*) - count({c}))" for c in dates) or "count(*) * 0"
         parts.append(
             f"select '{ds}' as dataset, cast(count(*) as bigint) as filas_originales, "
             f"cast((select count(*) from (select distinct * from {v}) d) as bigint) as filas_finales, "
