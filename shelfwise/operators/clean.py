@@ -27,7 +27,7 @@ def parse_date_quarantine(
     df: DataFrame, column: str = "date", fmt: str = "yyyy-MM-dd"
 ) -> tuple[DataFrame, DataFrame]:
     """Lenient variant: ``(good rows parsed, bad rows as text)`` instead of failing."""
-    parsed = F.try_to_date(F.col(column), F.lit(fmt))
+    parsed = F.try_to_date(F.col(column), fmt)
     bad = df.where(F.col(column).isNotNull() & parsed.isNull())
     good = df.where(F.col(column).isNull() | parsed.isNotNull()).withColumn(column, parsed)
     return good, bad
@@ -161,13 +161,25 @@ def clean_table(df: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame, Data
     unique = dedup(parsed)
     clean, log = impute(unique, dataset)
     rows_before = parsed.agg(F.count(F.lit(1))).scalar()
-    rows_after = unique.agg(F.count(F.lit(1))).scalar()
+    # A null survives imputation only in a column that is never imputed (dates) or in
+    # a column with no value at all; so the count after needs no imputed values.
+    numeric, other = _imputable(unique)
+    imputable = set(numeric + other)
+    left_after = [
+        F.count_if(F.col(c).isNull()) if c not in imputable
+        else F.when(F.count(F.col(c)) == 0, F.count(F.lit(1))).otherwise(F.lit(0))
+        for c in unique.columns
+    ]
+    after = unique.agg(
+        F.count(F.lit(1)).alias("rows"),
+        sum(left_after, F.lit(0)).cast("bigint").alias("nulls"),
+    )
     metrics = total_nulls(parsed).select(
         F.lit(dataset).alias("dataset"),
         rows_before.cast("bigint").alias("filas_originales"),
-        rows_after.cast("bigint").alias("filas_finales"),
-        (rows_before - rows_after).cast("bigint").alias("duplicados_eliminados"),
+        after.select("rows").scalar().cast("bigint").alias("filas_finales"),
+        (rows_before - after.select("rows").scalar()).cast("bigint").alias("duplicados_eliminados"),
         F.col("nulls").alias("nulos_antes"),
-        total_nulls(clean).select("nulls").scalar().alias("nulos_despues"),
+        after.select("nulls").scalar().alias("nulos_despues"),
     )
     return clean, metrics, log
