@@ -151,35 +151,46 @@ def impute(df: DataFrame, dataset: str = "") -> tuple[DataFrame, DataFrame]:
     return out, log
 
 
-def clean_table(df: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Parse dates, drop duplicates, impute. Returns ``(clean, metrics, imputation log)``.
-
-    Metrics: ``dataset, filas_originales, filas_finales, duplicados_eliminados,
-    nulos_antes, nulos_despues``.
+def cleaning_metrics(df: DataFrame, dataset: str) -> DataFrame:
+    """Rows before/after dedup, removed duplicates, null cells before/after imputation.
+
+    All from one pass: grouping by every column yields each distinct row with its
+    multiplicity ``n``; rows = sum(n), distinct rows = count, nulls before =
+    sum(n * nulls in the row). A null survives imputation only in a column that is
+    never imputed (dates) or that has no value at all, so the count after needs no
+    imputed values.
     """
     parsed = parse_date(df)
-    unique = dedup(parsed)
-    clean, log = impute(unique, dataset)
-    rows_before = parsed.agg(F.count(F.lit(1))).scalar()
-    # A null survives imputation only in a column that is never imputed (dates) or in
-    # a column with no value at all; so the count after needs no imputed values.
-    numeric, other = _imputable(unique)
+    numeric, other = _imputable(parsed)
     imputable = set(numeric + other)
-    left_after = [
+    groups = parsed.groupBy(*parsed.columns).agg(F.count(F.lit(1)).alias("_n"))
+    row_nulls = sum((F.col(c).isNull().cast("bigint") for c in parsed.columns), F.lit(0))
+    after = [
         F.count_if(F.col(c).isNull()) if c not in imputable
         else F.when(F.count(F.col(c)) == 0, F.count(F.lit(1))).otherwise(F.lit(0))
-        for c in unique.columns
+        for c in parsed.columns
     ]
-    after = unique.agg(
-        F.count(F.lit(1)).alias("rows"),
-        sum(left_after, F.lit(0)).cast("bigint").alias("nulls"),
+    m = groups.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.count(F.lit(1)).alias("distinct_rows"),
+        F.coalesce(F.sum(F.col("_n") * row_nulls), F.lit(0)).alias("nulls_before"),
+        sum(after, F.lit(0)).alias("nulls_after"),
     )
-    metrics = total_nulls(parsed).select(
+    return m.select(
         F.lit(dataset).alias("dataset"),
-        rows_before.cast("bigint").alias("filas_originales"),
-        after.select("rows").scalar().cast("bigint").alias("filas_finales"),
-        (rows_before - after.select("rows").scalar()).cast("bigint").alias("duplicados_eliminados"),
-        F.col("nulls").alias("nulos_antes"),
-        after.select("nulls").scalar().alias("nulos_despues"),
+        F.col("rows").cast("bigint").alias("filas_originales"),
+        F.col("distinct_rows").cast("bigint").alias("filas_finales"),
+        (F.col("rows") - F.col("distinct_rows")).cast("bigint").alias("duplicados_eliminados"),
+        F.col("nulls_before").cast("bigint").alias("nulos_antes"),
+        F.col("nulls_after").cast("bigint").alias("nulos_despues"),
     )
-    return clean, metrics, log
+
+
+def clean_table(df: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Parse dates, drop duplicates, impute. Returns ``(clean, metrics, imputation log)``.
+
+    Metrics: ``dataset, filas_originales, filas_finales, duplicados_eliminados,
+    nulos_antes, nulos_despues``.
+    """
+    clean, log = impute(dedup(parse_date(df)), dataset)
+    return clean, cleaning_metrics(df, dataset), log

@@ -50,21 +50,41 @@ def _pick_bucket(hist: DataFrame, part: list[str], bucket: str) -> DataFrame:
     ).select(*part, bucket, (F.col("_k") - (F.col("_cum") - F.col("_cnt"))).alias("_k"))
 
 
+# Largest group Spark's own ``median`` may hold in one task (its value->count map).
+SINGLE_TASK_LIMIT = 2_000_000
+
+
 def exact_median(
     df: DataFrame,
     keys: list[str],
     value: str,
     out: str = "median",
     few_groups: bool = False,
+    single_task_limit: int | None = SINGLE_TASK_LIMIT,
 ) -> DataFrame:
     """Exact (interpolated) median of ``value`` per ``keys``, nulls ignored.
 
+    The strategy is chosen from a measurement, as AQE chooses a broadcast: one small
+    job finds the largest group; when it holds at most ``single_task_limit`` values,
+    Spark's ``median`` (one aggregation, a group per task) is used, otherwise the
+    distributed narrowing below. ``single_task_limit=None`` skips the measurement and
+    always distributes.
+
     ``few_groups=True`` declares that the number of groups is small (a flag, a list
     of column names), which lets the per-group tables be broadcast; otherwise their
     joins are left to AQE, which broadcasts them once measured small and splits skew.
     Groups whose values are all null are absent from the result.
     """
     keys = list(keys)
+    if single_task_limit is not None:
+        present = df.where(F.col(value).isNotNull())
+        sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else \
+            present.agg(F.count(F.lit(1)).alias("_n"))
+        largest = sizes.agg(F.max("_n")).first()[0]
+        if largest is None or largest <= single_task_limit:
+            grouped = present.groupBy(*keys) if keys else present.groupBy()
+            return grouped.agg(F.median(F.col(value).cast("double")).alias(out)).where(
+                F.col(out).isNotNull())
     small = few_groups or not keys
     if not keys:
         df = df.withColumn(_G, F.lit(0))

@@ -26,6 +26,7 @@ from shelfwise.plans import promotions as PR
 from shelfwise.plans import sales as S
 from shelfwise.plans import traffic as TR
 from shelfwise.plans.consolidate import (
+    Consolidated,
     consolidate,
     consolidation_metrics,
     join_key_report,
@@ -69,7 +70,8 @@ class Context:
         reference's analyses start from its consolidated file; the joins, guards and
         gap fill run once, not once per analysis and subquery.
         """
-        return stage_table(self.consolidated.fact, "fact", _input_key(self.t.root), sort_by=["date"])
+        return stage_table(lambda: self.consolidated.fact, "fact", _input_key(self.t.root),
+                           sort_by=["date"], spark=self.spark)
 
     @cached_property
     def monthly(self) -> DataFrame:
@@ -150,7 +152,7 @@ def impute_log(c: Context) -> DataFrame:
 
 
 def cleaning_metrics(c: Context) -> DataFrame:
-    parts = [C.clean_table(c.inputs[n], n)[1] for n in ("train", "stores", "transactions", "holidays_events")]
+    parts = [C.cleaning_metrics(c.inputs[n], n) for n in ("train", "stores", "transactions", "holidays_events")]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -187,7 +189,8 @@ def consolidate_q(c: Context) -> DataFrame:
 
 
 def consolidation_metrics_q(c: Context) -> DataFrame:
-    return consolidation_metrics(c.inputs["train"], c.consolidated)
+    staged = Consolidated(fact=c.fact, holidays=c.consolidated.holidays, price=c.consolidated.price)
+    return consolidation_metrics(c.inputs["train"], staged)
 
 
 def join_key_violations(c: Context) -> DataFrame:

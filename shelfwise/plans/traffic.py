@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import is_finite, money_mean, money_sum, r6, safe_corr
 from shelfwise.operators.expect import require_columns
-from shelfwise.operators.median import global_median
+from shelfwise.operators.clean import column_medians
 
 # Fixed values of the reference: the ticket class labels.
 HIGH, LOW, MIDDLE = "Ticket alto", "Ticket bajo", "Intermedio"
@@ -88,8 +88,9 @@ def ticket_class(stores: DataFrame) -> DataFrame:
     otherwise intermediate. Bounds are inclusive and the high test runs first. The
     medians are exact, distributed, and enter as scalar subqueries.
     """
-    m_sales = global_median(stores, "ventas_promedio_diarias").scalar()
-    m_traffic = global_median(stores, "transacciones_promedio_diarias").scalar()
+    both = column_medians(stores, ["ventas_promedio_diarias", "transacciones_promedio_diarias"])
+    m_sales = both.where(F.col("column") == "ventas_promedio_diarias").select("median").scalar()
+    m_traffic = both.where(F.col("column") == "transacciones_promedio_diarias").select("median").scalar()
     s, t = F.col("ventas_promedio_diarias"), F.col("transacciones_promedio_diarias")
     label = (
         F.when((s >= m_sales) & (t <= m_traffic), F.lit(HIGH))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,11 @@ def stage_path(spark: SparkSession, name: str, key: str) -> str:
 
 
 def stage_table(
-    df: DataFrame, name: str, key: str, sort_by: list[str] | None = None
+    df: DataFrame | Callable[[], DataFrame],
+    name: str,
+    key: str,
+    sort_by: list[str] | None = None,
+    spark: SparkSession | None = None,
 ) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
@@ -32,12 +36,14 @@ def stage_table(
     of re-deriving the table) and survives executor loss, since the files live in the
     shared folder. Within one application the same ``(name, key)`` is written once.
     ``sort_by`` clusters rows inside each file so Parquet min/max statistics can skip
-    row groups (no extra shuffle).
+    row groups (no extra shuffle). ``df`` may be a function building the frame, so a
+    staged table costs no plan construction at all.
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     path = stage_path(spark, name, key)
     if (name, path) not in _STAGED:
-        out = df.sortWithinPartitions(*sort_by) if sort_by else df
+        frame = df() if callable(df) else df
+        out = frame.sortWithinPartitions(*sort_by) if sort_by else frame
         out.write.mode("overwrite").parquet(path)
         _STAGED[(name, path)] = path
     return spark.read.parquet(path)

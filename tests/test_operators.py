@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators.median import exact_median, global_median
+from shelfwise.operators.median import exact_median
 from shelfwise.operators.ranking import ordinal_rank, reverse_rank, share_of_total
 
 
@@ -25,12 +25,15 @@ def test_exact_median_matches_builtin(spark, kind):
     k = rng.integers(0, 3, n)
     rows = [(int(a), float(b)) for a, b in zip(k, v)] + [(9, None)]
     df = spark.createDataFrame(rows, "k int, v double").repartition(6)
-    mine = {r.k: r.m for r in exact_median(df, ["k"], "v", "m").collect()}
+    mine = {r.k: r.m for r in exact_median(df, ["k"], "v", "m", single_task_limit=None).collect()}
+    small = {r.k: r.m for r in exact_median(df, ["k"], "v", "m").collect()}
+    assert small.keys() == mine.keys()
     ref = {r.k: r.m for r in df.groupBy("k").agg(F.median("v").alias("m")).where("m is not null").collect()}
     assert mine.keys() == ref.keys()
     for key in ref:
         assert mine[key] == pytest.approx(ref[key], rel=1e-12, abs=1e-12)
-    g = global_median(df, "v", "m").collect()[0].m
+        assert small[key] == pytest.approx(ref[key], rel=1e-12, abs=1e-12)
+    g = exact_median(df, [], "v", "m", single_task_limit=None).collect()[0].m
     assert g == pytest.approx(df.agg(F.median("v")).collect()[0][0], rel=1e-12)
 
 
