@@ -390,6 +390,32 @@ def traffic_top_stores(c: Context) -> DataFrame:
     return TR.top_correlated_stores(c.store_traffic)
 
 
+# ---- previews, samples, reports ---------------------------------------------------
+
+def preview(c: Context) -> DataFrame:
+    """First and last 10 fact rows in (date, store, family) order, tagged."""
+    keys = ["date", "store_nbr", "family"]
+    head = c.fact.orderBy(*keys).limit(10).withColumn("posicion", F.lit("head"))
+    tail = c.fact.orderBy(*[F.desc(k) for k in keys]).limit(10).withColumn("posicion", F.lit("tail"))
+    return head.unionByName(tail).withColumn("dcoilwtico", r6("dcoilwtico"))
+
+
+def distinct_values(c: Context) -> DataFrame:
+    """A sample of distinct cities: the first 10 in sort order (a sampling operator)."""
+    return c.fact.select("city").dropna().distinct().orderBy("city").limit(10)
+
+
+def headline_q(c: Context) -> DataFrame:
+    from shelfwise.plans.pipeline import headline
+    return headline(c)
+
+
+def export_manifest(c: Context) -> DataFrame:
+    from shelfwise.plans.pipeline import RESULT_TABLES
+    from shelfwise.sources.sinks import table_counts
+    return table_counts({name: fn(c) for name, fn in RESULT_TABLES.items()})
+
+
 QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "load_summary": load_summary,
     "profile_nulls": profile_nulls,
@@ -447,6 +473,10 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "ticket_high": ticket_high,
     "ticket_low": ticket_low,
     "traffic_top_stores": traffic_top_stores,
+    "preview": preview,
+    "distinct_values": distinct_values,
+    "headline": headline_q,
+    "export_manifest": export_manifest,
 }
 
 

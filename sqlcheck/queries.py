@@ -550,3 +550,68 @@ ORACLE: dict[str, str] = {
     "traffic_top_stores": on_fact(f"select {STORE_COLS} from store_traffic "
                                   f"where {FIN('correlacion_transacciones_ventas')}", "store_traffic"),
 }
+
+
+# ---- previews, samples, reports ------------------------------------------------------
+
+DERIVED["city_sens"] = "select * from (" + CITY_SENS + ") q"
+DERIVED_DEPS["city_sens"] = ("lag_raw",)
+
+PREVIEW = """
+select * replace (round(dcoilwtico, 6) as dcoilwtico), 'head' as posicion
+from (select * from fact order by date, store_nbr, family limit 10) h
+union all
+select * replace (round(dcoilwtico, 6) as dcoilwtico), 'tail' as posicion
+from (select * from fact order by date desc, store_nbr desc, family desc limit 10) t
+"""
+
+HEADLINE = f"""
+select
+  (select family from (select family, {M('sales')} as v from fact group by 1) x
+   order by v desc, family limit 1) as familia_mayor_venta,
+  (select store_nbr from (select store_nbr, {M('sales')} as v from fact group by 1) x
+   order by v desc, store_nbr limit 1) as tienda_mayor_venta,
+  (select store_nbr from (select store_nbr, {M('sales')} as v from fact group by 1) x
+   order by v asc, store_nbr limit 1) as tienda_menor_venta,
+  cast((select count(distinct date) from fact where es_feriado_nacional) as bigint) as cantidad_feriados_nacionales,
+  (select family from family_sens order by sensibilidad_absoluta desc, family limit 1) as familia_mayor_sensibilidad,
+  cast((select count(*) from family_sens where cambio_porcentual > 0) as bigint) as familias_impacto_positivo,
+  cast((select count(*) from family_sens where cambio_porcentual < 0) as bigint) as familias_impacto_negativo,
+  (select family from promo_family order by incremento_porcentual desc, family limit 1) as familia_mayor_incremento,
+  (select lag_meses from (select lag_meses, round(correlacion, 6) as c from lag_scan) s where c > 0
+   order by c desc, lag_meses limit 1) as mejor_lag_meses,
+  (select city from city_sens order by sensibilidad_absoluta desc, city limit 1) as ciudad_mayor_sensibilidad,
+  (select store_nbr from (select store_nbr, round(correlacion_transacciones_ventas, 6) as c from store_traffic
+     where {FIN('correlacion_transacciones_ventas')}) s order by c desc, store_nbr limit 1) as tienda_mayor_correlacion,
+  cast((select count(*) from ticket_classes where clasificacion_ticket = 'Ticket alto') as bigint)
+    as cantidad_tiendas_ticket_alto,
+  cast((select count(*) from ticket_classes where clasificacion_ticket = 'Ticket bajo') as bigint)
+    as cantidad_tiendas_ticket_bajo
+"""
+
+# Exported tables and the query that computes each (reference names, export order).
+EXPORTED = [
+    ("consolidado", "consolidate", 18), ("ventas_por_familia", "sales_by_family", 5),
+    ("ventas_por_tienda", "sales_by_store", 5), ("ventas_por_ciudad", "sales_by_city", 3),
+    ("ventas_por_provincia", "sales_by_state", 3), ("ventas_por_anio", "sales_by_year", 3),
+    ("ventas_por_mes", "sales_by_month", 4), ("feriados_vs_dias_normales", "holiday_vs_normal", 5),
+    ("feriados_ventana_tres_dias", "holiday_window", 6),
+    ("feriados_sensibilidad_familias", "holiday_sensitivity", 7),
+    ("promociones_general", "promo_general", 5), ("promociones_por_familia", "promo_by_family", 8),
+    ("petroleo_ventas_mensuales", "oil_monthly", 5), ("petroleo_variaciones_2015_2016", "oil_variation_period", 7),
+    ("petroleo_lags", "oil_lag_scan", 3), ("petroleo_sensibilidad_ciudades", "oil_city_sensitivity", 5),
+    ("transacciones_ventas_diarias", "traffic_daily", 4), ("transacciones_por_tienda", "ticket_by_store", 8),
+    ("transacciones_clasificacion_ticket", "ticket_class", 9),
+]
+
+ORACLE.update({
+    "preview": with_views(PREVIEW, "fact"),
+    "distinct_values": on_fact("select distinct city from fact where city is not null order by city limit 10"),
+    "headline": on_fact(HEADLINE, "family_sens", "promo_family", "lag_scan", "city_sens", "store_traffic",
+                        "ticket_classes"),
+    "export_manifest": _union([
+        f"select '{table}' as tabla, cast(count(*) as bigint) as filas, {ncols} as columnas "
+        f"from ({ORACLE[query]}) t"
+        for table, query, ncols in EXPORTED
+    ]),
+})
