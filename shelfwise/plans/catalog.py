@@ -55,7 +55,17 @@ class Context:
 
     @cached_property
     def inputs(self) -> dict[str, DataFrame]:
-        return FX.retail_inputs(self.t)
+        """The five inputs, each staged once per application (the clean-stage hand-off).
+
+        Profile, cleaning, gap fill, checks and the consolidation all start from these
+        Parquet copies instead of re-deriving them from the star schema.
+        """
+        key = _input_key(self.t.root)
+        return {
+            name: stage_table((lambda v=view: v(self.t)), f"input_{name}", key,
+                              sort_by=["date"] if name != "stores" else None, spark=self.spark)
+            for name, view in FX.VIEWS.items()
+        }
 
     @cached_property
     def consolidated(self):
