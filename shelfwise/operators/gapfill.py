@@ -93,9 +93,17 @@ def _fill_bucketed(
     df = df.withColumn(b, F.trunc(date, unit))
     known = _known(date, value)
     # 1. First and last known point of each (series, bucket): one row per bucket.
+    #    min/max and min_by/max_by over primitives keep this a hash aggregation.
+    kd = F.when(F.col(value).isNotNull(), F.col(date))
     ends = df.groupBy(*keys, b).agg(
-        F.min(known).alias("_first"),  # structs order by (d, v): min is the earliest
-        F.max(known).alias("_last"),
+        F.min(kd).alias("_fd"), F.min_by(value, kd).alias("_fv"),
+        F.max(kd).alias("_ld"), F.max_by(value, kd).alias("_lv"),
+    ).select(
+        *keys, b,
+        F.when(F.col("_fd").isNotNull(), F.struct(F.col("_fd").alias("d"), F.col("_fv").alias("v")))
+        .alias("_first"),
+        F.when(F.col("_ld").isNotNull(), F.struct(F.col("_ld").alias("d"), F.col("_lv").alias("v")))
+        .alias("_last"),
     )
     # 2. Carry across buckets on the small bucket table.
     wb = Window.partitionBy(*keys).orderBy(b) if keys else Window.orderBy(b)

@@ -28,6 +28,8 @@ from shelfwise.plans import traffic as TR
 from shelfwise.plans.consolidate import (
     Consolidated,
     consolidate,
+    daily_price,
+    event_rollup,
     consolidation_metrics,
     join_key_report,
     sales_calendar,
@@ -69,8 +71,18 @@ class Context:
 
     @cached_property
     def consolidated(self):
+        """Consolidation over the staged inputs, with its two day-grain dimension
+        tables (daily price, holiday rollup) staged too: their real, small file size is
+        then what the planner's broadcast threshold checks, so the fact is never
+        shuffled by date."""
         i = self.inputs
-        return consolidate(i["train"], i["stores"], i["transactions"], i["oil"], i["holidays_events"])
+        key = _input_key(self.t.root)
+        price = stage_table(lambda: daily_price(i["train"], i["oil"]), "daily_price", key,
+                            spark=self.spark)
+        rollup = stage_table(lambda: event_rollup(i["holidays_events"]), "holiday_rollup", key,
+                             spark=self.spark)
+        return consolidate(i["train"], i["stores"], i["transactions"], i["oil"], i["holidays_events"],
+                           price=price, rollup=rollup)
 
     @cached_property
     def fact(self) -> DataFrame:

@@ -93,6 +93,8 @@ def consolidate(
     holidays_events: DataFrame,
     validate: bool = True,
     guard_quality: bool = True,
+    price: DataFrame | None = None,
+    rollup: DataFrame | None = None,
 ) -> Consolidated:
     """Four left joins onto the sales rows, each asserted many-to-one.
 
@@ -102,6 +104,10 @@ def consolidate(
     after its stage and broadcasts the ones that are small, and splits skewed keys of
     the two-key join. ``guard_quality`` fails the job if a row lacks store metadata or
     a price (the reference's post-join checks), inside the same job.
+
+    ``price`` and ``rollup`` may be passed in already built (e.g. staged): a staged
+    day-grain table is planned by its real file size, so Spark broadcasts it under
+    its threshold instead of shuffling the fact by date.
     """
     require_columns(train, ["date", "store_nbr", "family", "sales", "onpromotion"], "train")
     require_columns(stores, ["store_nbr", "city", "state", "type", "cluster"], "stores")
@@ -110,8 +116,8 @@ def consolidate(
     # The rollup (grouped by date) and the price (a calendar) are unique by
     # construction, so only the caller's tables are asserted; a null price left by
     # the fill (all-null series) fails the fact's row guard below.
-    rollup = event_rollup(holidays_events)
-    price = daily_price(train, oil, check_filled=not guard_quality)
+    rollup = event_rollup(holidays_events) if rollup is None else rollup
+    price = daily_price(train, oil, check_filled=not guard_quality) if price is None else price
     fact = (
         join_validated(train, stores, ["store_nbr"], validate=v)
         .transform(lambda d: join_validated(d, transactions, ["store_nbr", "date"], validate=v))
