@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import threading
 import time
 from collections.abc import Callable, Mapping
 
@@ -16,6 +17,7 @@ from shelfwise.session import checkpoint_dir
 # ---- stage tables --------------------------------------------------------------------
 
 _STAGED: dict[tuple[str, str], str] = {}
+_STAGE_LOCK = threading.RLock()  # re-entrant: staging the fact stages its inputs
 
 
 def stage_path(spark: SparkSession, name: str, key: str) -> str:
@@ -41,11 +43,12 @@ def stage_table(
     """
     spark = spark or df.sparkSession
     path = stage_path(spark, name, key)
-    if (name, path) not in _STAGED:
-        frame = df() if callable(df) else df
-        out = frame.sortWithinPartitions(*sort_by) if sort_by else frame
-        out.write.mode("overwrite").parquet(path)
-        _STAGED[(name, path)] = path
+    with _STAGE_LOCK:  # concurrent callers in one driver write a table once
+        if (name, path) not in _STAGED:
+            frame = df() if callable(df) else df
+            out = frame.sortWithinPartitions(*sort_by) if sort_by else frame
+            out.write.mode("overwrite").parquet(path)
+            _STAGED[(name, path)] = path
     return spark.read.parquet(path)
 
 
