@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import is_finite, money_sum, pct_change_expr, r6
 from shelfwise.operators.expect import require_columns
+from shelfwise.sources.sinks import materialize_small
 
 FLAG = "es_feriado_nacional"
 # Fixed values of the reference: days around a holiday (the day itself excluded).
@@ -57,13 +58,15 @@ def holiday_window(df: DataFrame, offsets: list[int] = WINDOW_OFFSETS) -> DataFr
 
     The offsets are exploded on the holiday side (dates x 6 rows) and joined to the
     fact by equality on the shifted date: an interval join without a theta join.
+    That small table is materialized first so the join is planned on its real size
+    (broadcast under the threshold) instead of shuffling the fact by date.
     A day near two holidays counts for both; days outside the data vanish.
     """
     f = _flagged(df)
-    windows = holiday_dates(f).select(
+    windows = materialize_small(holiday_dates(f).select(
         F.col("date").alias("fecha_feriado"),
         F.explode(F.array(*[F.lit(k) for k in offsets])).alias("dias_relativo_feriado"),
-    ).withColumn("date", F.date_add("fecha_feriado", F.col("dias_relativo_feriado")))
+    ).withColumn("date", F.date_add("fecha_feriado", F.col("dias_relativo_feriado"))), "holiday_windows")
     per_event = (
         f.select("date", "family", "sales")
         .join(windows, on="date")

@@ -39,9 +39,37 @@ RESULT_TABLES: dict[str, Callable[[Q.Context], DataFrame]] = {
 }
 
 
-def result_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+# Fixed values of the reference: the row order of each written table.
+SORT_ORDER = {
+    "consolidado": ["date", "store_nbr", "family"],
+    "ventas_por_familia": [F.desc("ventas_totales")],
+    "ventas_por_tienda": [F.desc("ventas_totales")],
+    "ventas_por_ciudad": [F.desc("ventas_totales")],
+    "ventas_por_provincia": [F.desc("ventas_totales")],
+    "ventas_por_anio": ["anio"],
+    "ventas_por_mes": ["fecha_mes"],
+    "feriados_vs_dias_normales": [F.desc("es_feriado_nacional")],
+    "feriados_ventana_tres_dias": ["family", "dias_relativo_feriado"],
+    "feriados_sensibilidad_familias": [F.desc("sensibilidad_absoluta")],
+    "promociones_general": [F.desc("en_promocion")],
+    "promociones_por_familia": [F.desc("incremento_porcentual")],
+    "petroleo_ventas_mensuales": ["fecha_mes"],
+    "petroleo_variaciones_2015_2016": ["fecha_mes"],
+    "petroleo_lags": ["lag_meses"],
+    "petroleo_sensibilidad_ciudades": [F.desc("sensibilidad_absoluta")],
+    "transacciones_ventas_diarias": ["store_nbr", "date"],
+}
+
+
+def result_tables(spark: SparkSession, sf_dir: str, sorted_rows: bool = False) -> dict[str, DataFrame]:
+    """The 19 tables; ``sorted_rows`` applies the reference's row order (a range-
+    partitioned global sort, distributed) for tables that are written."""
     c = Q.Context(spark, sf_dir)
-    return {name: fn(c) for name, fn in RESULT_TABLES.items()}
+    out = {name: fn(c) for name, fn in RESULT_TABLES.items()}
+    if sorted_rows:
+        out = {name: df.orderBy(*SORT_ORDER[name]) if name in SORT_ORDER else df
+               for name, df in out.items()}
+    return out
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +81,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run(spark: SparkSession, sf_dir: str, out_root: str) -> list[dict]:
     """Write all 19 tables as Parquet under ``out_root``; return the manifest rows."""
-    tables = result_tables(spark, sf_dir)
+    tables = result_tables(spark, sf_dir, sorted_rows=True)
     require_complete(tables, list(RESULT_TABLES))
     rows = write_with_manifest(tables, out_root.rstrip("/"))
     total = {"tabla": "TOTAL", "filas": sum(r["filas"] for r in rows),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import threading
+import uuid
 import time
 from collections.abc import Callable, Mapping
 
@@ -52,6 +53,17 @@ def stage_table(
     return spark.read.parquet(path)
 
 
+def materialize_small(df: DataFrame, name: str) -> DataFrame:
+    """Write a small derived table (e.g. holiday dates x offsets) and read it back.
+
+    Catalyst estimates a table derived from the fact by the fact's size, so a join
+    with it would shuffle the fact. Read back from its own files, the planner sees the
+    real size and broadcasts it only if it is under the broadcast threshold: a size
+    check by Spark itself, with a sort-merge join beyond it.
+    """
+    return stage_table(df, name, uuid.uuid4().hex)
+
+
 def write_table(
     df: DataFrame,
     path: str,

@@ -95,3 +95,16 @@ def test_manifest_counts_during_write(spark):
     (row,) = S.write_with_manifest({"t": df}, root)
     assert (row["tabla"], row["filas"], row["columnas"]) == ("t", 25, 2)
     assert spark.read.parquet(f"{root}/t").count() == 25
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_pipeline_writes_all_tables(spark):
+    from shelfwise.plans.pipeline import RESULT_TABLES, run
+    root = _tmp()
+    rows = run(spark, SF, root)
+    names = [r["tabla"] for r in rows]
+    assert names[:-1] == list(RESULT_TABLES) and names[-1] == "TOTAL"
+    fact = spark.read.parquet(f"{root}/consolidado")
+    assert fact.count() == rows[0]["filas"] and len(fact.columns) == 18
+    months = [r.fecha_mes for r in spark.read.parquet(f"{root}/ventas_por_mes").collect()]
+    assert months == sorted(months)  # row order kept in the written file
