@@ -97,11 +97,16 @@ class Context:
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return O.oil_monthly(self.fact)
+        """Monthly sales and price (one row per month), staged: six oil queries and the
+        checks start from it."""
+        return stage_table(lambda: O.oil_monthly(self.fact), "oil_monthly", _input_key(self.t.root),
+                           spark=self.spark)
 
     @cached_property
     def daily_traffic(self) -> DataFrame:
-        return TR.traffic_daily(self.fact)
+        """Sales and traffic per store and day (a result table of its own), staged."""
+        return stage_table(lambda: TR.traffic_daily(self.fact), "traffic_daily", _input_key(self.t.root),
+                           sort_by=["store_nbr", "date"], spark=self.spark)
 
     @cached_property
     def store_traffic(self) -> DataFrame:

@@ -54,3 +54,20 @@ def test_share_sums_to_100(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(1, 11)], "k int, v double")
     total = share_of_total(df, "v", "s").agg(F.sum("s")).collect()[0][0]
     assert total == pytest.approx(100.0)
+
+
+def test_distributed_median_on_the_fact(spark):
+    import os
+
+    from __spark_entry__ import queries
+    from shelfwise.plans.catalog import Context
+
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    fact = Context(spark, sf).fact.withColumn("p", F.col("onpromotion") > 0)
+    mine = {r.p: r.m for r in exact_median(fact, ["p"], "sales", "m", few_groups=True,
+                                           single_task_limit=None).collect()}
+    ref = {r.p: r.m for r in fact.groupBy("p").agg(F.median("sales").alias("m")).collect()}
+    assert mine == pytest.approx(ref, rel=1e-12)
+    assert queries()["promo_general"](spark, sf).count() == 2
