@@ -39,35 +39,39 @@ RESULT_TABLES: dict[str, Callable[[Q.Context], DataFrame]] = {
 }
 
 
-# Fixed values of the reference: the row order of each written table.
+# Fixed values of the reference: the row order of each written table ("-" = descending).
 SORT_ORDER = {
     "consolidado": ["date", "store_nbr", "family"],
-    "ventas_por_familia": [F.desc("ventas_totales")],
-    "ventas_por_tienda": [F.desc("ventas_totales")],
-    "ventas_por_ciudad": [F.desc("ventas_totales")],
-    "ventas_por_provincia": [F.desc("ventas_totales")],
+    "ventas_por_familia": ["-ventas_totales"],
+    "ventas_por_tienda": ["-ventas_totales"],
+    "ventas_por_ciudad": ["-ventas_totales"],
+    "ventas_por_provincia": ["-ventas_totales"],
     "ventas_por_anio": ["anio"],
     "ventas_por_mes": ["fecha_mes"],
-    "feriados_vs_dias_normales": [F.desc("es_feriado_nacional")],
+    "feriados_vs_dias_normales": ["-es_feriado_nacional"],
     "feriados_ventana_tres_dias": ["family", "dias_relativo_feriado"],
-    "feriados_sensibilidad_familias": [F.desc("sensibilidad_absoluta")],
-    "promociones_general": [F.desc("en_promocion")],
-    "promociones_por_familia": [F.desc("incremento_porcentual")],
+    "feriados_sensibilidad_familias": ["-sensibilidad_absoluta"],
+    "promociones_general": ["-en_promocion"],
+    "promociones_por_familia": ["-incremento_porcentual"],
     "petroleo_ventas_mensuales": ["fecha_mes"],
     "petroleo_variaciones_2015_2016": ["fecha_mes"],
     "petroleo_lags": ["lag_meses"],
-    "petroleo_sensibilidad_ciudades": [F.desc("sensibilidad_absoluta")],
+    "petroleo_sensibilidad_ciudades": ["-sensibilidad_absoluta"],
     "transacciones_ventas_diarias": ["store_nbr", "date"],
 }
 
 
+def _order(key: str) -> F.Column:
+    return F.desc(key[1:]) if key.startswith("-") else F.asc(key)
+
+
 def result_tables(spark: SparkSession, sf_dir: str, sorted_rows: bool = False) -> dict[str, DataFrame]:
     """The 19 tables; ``sorted_rows`` applies the reference's row order (a range-
     partitioned global sort, distributed) for tables that are written."""
     c = Q.Context(spark, sf_dir)
     out = {name: fn(c) for name, fn in RESULT_TABLES.items()}
     if sorted_rows:
-        out = {name: df.orderBy(*SORT_ORDER[name]) if name in SORT_ORDER else df
+        out = {name: df.orderBy(*[_order(k) for k in SORT_ORDER[name]]) if name in SORT_ORDER else df
                for name, df in out.items()}
     return out
 
@@ -111,19 +115,19 @@ def headline(c: Q.Context) -> DataFrame:
         return df.orderBy(*order).limit(1).select(col).scalar()
 
     return f.agg(F.count(F.lit(1)).alias("_n")).select(
-        first(fam, "family", [F.desc("ventas_totales"), "family"]).alias("familia_mayor_venta"),
-        first(store, "store_nbr", [F.desc("ventas_totales"), "store_nbr"]).alias("tienda_mayor_venta"),
+        first(fam, "family", ["-ventas_totales", "family"]).alias("familia_mayor_venta"),
+        first(store, "store_nbr", ["-ventas_totales", "store_nbr"]).alias("tienda_mayor_venta"),
         first(store, "store_nbr", [F.asc("ventas_totales"), "store_nbr"]).alias("tienda_menor_venta"),
         H.holiday_dates(f).agg(F.count(F.lit(1))).scalar().cast("bigint").alias("cantidad_feriados_nacionales"),
-        first(sens, "family", [F.desc("sensibilidad_absoluta"), "family"]).alias("familia_mayor_sensibilidad"),
+        first(sens, "family", ["-sensibilidad_absoluta", "family"]).alias("familia_mayor_sensibilidad"),
         sens.where("cambio_porcentual > 0").agg(F.count(F.lit(1))).scalar().cast("bigint")
         .alias("familias_impacto_positivo"),
         sens.where("cambio_porcentual < 0").agg(F.count(F.lit(1))).scalar().cast("bigint")
         .alias("familias_impacto_negativo"),
-        first(promo, "family", [F.desc("incremento_porcentual"), "family"]).alias("familia_mayor_incremento"),
+        first(promo, "family", ["-incremento_porcentual", "family"]).alias("familia_mayor_incremento"),
         best.select("lag_meses").scalar().alias("mejor_lag_meses"),
-        first(city, "city", [F.desc("sensibilidad_absoluta"), "city"]).alias("ciudad_mayor_sensibilidad"),
-        first(corr, "store_nbr", [F.desc("correlacion_transacciones_ventas"), "store_nbr"])
+        first(city, "city", ["-sensibilidad_absoluta", "city"]).alias("ciudad_mayor_sensibilidad"),
+        first(corr, "store_nbr", ["-correlacion_transacciones_ventas", "store_nbr"])
         .alias("tienda_mayor_correlacion"),
         classes.where(F.col("clasificacion_ticket") == TR.HIGH).agg(F.count(F.lit(1))).scalar()
         .cast("bigint").alias("cantidad_tiendas_ticket_alto"),
