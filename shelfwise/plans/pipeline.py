@@ -111,13 +111,13 @@ def headline(c: Q.Context) -> DataFrame:
     best = O.oil_best_lag(O.oil_lag_scan(c.monthly))
     corr = TR.top_correlated_stores(c.store_traffic)
 
-    def first(df: DataFrame, col: str, order: list) -> F.Column:
-        return df.orderBy(*order).limit(1).select(col).scalar()
+    def first(df: DataFrame, col: str, order: list[str]) -> F.Column:
+        return df.orderBy(*[_order(k) for k in order]).limit(1).select(col).scalar()
 
     return f.agg(F.count(F.lit(1)).alias("_n")).select(
         first(fam, "family", ["-ventas_totales", "family"]).alias("familia_mayor_venta"),
         first(store, "store_nbr", ["-ventas_totales", "store_nbr"]).alias("tienda_mayor_venta"),
-        first(store, "store_nbr", [F.asc("ventas_totales"), "store_nbr"]).alias("tienda_menor_venta"),
+        first(store, "store_nbr", ["ventas_totales", "store_nbr"]).alias("tienda_menor_venta"),
         H.holiday_dates(f).agg(F.count(F.lit(1))).scalar().cast("bigint").alias("cantidad_feriados_nacionales"),
         first(sens, "family", ["-sensibilidad_absoluta", "family"]).alias("familia_mayor_sensibilidad"),
         sens.where("cambio_porcentual > 0").agg(F.count(F.lit(1))).scalar().cast("bigint")

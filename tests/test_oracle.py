@@ -18,7 +18,7 @@ SUBSET = [
     "load_summary", "profile_nulls", "cleaning_metrics", "gap_fill_bucketed", "gap_fill_metrics",
     "consolidate", "dq_checks", "sales_by_family", "sales_by_store", "holiday_window",
     "holiday_sensitivity", "promo_general", "promo_by_family", "oil_lag_scan",
-    "oil_city_sensitivity", "traffic_daily", "ticket_class",
+    "oil_city_sensitivity", "traffic_daily", "ticket_class", "headline", "export_manifest",
 ]
 NAMES = sorted(queries()) if os.environ.get("SHELFWISE_ORACLE_ALL") else SUBSET
 
