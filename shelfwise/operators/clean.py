@@ -90,15 +90,23 @@ def column_medians(df: DataFrame, cols: list[str]) -> DataFrame:
 def impute(df: DataFrame, dataset: str = "") -> tuple[DataFrame, DataFrame]:
     """Fill nulls: numeric columns with their median, text/boolean with their mode.
 
-    Statistics come from ``df`` as given (the reference imputes after dedup). Integer
-    columns keep their type (median rounded half up). Returns ``(imputed, log)`` where the
-    log has one row per column that had nulls: ``dataset, column, cantidad, criterio,
-    valor_numerico, valor_texto``. The fill values enter the plan as scalar
-    subqueries, so nothing is collected.
+    Statistics come from ``df`` as given (the reference imputes after dedup). One pass
+    counts the nulls of every column (a one-row result); medians and modes are then
+    computed only for the columns that have nulls, so a clean 100 TB table costs one
+    scan, not a median per column. Integer columns keep their type (median rounded
+    half up). Returns ``(imputed, log)``; the log has one row per column that had
+    nulls: ``dataset, column, cantidad, criterio, valor_numerico, valor_texto``. The
+    fill values enter the plan as scalar subqueries.
     """
     numeric, other = _imputable(df)
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numeric + other]) \
-        if numeric + other else None
+    log_schema = "column string, cantidad bigint, criterio string, valor_numerico double, valor_texto string"
+    counts = {}
+    if numeric + other:
+        row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numeric + other]).first()
+        counts = {c: int(row[c]) for c in numeric + other}
+    numeric = [c for c in numeric if counts.get(c)]
+    other = [c for c in other if counts.get(c)]
+    spark = df.sparkSession
     log_parts = []
     out = df
     if numeric:
@@ -110,43 +118,26 @@ def impute(df: DataFrame, dataset: str = "") -> tuple[DataFrame, DataFrame]:
             # type and take the median rounded half up.
             fill = F.round(value) if isinstance(dtype, _INTEGRAL) else value
             out = out.withColumn(c, F.coalesce(F.col(c), fill.cast(dtype)))
+        n = spark.createDataFrame([(c, counts[c]) for c in numeric], "column string, cantidad bigint")
         log_parts.append(
-            nulls.select(F.inline(F.array(*[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("cantidad"))
-                for c in numeric
-            ])))
-            .join(med, on="column", how="left")
-            .select("column", "cantidad", F.lit("mediana").alias("criterio"),
-                    F.col("median").alias("valor_numerico"),
-                    F.lit(None).cast("string").alias("valor_texto"))
+            n.join(med, on="column").select(
+                "column", "cantidad", F.lit("mediana").alias("criterio"),
+                F.col("median").alias("valor_numerico"), F.lit(None).cast("string").alias("valor_texto"))
         )
     if other:
         modes = column_modes(df, other)
         for c in other:
             value = modes.where(F.col("column") == c).select("mode_value").scalar()
-            typed = value.cast(df.schema[c].dataType)
-            out = out.withColumn(c, F.coalesce(F.col(c), typed))
+            out = out.withColumn(c, F.coalesce(F.col(c), value.cast(df.schema[c].dataType)))
+        n = spark.createDataFrame([(c, counts[c]) for c in other], "column string, cantidad bigint")
         log_parts.append(
-            nulls.select(F.inline(F.array(*[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("cantidad"))
-                for c in other
-            ])))
-            .join(modes, on="column", how="left")
-            .select("column", "cantidad", F.lit("moda").alias("criterio"),
-                    F.lit(None).cast("double").alias("valor_numerico"),
-                    F.col("mode_value").alias("valor_texto"))
-        )
-    if log_parts:
-        log = log_parts[0]
-        for p in log_parts[1:]:
-            log = log.unionByName(p)
-        log = log.where(F.col("cantidad") > 0).where(
-            F.col("valor_numerico").isNotNull() | F.col("valor_texto").isNotNull()
-        )
-    else:
-        log = df.sparkSession.createDataFrame(
-            [], "column string, cantidad bigint, criterio string, valor_numerico double, valor_texto string"
+            n.join(modes, on="column").select(
+                "column", "cantidad", F.lit("moda").alias("criterio"),
+                F.lit(None).cast("double").alias("valor_numerico"), F.col("mode_value").alias("valor_texto"))
         )
+    log = log_parts[0] if log_parts else spark.createDataFrame([], log_schema)
+    for p in log_parts[1:]:
+        log = log.unionByName(p)
     log = log.select(F.lit(dataset).alias("dataset"), *log.columns)
     return out, log
 
