@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -56,6 +56,26 @@ def expect(checks: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def expect_in_one_pass(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """Several checks over one frame in a single aggregation: ``{name: count expr}``.
+
+    Each expression counts the violations (e.g. ``count_if(col is null)``); the one-row
+    result is turned into ``(check, violations)`` rows with ``inline``.
+    """
+    wide = df.agg(*[expr.cast("bigint").alias(f"_c{i}") for i, expr in enumerate(checks.values())])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check"), F.col(f"_c{i}").alias("violations"))
+        for i, name in enumerate(checks)
+    ])))
+
+
+def union_reports(*reports: DataFrame) -> DataFrame:
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 def raise_on_failures(report: DataFrame) -> None:
     """Report edge: collect the (small) check report and raise on any violation."""
     failed = [(r["check"], r["violations"]) for r in report.where("violations > 0").collect()]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import r6
 from shelfwise.operators import clean as C
 from shelfwise.operators import profile as P
-from shelfwise.operators.expect import expect, key_violations
+from shelfwise.operators.expect import expect, expect_in_one_pass, key_violations, union_reports
 from shelfwise.operators.gapfill import fill_calendar, gap_fill_metrics
 from shelfwise.operators.joins import fanout
 from shelfwise.plans import holidays as H
@@ -238,26 +238,42 @@ def duplicate_keys(c: Context) -> DataFrame:
 
 
 def dq_checks(c: Context) -> DataFrame:
-    """The reference's runtime gates as one report: ``(check, violations)``."""
+    """The reference's runtime gates as one report: ``(check, violations)``.
+
+    Row-level checks on the fact share one aggregation pass, as do the month counts;
+    key checks group each right-hand table once.
+    """
     i, f = c.inputs, c.fact
-    monthly = c.monthly
-    months = monthly.agg(F.count(F.lit(1)).alias("n"))
-    period_months = O.in_period(monthly).agg(F.count(F.lit(1)).alias("n"))
-    return expect({
-        "stores_key_unique": key_violations(i["stores"], ["store_nbr"]),
-        "transactions_key_unique": key_violations(i["transactions"], ["store_nbr", "date"]),
-        "oil_key_unique": key_violations(c.consolidated.price, ["date"]),
-        "holidays_key_unique": key_violations(c.consolidated.holidays, ["date"]),
-        "oil_series_key_unique": key_violations(i["oil"].dropDuplicates(), ["date"]),
-        "fact_rows_without_store": f.where(F.col("city").isNull()),
-        "fact_rows_without_price": f.where(F.col("dcoilwtico").isNull()),
-        "gap_fill_nulls": c.consolidated.price.where(F.col("dcoilwtico").isNull()),
-        "no_national_holiday": H.holiday_dates(f).agg(F.count(F.lit(1)).alias("n")).where("n = 0"),
-        "fewer_than_3_months": months.where("n < 3"),
-        "fewer_than_4_period_months": period_months.where("n < 4"),
-        "transactions_not_functional": TR.fd_violations(f),
-        "no_traffic_days": c.daily_traffic.agg(F.count(F.lit(1)).alias("n")).where("n = 0"),
-    })
+    per_day = f.groupBy("store_nbr", "date").agg(
+        (F.count_distinct("transactions") + F.max(F.col("transactions").isNull().cast("int"))).alias("v"),
+        F.max("transactions").alias("t"),
+    )
+    return union_reports(
+        expect({
+            "stores_key_unique": key_violations(i["stores"], ["store_nbr"]),
+            "transactions_key_unique": key_violations(i["transactions"], ["store_nbr", "date"]),
+            "oil_key_unique": key_violations(c.consolidated.price, ["date"]),
+            "holidays_key_unique": key_violations(c.consolidated.holidays, ["date"]),
+            "oil_series_key_unique": key_violations(i["oil"].dropDuplicates(), ["date"]),
+            "gap_fill_nulls": c.consolidated.price.where(F.col("dcoilwtico").isNull()),
+        }),
+        expect_in_one_pass(f, {
+            "fact_rows_without_store": F.count_if(F.col("city").isNull()),
+            "fact_rows_without_price": F.count_if(F.col("dcoilwtico").isNull()),
+            "no_national_holiday": F.when(F.count_if(F.coalesce(F.col("es_feriado_nacional"), F.lit(False))) == 0,
+                                          1).otherwise(0),
+        }),
+        expect_in_one_pass(c.monthly, {
+            "fewer_than_3_months": F.when(F.count(F.lit(1)) < 3, 1).otherwise(0),
+            "fewer_than_4_period_months": F.when(
+                F.count_if(F.col("fecha_mes").between(F.lit(O.PERIOD[0]), F.lit(O.PERIOD[1]))) < 4, 1
+            ).otherwise(0),
+        }),
+        expect_in_one_pass(per_day, {
+            "transactions_not_functional": F.count_if(F.col("v") > 1),
+            "no_traffic_days": F.when(F.count_if(F.col("t") > 0) == 0, 1).otherwise(0),
+        }),
+    )
 
 
 # ---- sales -----------------------------------------------------------------------
