@@ -59,3 +59,15 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_an_oracle():
     assert set(queries()) - set(oracle_sql()) == set()
+
+
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "date": "DATE", "boolean": "BOOLEAN"}
+
+
+def test_column_types_match_the_oracle(spark, con):
+    for name, fn in queries().items():
+        spark_types = dict(fn(spark, SF).dtypes)
+        rel = con.sql(oracle_sql()[name])
+        duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        assert {c: SPARK_TO_DUCKDB.get(t, t) for c, t in spark_types.items()} == duck_types, name
