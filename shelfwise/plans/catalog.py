@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,11 +64,15 @@ class Context:
         Parquet copies instead of re-deriving them from the star schema.
         """
         key = _input_key(self.t.root)
-        return {
-            name: stage_table((lambda v=view: v(self.t)), f"input_{name}", key,
-                              sort_by=["date"] if name != "stores" else None, spark=self.spark)
-            for name, view in FX.VIEWS.items()
-        }
+
+        def stage(item):
+            name, view = item
+            return name, stage_table(lambda: view(self.t), f"input_{name}", key,
+                                     sort_by=["date"] if name != "stores" else None, spark=self.spark)
+
+        # Independent jobs: Spark runs them side by side from one session.
+        with ThreadPoolExecutor(max_workers=len(FX.VIEWS)) as pool:
+            return dict(pool.map(stage, FX.VIEWS.items()))
 
     @cached_property
     def consolidated(self):

@@ -18,7 +18,15 @@ from shelfwise.session import checkpoint_dir
 # ---- stage tables --------------------------------------------------------------------
 
 _STAGED: dict[tuple[str, str], str] = {}
-_STAGE_LOCK = threading.RLock()  # re-entrant: staging the fact stages its inputs
+_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _lock_for(path: str) -> threading.Lock:
+    """One lock per stage table: concurrent callers write a table once, while
+    different tables (e.g. the five inputs) are staged side by side."""
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(path, threading.Lock())
 
 
 def stage_path(spark: SparkSession, name: str, key: str) -> str:
@@ -44,7 +52,7 @@ def stage_table(
     """
     spark = spark or df.sparkSession
     path = stage_path(spark, name, key)
-    with _STAGE_LOCK:  # concurrent callers in one driver write a table once
+    with _lock_for(path):
         if (name, path) not in _STAGED:
             frame = df() if callable(df) else df
             out = frame.sortWithinPartitions(*sort_by) if sort_by else frame
