@@ -87,6 +87,17 @@ def write_table(
     w.parquet(path)
 
 
+def register_and_analyze(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Register written Parquet files as a catalog table and compute its statistics
+    (row count, size, per-column min/max/nulls/distinct), which the planner then uses
+    for join and broadcast decisions: the ANALYZE step after an export."""
+    ident = quote_identifier(name).replace('"', "`")
+    spark.sql(f"DROP TABLE IF EXISTS {ident}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+    spark.sql(f"ANALYZE TABLE {ident} COMPUTE STATISTICS FOR ALL COLUMNS")
+    return spark.table(name)
+
+
 # ---- relational target: identifiers and types ----------------------------------------
 
 IDENTIFIER = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")

@@ -108,3 +108,14 @@ def test_pipeline_writes_all_tables(spark):
     assert fact.count() == rows[0]["filas"] and len(fact.columns) == 18
     months = [r.fecha_mes for r in spark.read.parquet(f"{root}/ventas_por_mes").collect()]
     assert months == sorted(months)  # row order kept in the written file
+
+
+def test_register_and_analyze(spark):
+    root = _tmp()
+    spark.range(40).withColumn("k", F.col("id") % 4).write.parquet(f"{root}/t")
+    t = S.register_and_analyze(spark, "shelfwise_test_t", f"{root}/t")
+    assert t.count() == 40
+    desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED shelfwise_test_t").collect()}
+    assert "40 rows" in desc.get("Statistics", "")
+    col = {r.info_name: r.info_value for r in spark.sql("DESCRIBE TABLE EXTENDED shelfwise_test_t k").collect()}
+    assert col["distinct_count"] == "4" and col["max"] == "3"
