@@ -188,3 +188,37 @@ def test_profile_empty_frame(spark):
     df = spark.createDataFrame([], "a int, b string")
     rows = profile(df, "t").collect()
     assert [(r.column, r.rows, r.nulls, r.null_pct) for r in rows] == [("a", 0, 0, 0.0), ("b", 0, 0, 0.0)]
+
+
+def test_gap_fill_many_series_both_forms_agree(spark):
+    import random
+
+    rnd = random.Random(5)
+    start = D(2020, 1, 20)
+    rows = []
+    for key in ("a", "b", "c"):
+        for i in range(70):
+            if rnd.random() < 0.35:
+                rows.append((key, start + dt.timedelta(days=i), None if rnd.random() < 0.3 else rnd.uniform(1, 9)))
+    rows.append(("d", start, None))  # a series with no known value stays null
+    s = spark.createDataFrame(rows, "k string, date date, dcoilwtico double")
+    cal = calendar(spark.createDataFrame([(k, start, start + dt.timedelta(days=69)) for k in "abcd"],
+                                         "k string, start date, end date"))
+    plain = {(r.k, r.date): r.dcoilwtico for r in fill_calendar(s, cal, keys=("k",), bucket=None).collect()}
+    bucketed = {(r.k, r.date): r.dcoilwtico for r in fill_calendar(s, cal, keys=("k",)).collect()}
+    assert plain.keys() == bucketed.keys() and len(plain) == 4 * 70
+    for key in plain:
+        assert (plain[key] is None and bucketed[key] is None) or plain[key] == pytest.approx(bucketed[key])
+    # brute force for one series
+    known = sorted((d, v) for k, d, v in rows if k == "a" and v is not None)
+    for i in range(70):
+        d = start + dt.timedelta(days=i)
+        before = [(kd, v) for kd, v in known if kd <= d]
+        after = [(kd, v) for kd, v in known if kd >= d]
+        if before and after:
+            (d0, v0), (d1, v1) = before[-1], after[0]
+            want = v0 if d0 == d1 else v0 + (v1 - v0) * (d - d0).days / (d1 - d0).days
+        else:
+            want = (after or before)[0 if after else -1][1]
+        assert plain[("a", d)] == pytest.approx(want)
+    assert all(plain[("d", start + dt.timedelta(days=i))] is None for i in range(70))
