@@ -11,6 +11,7 @@ from shelfwise.functions.columns import any_true, sorted_distinct_join
 from shelfwise.operators.expect import key_violations, require_columns
 from shelfwise.operators.gapfill import assert_filled, calendar, fill_calendar
 from shelfwise.operators.joins import join_validated
+from shelfwise.sources.sinks import materialize_small
 
 # Fixed values of the reference: the holiday types that make a national holiday.
 NATIONAL_TYPES = ["Holiday", "Additional", "Bridge", "Transfer"]
@@ -105,9 +106,10 @@ def consolidate(
     the two-key join. ``guard_quality`` fails the job if a row lacks store metadata or
     a price (the reference's post-join checks), inside the same job.
 
-    ``price`` and ``rollup`` may be passed in already built (e.g. staged): a staged
-    day-grain table is planned by its real file size, so Spark broadcasts it under
-    its threshold instead of shuffling the fact by date.
+    ``price`` and ``rollup`` may be passed in already built (e.g. staged); otherwise
+    they are materialized here. Either way the day-grain tables are planned by their
+    real file size, so Spark broadcasts them under its threshold instead of shuffling
+    the fact by date.
     """
     require_columns(train, ["date", "store_nbr", "family", "sales", "onpromotion"], "train")
     require_columns(stores, ["store_nbr", "city", "state", "type", "cluster"], "stores")
@@ -116,8 +118,10 @@ def consolidate(
     # The rollup (grouped by date) and the price (a calendar) are unique by
     # construction, so only the caller's tables are asserted; a null price left by
     # the fill (all-null series) fails the fact's row guard below.
-    rollup = event_rollup(holidays_events) if rollup is None else rollup
-    price = daily_price(train, oil, check_filled=not guard_quality) if price is None else price
+    if rollup is None:
+        rollup = materialize_small(event_rollup(holidays_events), "holiday_rollup")
+    if price is None:
+        price = materialize_small(daily_price(train, oil, check_filled=not guard_quality), "daily_price")
     fact = (
         join_validated(train, stores, ["store_nbr"], validate=v)
         .transform(lambda d: join_validated(d, transactions, ["store_nbr", "date"], validate=v))
