@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.blocks import table
+from shelfwise.llm.byte_bpe import bpe_round_trip, id_digests
 from shelfwise.llm.ngram_join import ngram_jaccard_join
+from shelfwise.llm.suffix_dedup import suffix_dedup
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +18,19 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document when 100-byte strings that start earlier are removed."""
+    return suffix_dedup(table(spark, sf_dir, "documents"), length=100)
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each document in the multilingual 50k byte-level vocabulary, and the ids decoded again."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return id_digests(bpe_round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep=("doc_id",)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
+    "op9_byte_bpe": op9_byte_bpe,
 }
