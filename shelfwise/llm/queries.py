@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from shelfwise.llm.blocks import table
 from shelfwise.llm.byte_bpe import bpe_round_trip, id_digests
 from shelfwise.llm.chat import format_paths, linear, read_back, reply_paths
+from shelfwise.llm.decontam import benchmark_leaks
+from shelfwise.llm.lm import lm_scores
 from shelfwise.llm.ngram_join import ngram_jaccard_join
 from shelfwise.llm.quality import quality_rules
 from shelfwise.llm.suffix_dedup import suffix_dedup
@@ -22,6 +24,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that leak into documents, with the passage and its edits."""
+    return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of each document, with thresholds per language and source."""
     return quality_rules(table(spark, sf_dir, "documents"))
@@ -57,11 +64,18 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_digests(bpe_round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep=("doc_id",)))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add-one unigram score and attention-model score of each document."""
+    return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_url_filter": op4_url_filter,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op8_chat_format": op8_chat_format,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_lm_scoring": op10_lm_scoring,
 }
