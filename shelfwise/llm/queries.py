@@ -12,11 +12,13 @@ from shelfwise.llm.blocks import table
 from shelfwise.llm.byte_bpe import bpe_round_trip, id_digests
 from shelfwise.llm.chat import format_paths, linear, read_back, reply_paths
 from shelfwise.llm.decontam import benchmark_leaks
+from shelfwise.llm.license_scan import license_scan
 from shelfwise.llm.lm import lm_scores
 from shelfwise.llm.ngram_join import ngram_jaccard_join
 from shelfwise.llm.quality import quality_rules
 from shelfwise.llm.suffix_dedup import suffix_dedup
 from shelfwise.llm.url_filter import default_rules, url_filter
+from shelfwise.llm.warc import archive_folder, read_archives, write_archives
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +46,17 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), length=100)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as Zstandard WARC archives and read back."""
+    archives = write_archives(table(spark, sf_dir, "pages"), archive_folder(spark), least=0)
+    return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License passages in documents, with the words that patience alignment matches."""
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation (and one made of control strings) formatted with a loss mask and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -75,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_url_filter": op4_url_filter,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
+    "op6_warc": op6_warc,
+    "op7_license_scan": op7_license_scan,
     "op8_chat_format": op8_chat_format,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lm_scoring": op10_lm_scoring,

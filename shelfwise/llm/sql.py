@@ -156,10 +156,23 @@ select d.doc_id, any_value(length(x) // 2) as n_bytes, coalesce(sum(gone), 0)::b
   sha256(unhex(case when count(kept.doc_id) = 0 then any_value(x) else string_agg(substr(x, (2 * kept.a + 1)::bigint, (2 * (coalesce(kept.b, length(x) // 2) - kept.a))::bigint), '' order by kept.a) end)) as kept_sha256
 from d left join kept using (doc_id) group by d.doc_id"""
 
+_WARC = r"""with p as (
+  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as x from pages
+), bits as (
+  select *, [case when b then 1 else 0 end for b in flatten([[(('0x' || substr(x, i, 1))::int & 8) > 0, (('0x' || substr(x, i, 1))::int & 4) > 0, (('0x' || substr(x, i, 1))::int & 2) > 0, (('0x' || substr(x, i, 1))::int & 1) > 0] for i in range(1, 41)])] as b from p
+), firsts as (
+  select x, min(page_id) as refers_to from p group by x
+)
+select page_id, octet_length(encode(html))::bigint as payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (16 * b[5 * k + 1] + 8 * b[5 * k + 2] + 4 * b[5 * k + 3] + 2 * b[5 * k + 4] + b[5 * k + 5] + 1)::bigint, 1) for k in range(0, 32)], '') as payload_digest,
+  case when page_id > refers_to then 'revisit' else 'response' end as record_type, case when page_id > refers_to then refers_to end as refers_to
+from bits join firsts using (x)"""
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard_join": _NGRAM,
     "op3_quality_rules": _quality(),
     "op4_url_filter": _url(),
     "op5_suffix_array_dedup": _SUFFIX,
+    "op6_warc": _WARC,
     "op8_chat_format": _CHAT,
 }
