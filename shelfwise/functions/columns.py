@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Scale used to print float results; query outputs and their SQL oracles both round to it.
+# Scale of reported float results: registered queries round to it once, after every filter and sort.
 RESULT_DECIMALS = 6
 
 
@@ -18,25 +18,28 @@ def r6(c: str | Column) -> Column:
     return F.round(col(c), RESULT_DECIMALS)
 
 
-def money_sum(c: str | Column, scale: int | None = 2) -> Column:
-    """Exact, order-independent sum of an amount stored as double.
+# Wide enough to hold an amount stored as double without loss: 16 digits before the point, 12 after.
+AMOUNT = "decimal(28,12)"
 
-    Adding doubles in shuffle order gives run-to-run noise in the last digits. Here
-    each amount becomes an integer count of cents (exact for |x| < 9e13), the cents
-    are summed as ``bigint`` (ANSI raises on overflow) and divided once: the result
-    equals a decimal(38, scale) sum cast to double, but stays on the fast long path
-    instead of decimal buffers. ``scale=None`` is a plain sum.
+
+def money_sum(c: str | Column) -> Column:
+    """Order-independent sum of an amount stored as double.
+
+    Adding doubles in shuffle order gives run-to-run noise in the last digits. Amounts are summed
+    as wide decimals instead, unrounded to any cent, and the total is a double again.
     """
-    if scale is None:
-        return F.sum(col(c))
-    unit = 10 ** scale
-    cents = F.rint(col(c) * F.lit(float(unit))).cast("bigint")
-    return F.sum(cents) / F.lit(float(unit))
+    return F.sum(col(c).cast(AMOUNT)).cast("double")
 
 
-def money_mean(c: str | Column, scale: int | None = 2) -> Column:
+def money_mean(c: str | Column) -> Column:
     """Mean as exact sum / non-null count (null for an empty group)."""
-    return F.try_divide(money_sum(c, scale), F.count(col(c)).cast("double"))
+    return F.try_divide(money_sum(c), F.count(col(c)).cast("double"))
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Every double column at the report scale, for results that are compared or printed."""
+    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
+    return df.withColumns({c: r6(c) for c in doubles})
 
 
 def is_finite(c: str | Column) -> Column:

@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import r6
+from shelfwise.functions.columns import rounded
 from shelfwise.operators import clean as C
 from shelfwise.operators import profile as P
 from shelfwise.operators.expect import expect, expect_in_one_pass, key_violations, union_reports
@@ -120,7 +120,7 @@ class Context:
 
 def _q(fn: Callable[[Context], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Context(spark, sf_dir))
+        return rounded(fn(Context(spark, sf_dir)))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -157,7 +157,7 @@ def dedup_rows(c: Context) -> DataFrame:
 def impute_median(c: Context) -> DataFrame:
     """The generic imputation applied to the input with nulls (the price series)."""
     out, _ = C.impute(c.inputs["oil"], "oil")
-    return out.withColumn("dcoilwtico", r6("dcoilwtico"))
+    return out
 
 
 def impute_mode(c: Context) -> DataFrame:
@@ -180,7 +180,7 @@ def impute_log(c: Context) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("valor_numerico", r6("valor_numerico"))
+    return out
 
 
 def cleaning_metrics(c: Context) -> DataFrame:
@@ -195,7 +195,7 @@ def _gap_fill(c: Context, bucket):
     i = c.inputs
     series = i["oil"].select("date", "dcoilwtico").dropDuplicates()
     filled = fill_calendar(series, sales_calendar(i["train"]), bucket=bucket)
-    return filled.withColumn("dcoilwtico", r6("dcoilwtico"))
+    return filled
 
 
 def gap_fill(c: Context) -> DataFrame:
@@ -217,7 +217,7 @@ def holiday_rollup(c: Context) -> DataFrame:
 
 
 def consolidate_q(c: Context) -> DataFrame:
-    return c.fact.withColumn("dcoilwtico", r6("dcoilwtico"))
+    return c.fact
 
 
 def consolidation_metrics_q(c: Context) -> DataFrame:
@@ -378,7 +378,7 @@ def promo_smallest(c: Context) -> DataFrame:
 # ---- oil -------------------------------------------------------------------------
 
 def oil_monthly(c: Context) -> DataFrame:
-    return c.monthly.withColumn("precio_petroleo_promedio", r6("precio_petroleo_promedio"))
+    return c.monthly
 
 
 def oil_correlation(c: Context) -> DataFrame:
@@ -387,9 +387,9 @@ def oil_correlation(c: Context) -> DataFrame:
 
 def oil_variation_period(c: Context) -> DataFrame:
     return O.oil_variation_period(c.monthly).select(
-        "fecha_mes", "ventas_totales", r6("precio_petroleo_promedio").alias("precio_petroleo_promedio"),
-        "anio", "mes", r6("variacion_petroleo_pct").alias("variacion_petroleo_pct"),
-        r6("variacion_ventas_pct").alias("variacion_ventas_pct"))
+        "fecha_mes", "ventas_totales", "precio_petroleo_promedio",
+        "anio", "mes", "variacion_petroleo_pct",
+        "variacion_ventas_pct")
 
 
 def oil_lag_scan(c: Context) -> DataFrame:
@@ -445,7 +445,7 @@ def preview(c: Context) -> DataFrame:
     keys = ["date", "store_nbr", "family"]
     head = c.fact.orderBy(*keys).limit(10).withColumn("posicion", F.lit("head"))
     tail = c.fact.orderBy(*[F.desc(k) for k in keys]).limit(10).withColumn("posicion", F.lit("tail"))
-    return head.unionByName(tail).withColumn("dcoilwtico", r6("dcoilwtico"))
+    return head.unionByName(tail)
 
 
 def distinct_values(c: Context) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import is_finite, money_sum, pct_change_expr, r6
+from shelfwise.functions.columns import col, is_finite, money_sum, pct_change_expr
 from shelfwise.operators.expect import require_columns
 from shelfwise.sources.sinks import materialize_small
 
@@ -33,8 +33,8 @@ def holiday_vs_normal(df: DataFrame) -> DataFrame:
     daily = _flagged(df).groupBy("date", FLAG).agg(money_sum("sales").alias("ventas_diarias"))
     return daily.groupBy(FLAG).agg(
         money_sum("ventas_diarias").alias("ventas_totales"),
-        r6(money_sum("ventas_diarias") / F.count(F.lit(1))).alias("venta_promedio_diaria"),
-        r6(F.median("ventas_diarias")).alias("venta_mediana_diaria"),
+        col(money_sum("ventas_diarias") / F.count(F.lit(1))).alias("venta_promedio_diaria"),
+        col(F.median("ventas_diarias")).alias("venta_mediana_diaria"),
         F.count(F.lit(1)).cast("bigint").alias("cantidad_dias"),
     )
 
@@ -47,9 +47,9 @@ def holiday_change(df: DataFrame) -> DataFrame:
         F.try_divide(money_sum(F.when(~F.col(FLAG), F.col("v"))), F.count_if(~F.col(FLAG))).alias("n"),
     )
     return one.select(
-        r6("h").alias("promedio_feriado"),
-        r6("n").alias("promedio_normal"),
-        r6(pct_change_expr("h", "n")).alias("cambio_porcentual"),
+        col("h").alias("promedio_feriado"),
+        col("n").alias("promedio_normal"),
+        col(pct_change_expr("h", "n")).alias("cambio_porcentual"),
     )
 
 
@@ -75,8 +75,8 @@ def holiday_window(df: DataFrame, offsets: list[int] = WINDOW_OFFSETS) -> DataFr
     )
     return per_event.groupBy("family", "dias_relativo_feriado").agg(
         money_sum("v").alias("ventas_totales"),
-        r6(money_sum("v") / F.count(F.lit(1))).alias("venta_promedio_por_feriado"),
-        r6(F.median("v")).alias("venta_mediana_por_feriado"),
+        col(money_sum("v") / F.count(F.lit(1))).alias("venta_promedio_por_feriado"),
+        col(F.median("v")).alias("venta_mediana_por_feriado"),
         F.count_distinct("fecha_feriado").cast("bigint").alias("cantidad_feriados"),
     )
 
@@ -100,12 +100,12 @@ def holiday_sensitivity(df: DataFrame) -> DataFrame:
         .where(is_finite("cambio_porcentual"))
         .select(
             "family",
-            r6("venta_promedio_diaria_feriado").alias("venta_promedio_diaria_feriado"),
-            r6("venta_promedio_diaria_normal").alias("venta_promedio_diaria_normal"),
+            col("venta_promedio_diaria_feriado").alias("venta_promedio_diaria_feriado"),
+            col("venta_promedio_diaria_normal").alias("venta_promedio_diaria_normal"),
             "dias_feriado",
             "dias_normales",
-            r6("cambio_porcentual").alias("cambio_porcentual"),
-            r6(F.abs("cambio_porcentual")).alias("sensibilidad_absoluta"),
+            col("cambio_porcentual").alias("cambio_porcentual"),
+            col(F.abs("cambio_porcentual")).alias("sensibilidad_absoluta"),
         )
     )
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import is_finite, money_sum, month_start, r6, safe_corr
+from shelfwise.functions.columns import col, is_finite, money_sum, month_start, safe_corr
 from shelfwise.operators.expect import require_columns
 from shelfwise.operators.series import best_lag, lag_scan, pct_change, shift_within
 
@@ -48,7 +48,7 @@ def oil_correlation(monthly: DataFrame) -> DataFrame:
     return monthly.agg(
         safe_corr("precio_petroleo_promedio", "ventas_totales").alias("c"),
         F.count(F.lit(1)).cast("bigint").alias("meses"),
-    ).select(F.when(is_finite("c"), r6("c")).alias("correlacion"), "meses")
+    ).select(F.when(is_finite("c"), col("c")).alias("correlacion"), "meses")
 
 
 def oil_variations(monthly: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def oil_lag_scan(monthly: DataFrame, period=PERIOD, lags=LAGS) -> DataFrame:
     """
     per = oil_variation_period(monthly, period)
     scan = lag_scan(per, "fecha_mes", "variacion_petroleo_pct", "variacion_ventas_pct", lags)
-    return scan.withColumn("correlacion", r6("correlacion"))
+    return scan.withColumn("correlacion", col("correlacion"))
 
 
 def oil_best_lag(scan: DataFrame) -> DataFrame:
@@ -112,8 +112,8 @@ def oil_city_sensitivity(df: DataFrame, monthly: DataFrame, period=PERIOD, lags=
     )
     return per_city.where(is_finite("c")).select(
         "city",
-        r6("c").alias("correlacion_petroleo_ventas"),
+        col("c").alias("correlacion_petroleo_ventas"),
         "meses_comparados",
-        r6(F.abs("c")).alias("sensibilidad_absoluta"),
+        col(F.abs("c")).alias("sensibilidad_absoluta"),
         lag.cast("int").alias("lag_meses_utilizado"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import is_finite, money_mean, money_sum, pct_change_expr, r6
+from shelfwise.functions.columns import col, is_finite, money_mean, money_sum, pct_change_expr
 from shelfwise.operators.expect import require_columns
 from shelfwise.operators.median import exact_median
 from shelfwise.operators.ranking import top
@@ -27,12 +27,12 @@ def promo_general(df: DataFrame) -> DataFrame:
     f = _flagged(df).select(FLAG, "sales")
     sums = f.groupBy(FLAG).agg(
         money_sum("sales").alias("ventas_totales"),
-        r6(money_mean("sales")).alias("venta_promedio"),
+        col(money_mean("sales")).alias("venta_promedio"),
         F.count(F.lit(1)).cast("bigint").alias("cantidad_registros"),
     )
     med = exact_median(f, [FLAG], "sales", "venta_mediana", few_groups=True)
     return sums.join(med, on=FLAG, how="left").select(
-        FLAG, "ventas_totales", "venta_promedio", r6("venta_mediana").alias("venta_mediana"),
+        FLAG, "ventas_totales", "venta_promedio", col("venta_mediana").alias("venta_mediana"),
         "cantidad_registros",
     )
 
@@ -56,13 +56,13 @@ def promo_by_family(df: DataFrame) -> DataFrame:
         .where(is_finite("incremento_porcentual"))
         .select(
             "family",
-            r6("con").alias("venta_promedio_con_promocion"),
-            r6("sin").alias("venta_promedio_sin_promocion"),
+            col("con").alias("venta_promedio_con_promocion"),
+            col("sin").alias("venta_promedio_sin_promocion"),
             "registros_con_promocion",
             "registros_sin_promocion",
-            r6(F.col("con") - F.col("sin")).alias("diferencia_promedio"),
-            r6("incremento_porcentual").alias("incremento_porcentual"),
-            r6(F.abs("incremento_porcentual")).alias("efecto_absoluto"),
+            col(F.col("con") - F.col("sin")).alias("diferencia_promedio"),
+            col("incremento_porcentual").alias("incremento_porcentual"),
+            col(F.abs("incremento_porcentual")).alias("efecto_absoluto"),
         )
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import money_mean, money_sum, month_start, r6
+from shelfwise.functions.columns import col, money_mean, money_sum, month_start
 from shelfwise.operators.expect import require_columns
 from shelfwise.operators.ranking import ordinal_rank, reverse_rank, share_of_total, top
 
@@ -17,7 +17,7 @@ def total_by(df: DataFrame, keys: list, value: str = SALES, with_mean: bool = Tr
     """Exact total (and mean, row count) of ``value`` per key, one hash aggregation."""
     aggs = [money_sum(value).alias("ventas_totales")]
     if with_mean:
-        aggs.append(r6(money_mean(value)).alias("venta_promedio"))
+        aggs.append(col(money_mean(value)).alias("venta_promedio"))
     if with_count:
         aggs.append(F.count(F.lit(1)).cast("bigint").alias("numero_registros"))
     return df.groupBy(*keys).agg(*aggs)
@@ -27,7 +27,7 @@ def by_family(df: DataFrame) -> DataFrame:
     require_columns(df, ["family", SALES], "fact")
     t = total_by(df, ["family"], with_count=True)
     return share_of_total(t, "ventas_totales", "participacion_porcentual").withColumn(
-        "participacion_porcentual", r6("participacion_porcentual")
+        "participacion_porcentual", col("participacion_porcentual")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import is_finite, money_mean, money_sum, r6, safe_corr
+from shelfwise.functions.columns import col, is_finite, money_mean, money_sum, safe_corr
 from shelfwise.operators.expect import require_columns
 from shelfwise.operators.clean import column_medians
 
@@ -44,7 +44,7 @@ def traffic_daily(df: DataFrame) -> DataFrame:
 
 def traffic_correlation(daily: DataFrame) -> DataFrame:
     return daily.agg(safe_corr("transactions", "ventas_diarias").alias("c")).select(
-        F.when(is_finite("c"), r6("c")).alias("correlacion")
+        F.when(is_finite("c"), col("c")).alias("correlacion")
     )
 
 
@@ -68,11 +68,11 @@ def ticket_by_store(daily: DataFrame) -> DataFrame:
 def _rounded(stores: DataFrame) -> DataFrame:
     return stores.select(
         "store_nbr", "total_transacciones", "ventas_totales",
-        r6("transacciones_promedio_diarias").alias("transacciones_promedio_diarias"),
-        r6("ventas_promedio_diarias").alias("ventas_promedio_diarias"),
-        r6("correlacion_transacciones_ventas").alias("correlacion_transacciones_ventas"),
+        col("transacciones_promedio_diarias").alias("transacciones_promedio_diarias"),
+        col("ventas_promedio_diarias").alias("ventas_promedio_diarias"),
+        col("correlacion_transacciones_ventas").alias("correlacion_transacciones_ventas"),
         "dias_analizados",
-        r6("ticket_promedio").alias("ticket_promedio"),
+        col("ticket_promedio").alias("ticket_promedio"),
         *[c for c in stores.columns if c == "clasificacion_ticket"],
     )
 

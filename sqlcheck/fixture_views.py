@@ -15,7 +15,7 @@ from supplier s join nation n on s.s_nationkey = n.n_nationkey join region r on
 
 TRAIN = """
 select cast(l.l_shipdate as date) as date, l.l_suppkey as store_nbr, p.p_type as family,
-  cast(sum(cast(l.l_extendedprice as decimal(18,2))) as double) as sales,
+  fsum(l.l_extendedprice) as sales,
   cast(sum(case when l.l_discount >= 0.05 then 1 else 0 end) as bigint) as onpromotion
 from lineitem l join part p on l.l_partkey = p.p_partkey group by 1, 2, 3
 """
@@ -29,7 +29,7 @@ from lineitem where extract(day from l_shipdate) <> 13 group by 1, 2
 OIL = """
 select date, case when extract(day from date) in (2, 10) then null else price end as dcoilwtico
 from (select cast(o_orderdate as date) as date,
-        cast(sum(cast(o_totalprice as decimal(18,2))) as double) / count(*) as price
+        fsum(o_totalprice) / count(*) as price
       from orders
       where mod(datediff('day', date '1995-01-01', cast(o_orderdate as date)), 7) not in (0, 6)
       group by 1) t

@@ -2,8 +2,8 @@
 
 Written independently of the Spark plans, as the most direct SQL for each result:
 plain unpartitioned windows, built-in ``median``, lateral neighbour lookups. Money is
-summed as decimal and cast once, floats are rounded to 6 decimals, integer results are
-cast to the types Spark returns, as in the Spark queries.
+summed as it is, every selection works on full precision, and float results are rounded to
+6 decimals once, outermost. Integer results are cast to the types Spark returns.
 """
 
 from __future__ import annotations
@@ -26,13 +26,10 @@ INPUT_VIEWS = tuple(VIEW_OF.values())
 
 
 def M(x: str) -> str:
-    """Exact money sum."""
-    return f"cast(sum(cast({x} as decimal(38,2))) as double)"
+    """Sum of the doubles as they are (compensated, so its last digits don't depend on the order)."""
+    return f"fsum({x})"
 
 
-def R(x: str) -> str:
-    return f"round({x}, 6)"
-
 
 def CORR(x: str, y: str) -> str:
     return (f"(covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0))")
@@ -116,15 +113,15 @@ from store_traffic
 """
 
 STORE_COLS = f"""store_nbr, total_transacciones, ventas_totales,
-  {R('transacciones_promedio_diarias')} as transacciones_promedio_diarias,
-  {R('ventas_promedio_diarias')} as ventas_promedio_diarias,
-  {R('correlacion_transacciones_ventas')} as correlacion_transacciones_ventas,
-  dias_analizados, {R('ticket_promedio')} as ticket_promedio"""
+  transacciones_promedio_diarias as transacciones_promedio_diarias,
+  ventas_promedio_diarias as ventas_promedio_diarias,
+  correlacion_transacciones_ventas as correlacion_transacciones_ventas,
+  dias_analizados, ticket_promedio as ticket_promedio"""
 
 FAMILY_SENS = f"""
 select family,
-  {R('h')} as venta_promedio_diaria_feriado, {R('n')} as venta_promedio_diaria_normal,
-  dias_feriado, dias_normales, {R('chg')} as cambio_porcentual, {R('abs(chg)')} as sensibilidad_absoluta
+  h as venta_promedio_diaria_feriado, n as venta_promedio_diaria_normal,
+  dias_feriado, dias_normales, chg as cambio_porcentual, abs(chg) as sensibilidad_absoluta
 from (
   select *, (h - n) / nullif(n, 0) * 100 as chg from (
     select family,
@@ -138,9 +135,9 @@ from (
 """
 
 PROMO_FAMILY = f"""
-select family, {R('con')} as venta_promedio_con_promocion, {R('sin')} as venta_promedio_sin_promocion,
-  registros_con_promocion, registros_sin_promocion, {R('con - sin')} as diferencia_promedio,
-  {R('inc')} as incremento_porcentual, {R('abs(inc)')} as efecto_absoluto
+select family, con as venta_promedio_con_promocion, sin as venta_promedio_sin_promocion,
+  registros_con_promocion, registros_sin_promocion, con - sin as diferencia_promedio,
+  inc as incremento_porcentual, abs(inc) as efecto_absoluto
 from (
   select *, (con - sin) / nullif(sin, 0) * 100 as inc from (
     select family,
@@ -245,7 +242,7 @@ def _impute_log() -> str:
             if t in ("bigint", "int", "double"):
                 parts.append(
                     f"select '{ds}' as dataset, '{c}' as \"column\", cast(count(*) - count({c}) as bigint) "
-                    f"as cantidad, 'mediana' as criterio, round(median({c}), 6) as valor_numerico, "
+                    f"as cantidad, 'mediana' as criterio, median({c}) as valor_numerico, "
                     f"cast(null as varchar) as valor_texto from {v} "
                     f"having count(*) - count({c}) > 0 and count({c}) > 0"
                 )
@@ -278,7 +275,7 @@ def _cleaning_metrics() -> str:
     return with_views(_union(parts), *INPUT_VIEWS)
 
 
-GAP_FILL = with_views("select date, round(dcoilwtico, 6) as dcoilwtico from oil_filled", "oil_filled")
+GAP_FILL = with_views("select date, dcoilwtico as dcoilwtico from oil_filled", "oil_filled")
 
 GAP_FILL_METRICS = with_views("""
 select cast(count(*) as bigint) as filas_originales,
@@ -364,14 +361,14 @@ def _dq_checks() -> str:
 # ---- analyses ------------------------------------------------------------------------
 
 def _total_by(key_expr: str, key: str, mean: bool = True) -> str:
-    m = f", round({M('sales')} / count(sales), 6) as venta_promedio" if mean else ""
+    m = f", ({M('sales')} / count(sales)) as venta_promedio" if mean else ""
     return f"select {key_expr} as {key}, {M('sales')} as ventas_totales{m} from fact group by 1"
 
 
 SALES_BY_FAMILY = f"""
-select family, {M('sales')} as ventas_totales, round({M('sales')} / count(sales), 6) as venta_promedio,
+select family, {M('sales')} as ventas_totales, ({M('sales')} / count(sales)) as venta_promedio,
   cast(count(*) as bigint) as numero_registros,
-  round({M('sales')} * 100 / sum({M('sales')}) over (), 6) as participacion_porcentual
+  ({M('sales')} * 100 / sum({M('sales')}) over ()) as participacion_porcentual
 from fact group by family
 """
 
@@ -390,14 +387,14 @@ from ({_total_by("cast(date_trunc('month', date) as date)", 'fecha_mes', mean=Fa
 """
 
 HOLIDAY_VS_NORMAL = f"""
-select es_feriado_nacional, {M('v')} as ventas_totales, round({M('v')} / count(*), 6) as venta_promedio_diaria,
-  round(median(v), 6) as venta_mediana_diaria, cast(count(*) as bigint) as cantidad_dias
+select es_feriado_nacional, {M('v')} as ventas_totales, ({M('v')} / count(*)) as venta_promedio_diaria,
+  median(v) as venta_mediana_diaria, cast(count(*) as bigint) as cantidad_dias
 from (select date, es_feriado_nacional, {M('sales')} as v from fact group by 1, 2) d
 group by es_feriado_nacional
 """
 
 HOLIDAY_CHANGE = f"""
-select {R('h')} as promedio_feriado, {R('n')} as promedio_normal, {R('(h - n) / nullif(n, 0) * 100')}
+select h as promedio_feriado, n as promedio_normal, (h - n) / nullif(n, 0) * 100
   as cambio_porcentual
 from (select {M('case when f then v end')} / nullif(count(case when f then 1 end), 0) as h,
              {M('case when not f then v end')} / nullif(count(case when not f then 1 end), 0) as n
@@ -406,7 +403,7 @@ from (select {M('case when f then v end')} / nullif(count(case when f then 1 end
 
 HOLIDAY_WINDOW = f"""
 select family, dias_relativo_feriado, {M('v')} as ventas_totales,
-  round({M('v')} / count(*), 6) as venta_promedio_por_feriado, round(median(v), 6) as venta_mediana_por_feriado,
+  ({M('v')} / count(*)) as venta_promedio_por_feriado, median(v) as venta_mediana_por_feriado,
   cast(count(distinct fecha_feriado) as bigint) as cantidad_feriados
 from (
   select w.fecha_feriado, f.family, w.k as dias_relativo_feriado, {M('f.sales')} as v
@@ -419,7 +416,7 @@ from (
 
 PROMO_GENERAL = f"""
 select coalesce(onpromotion, 0) > 0 as en_promocion, {M('sales')} as ventas_totales,
-  round({M('sales')} / count(sales), 6) as venta_promedio, round(median(sales), 6) as venta_mediana,
+  ({M('sales')} / count(sales)) as venta_promedio, median(sales) as venta_mediana,
   cast(count(*) as bigint) as cantidad_registros
 from fact group by 1
 """
@@ -444,7 +441,7 @@ s as (
   select a.city, a.vp as x, b.vc as y from j a
   left join j b on b.city = a.city and b.rn = a.rn + (select lag from best)
 )
-select city, {R('c')} as correlacion_petroleo_ventas, n as meses_comparados, {R('abs(c)')} as sensibilidad_absoluta,
+select city, c as correlacion_petroleo_ventas, n as meses_comparados, abs(c) as sensibilidad_absoluta,
   cast((select lag from best) as integer) as lag_meses_utilizado
 from (select city, {CORR('x', 'y')} as c, cast(count(*) as bigint) as n from s
       where {FIN('x')} and {FIN('y')} group by city) r
@@ -475,7 +472,7 @@ ORACLE: dict[str, str] = {
     "parse_date": with_views("select date, store_nbr, transactions from transactions", "transactions"),
     "dedup_rows": with_views("select distinct * from transactions", "transactions"),
     "impute_median": with_views(
-        "select date, round(coalesce(dcoilwtico, (select median(dcoilwtico) from oil)), 6) as dcoilwtico from oil",
+        "select date, (coalesce(dcoilwtico, (select median(dcoilwtico) from oil))) as dcoilwtico from oil",
         "oil"),
     "impute_mode": _impute_mode(),
     "impute_log": _impute_log(),
@@ -484,7 +481,7 @@ ORACLE: dict[str, str] = {
     "gap_fill_bucketed": GAP_FILL,
     "gap_fill_metrics": GAP_FILL_METRICS,
     "holiday_rollup": with_views("select * from holiday_rollup", "holiday_rollup"),
-    "consolidate": with_views("select * replace (round(dcoilwtico, 6) as dcoilwtico) from fact", "fact"),
+    "consolidate": with_views("select * replace (dcoilwtico as dcoilwtico) from fact", "fact"),
     "consolidation_metrics": CONSOLIDATION_METRICS,
     "join_key_violations": JOIN_KEY_VIOLATIONS,
     "join_fanout": JOIN_FANOUT,
@@ -517,19 +514,19 @@ ORACLE: dict[str, str] = {
     "promo_negative": on_fact("select * from promo_family where incremento_porcentual < 0", "promo_family"),
     "promo_smallest": on_fact("select * from promo_family where incremento_porcentual >= 0 "
                               "order by incremento_porcentual asc, family asc limit 10", "promo_family"),
-    "oil_monthly": on_fact("select fecha_mes, ventas_totales, round(precio_petroleo_promedio, 6) as "
+    "oil_monthly": on_fact("select fecha_mes, ventas_totales, precio_petroleo_promedio as "
                            "precio_petroleo_promedio, anio, mes from monthly", "monthly"),
     "oil_correlation": on_fact(
-        f"select case when {FIN('c')} then round(c, 6) end as correlacion, meses from "
+        f"select case when {FIN('c')} then c end as correlacion, meses from "
         f"(select {CORR('precio_petroleo_promedio', 'ventas_totales')} as c, cast(count(*) as bigint) as meses "
         f"from monthly) x", "monthly"),
     "oil_variation_period": on_fact(
-        "select fecha_mes, ventas_totales, round(precio_petroleo_promedio, 6) as precio_petroleo_promedio, anio, mes, "
-        "round(variacion_petroleo_pct, 6) as variacion_petroleo_pct, round(variacion_ventas_pct, 6) as "
+        "select fecha_mes, ventas_totales, precio_petroleo_promedio as precio_petroleo_promedio, anio, mes, "
+        "variacion_petroleo_pct as variacion_petroleo_pct, variacion_ventas_pct as "
         f"variacion_ventas_pct from variations where {PERIOD}", "variations"),
-    "oil_lag_scan": on_fact("select lag_meses, round(correlacion, 6) as correlacion, meses_comparados "
+    "oil_lag_scan": on_fact("select lag_meses, correlacion as correlacion, meses_comparados "
                             "from lag_scan", "lag_scan"),
-    "oil_best_lag": on_fact("select * from (select lag_meses, round(correlacion, 6) as correlacion, "
+    "oil_best_lag": on_fact("select * from (select lag_meses, correlacion as correlacion, "
                             "meses_comparados from lag_scan) s where correlacion > 0 "
                             "order by correlacion desc, lag_meses asc limit 1", "lag_scan"),
     "oil_city_sensitivity": on_fact(CITY_SENS.replace("with best as", "select * from (with best as", 1) + ") q",
@@ -539,7 +536,7 @@ ORACLE: dict[str, str] = {
         "else 0 end) as bigint) as valores from fact group by 1, 2 having valores > 1"),
     "traffic_daily": on_fact("select * from daily_traffic", "daily_traffic"),
     "traffic_correlation": on_fact(
-        f"select case when {FIN('c')} then round(c, 6) end as correlacion from "
+        f"select case when {FIN('c')} then c end as correlacion from "
         f"(select {CORR('transactions', 'ventas_diarias')} as c from daily_traffic) x", "daily_traffic"),
     "ticket_by_store": on_fact(f"select {STORE_COLS} from store_traffic", "store_traffic"),
     "ticket_class": on_fact(f"select {STORE_COLS}, clasificacion_ticket from ticket_classes", "ticket_classes"),
@@ -558,10 +555,10 @@ DERIVED["city_sens"] = "select * from (" + CITY_SENS + ") q"
 DERIVED_DEPS["city_sens"] = ("lag_raw",)
 
 PREVIEW = """
-select * replace (round(dcoilwtico, 6) as dcoilwtico), 'head' as posicion
+select * replace (dcoilwtico as dcoilwtico), 'head' as posicion
 from (select * from fact order by date, store_nbr, family limit 10) h
 union all
-select * replace (round(dcoilwtico, 6) as dcoilwtico), 'tail' as posicion
+select * replace (dcoilwtico as dcoilwtico), 'tail' as posicion
 from (select * from fact order by date desc, store_nbr desc, family desc limit 10) t
 """
 
@@ -578,10 +575,10 @@ select
   cast((select count(*) from family_sens where cambio_porcentual > 0) as bigint) as familias_impacto_positivo,
   cast((select count(*) from family_sens where cambio_porcentual < 0) as bigint) as familias_impacto_negativo,
   (select family from promo_family order by incremento_porcentual desc, family limit 1) as familia_mayor_incremento,
-  (select lag_meses from (select lag_meses, round(correlacion, 6) as c from lag_scan) s where c > 0
+  (select lag_meses from (select lag_meses, correlacion as c from lag_scan) s where c > 0
    order by c desc, lag_meses limit 1) as mejor_lag_meses,
   (select city from city_sens order by sensibilidad_absoluta desc, city limit 1) as ciudad_mayor_sensibilidad,
-  (select store_nbr from (select store_nbr, round(correlacion_transacciones_ventas, 6) as c from store_traffic
+  (select store_nbr from (select store_nbr, correlacion_transacciones_ventas as c from store_traffic
      where {FIN('correlacion_transacciones_ventas')}) s order by c desc, store_nbr limit 1) as tienda_mayor_correlacion,
   cast((select count(*) from ticket_classes where clasificacion_ticket = 'Ticket alto') as bigint)
     as cantidad_tiendas_ticket_alto,
@@ -615,3 +612,55 @@ ORACLE.update({
         for table, query, ncols in EXPORTED
     ]),
 })
+
+# Float columns of each result, rounded for the comparison.
+FLOATS = {
+    "profile_nulls": "null_pct",
+    "impute_median": "dcoilwtico",
+    "impute_log": "valor_numerico",
+    "gap_fill": "dcoilwtico",
+    "gap_fill_bucketed": "dcoilwtico",
+    "consolidate": "sales dcoilwtico",
+    "sales_by_family": "ventas_totales venta_promedio participacion_porcentual",
+    "sales_by_store": "ventas_totales venta_promedio",
+    "sales_by_city": "ventas_totales venta_promedio",
+    "sales_by_state": "ventas_totales venta_promedio",
+    "sales_by_year": "ventas_totales venta_promedio",
+    "sales_by_month": "ventas_totales",
+    "top_stores": "ventas_totales venta_promedio",
+    "bottom_stores": "ventas_totales venta_promedio",
+    "top_cities_by_mean": "ventas_totales venta_promedio",
+    "top_families": "ventas_totales venta_promedio participacion_porcentual",
+    "holiday_vs_normal": "ventas_totales venta_promedio_diaria venta_mediana_diaria",
+    "holiday_change": "promedio_feriado promedio_normal cambio_porcentual",
+    "holiday_window": "ventas_totales venta_promedio_por_feriado venta_mediana_por_feriado",
+    "holiday_sensitivity": "venta_promedio_diaria_feriado venta_promedio_diaria_normal cambio_porcentual sensibilidad_absoluta",
+    "holiday_positive": "venta_promedio_diaria_feriado venta_promedio_diaria_normal cambio_porcentual sensibilidad_absoluta",
+    "holiday_negative": "venta_promedio_diaria_feriado venta_promedio_diaria_normal cambio_porcentual sensibilidad_absoluta",
+    "promo_general": "ventas_totales venta_promedio venta_mediana",
+    "promo_by_family": "venta_promedio_con_promocion venta_promedio_sin_promocion diferencia_promedio incremento_porcentual efecto_absoluto",
+    "promo_top": "venta_promedio_con_promocion venta_promedio_sin_promocion diferencia_promedio incremento_porcentual efecto_absoluto",
+    "promo_negative": "venta_promedio_con_promocion venta_promedio_sin_promocion diferencia_promedio incremento_porcentual efecto_absoluto",
+    "promo_smallest": "venta_promedio_con_promocion venta_promedio_sin_promocion diferencia_promedio incremento_porcentual efecto_absoluto",
+    "oil_monthly": "ventas_totales precio_petroleo_promedio",
+    "oil_correlation": "correlacion",
+    "oil_variation_period": "ventas_totales precio_petroleo_promedio variacion_petroleo_pct variacion_ventas_pct",
+    "oil_lag_scan": "correlacion",
+    "oil_best_lag": "correlacion",
+    "oil_city_sensitivity": "correlacion_petroleo_ventas sensibilidad_absoluta",
+    "traffic_daily": "ventas_diarias",
+    "traffic_correlation": "correlacion",
+    "ticket_by_store": "ventas_totales transacciones_promedio_diarias ventas_promedio_diarias correlacion_transacciones_ventas ticket_promedio",
+    "ticket_class": "ventas_totales transacciones_promedio_diarias ventas_promedio_diarias correlacion_transacciones_ventas ticket_promedio",
+    "ticket_high": "ventas_totales transacciones_promedio_diarias ventas_promedio_diarias correlacion_transacciones_ventas ticket_promedio",
+    "ticket_low": "ventas_totales transacciones_promedio_diarias ventas_promedio_diarias correlacion_transacciones_ventas ticket_promedio",
+    "traffic_top_stores": "ventas_totales transacciones_promedio_diarias ventas_promedio_diarias correlacion_transacciones_ventas ticket_promedio",
+    "preview": "sales dcoilwtico",
+}
+
+
+def reported(sql: str, floats: str) -> str:
+    return f"select * replace ({', '.join(f'round({c}, 6) as {c}' for c in floats.split())}) from (\n{sql}\n) as result"
+
+
+ORACLE.update({name: reported(ORACLE[name], floats) for name, floats in FLOATS.items()})
