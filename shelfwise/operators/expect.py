@@ -43,6 +43,17 @@ def guard(df: DataFrame, violations: DataFrame, message: str) -> DataFrame:
     return df.where(ok)
 
 
+def require_rows(df: DataFrame, least: int, message: str) -> DataFrame:
+    """Return ``df``, or raise when it has fewer than ``least`` rows.
+
+    Runs at once (an empty frame has no row on which a lazy check could fail), and reads no more
+    than ``least`` rows of what are small derived tables.
+    """
+    if df.limit(least).count() < least:
+        raise ValueError(message)
+    return df
+
+
 def expect(checks: Mapping[str, DataFrame]) -> DataFrame:
     """One row per check: ``(check, violations)``. Each input holds the violating rows."""
     parts = [

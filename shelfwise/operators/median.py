@@ -7,7 +7,7 @@ median is found by narrowing:
 1. value frequencies per group (map-side combined hash aggregation);
 2. a histogram of 4,096 buckets per group on a log-like scale, whose running counts
    name the bucket holding each middle rank;
-3. a 4,096-bucket linear histogram inside that bucket;
+3. two 4,096-bucket linear histograms, each inside the bucket that the one before left;
 4. an ordered window over the few distinct values left, which reads off the values at
    the middle ranks.
 
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
+LINEAR_LEVELS = 2
 _G = "_grp"  # constant group key when the median is global
 
 
@@ -50,41 +51,15 @@ def _pick_bucket(hist: DataFrame, part: list[str], bucket: str) -> DataFrame:
     ).select(*part, bucket, (F.col("_k") - (F.col("_cum") - F.col("_cnt"))).alias("_k"))
 
 
-# Largest group Spark's own ``median`` may hold in one task (its value->count map).
-SINGLE_TASK_LIMIT = 2_000_000
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median", few_groups: bool = False) -> DataFrame:
+    """Exact (interpolated) median of ``value`` per ``keys``, nulls ignored; one way at every size.
 
-
-def exact_median(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    out: str = "median",
-    few_groups: bool = False,
-    single_task_limit: int | None = SINGLE_TASK_LIMIT,
-) -> DataFrame:
-    """Exact (interpolated) median of ``value`` per ``keys``, nulls ignored.
-
-    The strategy is chosen from a measurement, as AQE chooses a broadcast: one small
-    job finds the largest group; when it holds at most ``single_task_limit`` values,
-    Spark's ``median`` (one aggregation, a group per task) is used, otherwise the
-    distributed narrowing below. ``single_task_limit=None`` skips the measurement and
-    always distributes.
-
-    ``few_groups=True`` declares that the number of groups is small (a flag, a list
-    of column names), which lets the per-group tables be broadcast; otherwise their
-    joins are left to AQE, which broadcasts them once measured small and splits skew.
-    Groups whose values are all null are absent from the result.
+    ``few_groups=True`` declares that the number of groups is bounded by the schema (a flag, a list of
+    column names), which lets the per-group tables be broadcast, so the rows of a hot group stay
+    where their values were dealt; otherwise the joins are left to AQE, which broadcasts them once
+    measured small and splits skew. Groups whose values are all null are absent from the result.
     """
     keys = list(keys)
-    if single_task_limit is not None:
-        present = df.where(F.col(value).isNotNull())
-        sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else \
-            present.agg(F.count(F.lit(1)).alias("_n"))
-        largest = sizes.agg(F.max("_n")).first()[0]
-        if largest is None or largest <= single_task_limit:
-            grouped = present.groupBy(*keys) if keys else present.groupBy()
-            return grouped.agg(F.median(F.col(value).cast("double")).alias(out)).where(
-                F.col(out).isNotNull())
     small = few_groups or not keys
     if not keys:
         df = df.withColumn(_G, F.lit(0))
@@ -124,26 +99,20 @@ def exact_median(
     hist1_t = hist1.join(_maybe_broadcast(targets.select(*part, "_t", "_k"), small), on=part)
     pick1 = _pick_bucket(hist1_t, part + ["_t"], "_b1")
 
-    # Level 2: linear histogram inside the chosen bucket.
-    cand1 = b1.select(*part, "_b1", "_v", "_c").join(
-        _maybe_broadcast(pick1, small), on=part + ["_b1"]
-    )
-    range2 = cand1.groupBy(*part, "_t").agg(F.min("_v").alias("_lo2"), F.max("_v").alias("_hi2"))
-    cand1 = cand1.join(_maybe_broadcast(range2, small), on=part + ["_t"]).withColumn(
-        "_b2", _bucket(F.col("_v"), F.col("_lo2"), F.col("_hi2"))
-    )
-    hist2 = cand1.groupBy(*part, "_t", "_b2").agg(
-        F.sum("_c").alias("_cnt"), F.first("_k").alias("_k")
-    )
-    pick2 = _pick_bucket(hist2, part + ["_t"], "_b2")
+    rest = b1.select(*part, "_b1", "_v", "_c").join(_maybe_broadcast(pick1, small), on=part + ["_b1"]).drop("_b1")
+
+    # Then linear histograms inside the chosen bucket, each 4,096 times finer.
+    for _ in range(LINEAR_LEVELS):
+        span = rest.groupBy(*part, "_t").agg(F.min("_v").alias("_from"), F.max("_v").alias("_to"))
+        rest = rest.join(_maybe_broadcast(span, small), on=part + ["_t"]).withColumn("_b", _bucket(F.col("_v"), F.col("_from"), F.col("_to"))).drop("_from", "_to")
+        hist = rest.groupBy(*part, "_t", "_b").agg(F.sum("_c").alias("_cnt"), F.first("_k").alias("_k"))
+        pick = _pick_bucket(hist, part + ["_t"], "_b")
+        rest = rest.drop("_k").join(_maybe_broadcast(pick, small), on=part + ["_t", "_b"]).drop("_b")
 
     # Final: ordered distinct values of the chosen sub-bucket.
-    cand2 = cand1.select(*part, "_t", "_b2", "_v", "_c").join(
-        _maybe_broadcast(pick2, small), on=part + ["_t", "_b2"]
-    )
     w = Window.partitionBy(*part, "_t").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     hit = (
-        cand2.withColumn("_cum", F.sum("_c").over(w))
+        rest.withColumn("_cum", F.sum("_c").over(w))
         .where((F.col("_cum") - F.col("_c") < F.col("_k")) & (F.col("_k") <= F.col("_cum")))
     )
     lower = F.max(F.when(F.col("_t") == 1, F.col("_v")))

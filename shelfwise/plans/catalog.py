@@ -1,7 +1,7 @@
 """Named queries over the driver's tables: the registry behind ``__spark_entry__``.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole
-tables. ``Context`` builds the shared pieces (inputs, consolidated fact, monthly oil
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables. Building
+one may run jobs: shared tables are staged, gates on small derived tables are checked. ``Context`` builds the shared pieces (inputs, consolidated fact, monthly oil
 series) once per call, lazily.
 """
 
@@ -18,7 +18,13 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import rounded
 from shelfwise.operators import clean as C
 from shelfwise.operators import profile as P
-from shelfwise.operators.expect import expect, expect_in_one_pass, key_violations, union_reports
+from shelfwise.operators.expect import (
+    expect,
+    expect_in_one_pass,
+    key_violations,
+    require_rows,
+    union_reports,
+)
 from shelfwise.operators.gapfill import fill_calendar, gap_fill_metrics
 from shelfwise.operators.joins import fanout
 from shelfwise.plans import holidays as H
@@ -104,14 +110,16 @@ class Context:
     def monthly(self) -> DataFrame:
         """Monthly sales and price (one row per month), staged: six oil queries and the
         checks start from it."""
-        return stage_table(lambda: O.oil_monthly(self.fact), "oil_monthly", _input_key(self.t.root),
-                           spark=self.spark)
+        monthly = stage_table(lambda: O.oil_monthly(self.fact), "oil_monthly", _input_key(self.t.root),
+                              spark=self.spark)
+        return O.require_months(monthly)
 
     @cached_property
     def daily_traffic(self) -> DataFrame:
         """Sales and traffic per store and day (a result table of its own), staged."""
-        return stage_table(lambda: TR.traffic_daily(self.fact), "traffic_daily", _input_key(self.t.root),
-                           sort_by=["store_nbr", "date"], spark=self.spark)
+        daily = stage_table(lambda: TR.traffic_daily(self.fact), "traffic_daily", _input_key(self.t.root),
+                            sort_by=["store_nbr", "date"], spark=self.spark)
+        return require_rows(daily, 1, "no day with transactions")
 
     @cached_property
     def store_traffic(self) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import col, is_finite, money_sum, pct_change_expr
-from shelfwise.operators.expect import require_columns
+from shelfwise.operators.expect import require_columns, require_rows
 from shelfwise.sources.sinks import materialize_small
 
 FLAG = "es_feriado_nacional"
@@ -63,7 +63,8 @@ def holiday_window(df: DataFrame, offsets: list[int] = WINDOW_OFFSETS) -> DataFr
     A day near two holidays counts for both; days outside the data vanish.
     """
     f = _flagged(df)
-    windows = materialize_small(holiday_dates(f).select(
+    dates = require_rows(holiday_dates(f), 1, "no national holiday in the fact")
+    windows = materialize_small(dates.select(
         F.col("date").alias("fecha_feriado"),
         F.explode(F.array(*[F.lit(k) for k in offsets])).alias("dias_relativo_feriado"),
     ).withColumn("date", F.date_add("fecha_feriado", F.col("dias_relativo_feriado"))), "holiday_windows")

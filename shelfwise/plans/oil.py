@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import col, is_finite, money_sum, month_start, safe_corr
-from shelfwise.operators.expect import require_columns
+from shelfwise.operators.expect import require_columns, require_rows
 from shelfwise.operators.series import best_lag, lag_scan, pct_change, shift_within
 
 # The reference's period (2015-01 .. 2016-12) mapped onto the fixture calendar.
@@ -43,6 +43,13 @@ def oil_monthly(df: DataFrame) -> DataFrame:
     )
 
 
+def require_months(monthly: DataFrame, period=PERIOD) -> DataFrame:
+    """The monthly series, or an error when it is too short: 3 months in all, 4 in the period."""
+    require_rows(monthly, 3, "fewer than 3 months with sales and price")
+    require_rows(in_period(monthly, period), 4, f"fewer than 4 months between {period[0]} and {period[1]}")
+    return monthly
+
+
 def oil_correlation(monthly: DataFrame) -> DataFrame:
     """One row: correlation of the monthly mean price with monthly sales, and months."""
     return monthly.agg(

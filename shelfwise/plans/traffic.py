@@ -32,14 +32,17 @@ def fd_violations(df: DataFrame) -> DataFrame:
 def traffic_daily(df: DataFrame) -> DataFrame:
     """Per store and day: total sales and the day's transactions, days with traffic only.
 
-    ``max`` reads the one transactions value per (store, date) deterministically.
+    ``max`` reads the one transactions value per (store, date); the same pass fails if a store's day
+    carries two of them (null counts as a value).
     """
     _check(df)
-    return (
-        df.groupBy("store_nbr", "date")
-        .agg(money_sum("sales").alias("ventas_diarias"), F.max("transactions").alias("transactions"))
-        .where(F.col("transactions") > 0)
-    )
+    t = F.col("transactions")
+    two = (F.min(t) < F.max(t)) | ((F.count(t) > 0) & (F.count(t) < F.count(F.lit(1))))
+    message = "transactions has more than one value for a store and date"
+    daily = df.groupBy("store_nbr", "date").agg(
+        money_sum("sales").alias("ventas_diarias"),
+        F.when(two, F.raise_error(F.lit(message)).cast("bigint")).otherwise(F.max(t)).alias("transactions"))
+    return daily.where(F.col("transactions") > 0)
 
 
 def traffic_correlation(daily: DataFrame) -> DataFrame:

@@ -148,21 +148,16 @@ def create_table_ddl(schema_name: str, table: str, schema: T.StructType) -> str:
     return f"CREATE TABLE {quote_identifier(schema_name)}.{quote_identifier(table)} ({cols})"
 
 
-def column_types_option(schema: T.StructType) -> str:
-    """Value for the JDBC writer's ``createTableColumnTypes`` option."""
-    return ", ".join(f"{quote_identifier(f.name)} {sql_type(f.dataType)}" for f in schema.fields)
-
-
-# Fixed values of the reference: indexed columns per exported table.
+# Indexed columns per exported table.
 INDEXES = {
-    "consolidado": [["date"], ["store_nbr"], ["family"], ["city"], ["state"]],
-    "ventas_por_familia": [["family"]],
+    "consolidado": [["date"], ["store_nbr"], ["family"]],
     "ventas_por_tienda": [["store_nbr"]],
-    "ventas_por_ciudad": [["city"]],
-    "ventas_por_provincia": [["state"]],
-    "transacciones_ventas_diarias": [["store_nbr"], ["date"]],
+    "ventas_por_mes": [["anio", "mes"]],
+    "feriados_ventana_tres_dias": [["family"], ["dias_relativo_feriado"]],
+    "promociones_por_familia": [["family"]],
+    "petroleo_ventas_mensuales": [["anio", "mes"]],
+    "petroleo_sensibilidad_ciudades": [["city"]],
     "transacciones_por_tienda": [["store_nbr"]],
-    "transacciones_clasificacion_ticket": [["store_nbr"], ["clasificacion_ticket"]],
 }
 
 
@@ -179,23 +174,20 @@ def index_ddl(schema_name: str, table: str, columns: list[str]) -> list[str]:
     return out
 
 
-def jdbc_options(
-    url: str, schema_name: str, table: str, df: DataFrame, batch_size: int = 50_000,
-    num_partitions: int | None = None, staging_suffix: str = "__staging",
-) -> dict[str, str]:
-    """Options for a parallel JDBC write into a staging table.
+STAGING = "__staging"
+
+
+def jdbc_options(url: str, schema_name: str, table: str, batch_size: int = 50_000,
+                 num_partitions: int | None = None) -> dict[str, str]:
+    """Options for a parallel JDBC append to the staging table, which exists with its own types.
 
-    Executors insert their partitions concurrently in batches of ``batch_size``; Spark
-    commits per partition, so the all-or-nothing swap is done by writing
-    ``<table>__staging`` and renaming it in one transaction afterwards
-    (``swap_statements``).
+    Executors insert their partitions concurrently in batches of ``batch_size``. Spark commits per
+    partition, so readers see the table only after the swap (``swap_statements``).
     """
     opts = {
         "url": url,
-        "dbtable": f"{quote_identifier(schema_name)}.{quote_identifier(table + staging_suffix)}",
+        "dbtable": f"{quote_identifier(schema_name)}.{quote_identifier(table + STAGING)}",
         "batchsize": str(batch_size),
-        "createTableColumnTypes": column_types_option(df.schema),
-        "truncate": "false",
         "isolationLevel": "READ_COMMITTED",
     }
     if num_partitions:
@@ -203,25 +195,58 @@ def jdbc_options(
     return opts
 
 
-def swap_statements(schema_name: str, table: str, staging_suffix: str = "__staging") -> list[str]:
-    s, t = quote_identifier(schema_name), quote_identifier(table)
-    st = quote_identifier(table + staging_suffix)
+def prepare_statements(schema_name: str, table: str, schema: T.StructType) -> list[str]:
+    """Before the write: the schema, then an empty staging table with the target types."""
+    s = quote_identifier(schema_name)
     return [
-        "BEGIN",
         f"CREATE SCHEMA IF NOT EXISTS {s}",
+        f"DROP TABLE IF EXISTS {s}.{quote_identifier(table + STAGING)}",
+        create_table_ddl(schema_name, table + STAGING, schema),
+    ]
+
+
+def swap_statements(schema_name: str, table: str, columns: list[str]) -> list[str]:
+    """After the write, as one transaction: rename, indexes, statistics."""
+    s, t = quote_identifier(schema_name), quote_identifier(table)
+    return [
         f"DROP TABLE IF EXISTS {s}.{t}",
-        f"ALTER TABLE {s}.{st} RENAME TO {t}",
+        f"ALTER TABLE {s}.{quote_identifier(table + STAGING)} RENAME TO {t}",
+        *index_ddl(schema_name, table, columns),
         f"ANALYZE {s}.{t}",
-        "COMMIT",
     ]
 
 
+def execute_statements(spark: SparkSession, url: str, statements: list[str], properties: dict | None = None) -> None:
+    """Run statements over one JDBC connection of the driver, all or none."""
+    jvm = spark._jvm
+    props = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(str(k), str(v))
+    connection = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        for sql in statements:
+            statement.execute(sql)
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
 def write_jdbc(df: DataFrame, url: str, schema_name: str, table: str, properties: dict | None = None,
-               batch_size: int = 50_000, num_partitions: int | None = None) -> None:
-    """Write to the staging table over JDBC (needs a reachable database and its driver)."""
-    opts = jdbc_options(url, schema_name, table, df, batch_size, num_partitions)
-    opts.update(properties or {})
-    df.write.format("jdbc").options(**opts).mode("overwrite").save()
+               batch_size: int = 50_000, num_partitions: int | None = None, execute=execute_statements) -> None:
+    """Export one table: prepare the staging table, append to it in parallel, swap it in.
+
+    Needs a reachable database and its driver; ``execute`` runs the statements.
+    """
+    spark = df.sparkSession
+    execute(spark, url, prepare_statements(schema_name, table, df.schema), properties)
+    opts = {**jdbc_options(url, schema_name, table, batch_size, num_partitions), **(properties or {})}
+    df.write.format("jdbc").options(**opts).mode("append").save()
+    execute(spark, url, swap_statements(schema_name, table, df.columns), properties)
 
 
 # ---- manifest and completeness --------------------------------------------------------

@@ -25,15 +25,15 @@ def test_exact_median_matches_builtin(spark, kind):
     k = rng.integers(0, 3, n)
     rows = [(int(a), float(b)) for a, b in zip(k, v)] + [(9, None)]
     df = spark.createDataFrame(rows, "k int, v double").repartition(6)
-    mine = {r.k: r.m for r in exact_median(df, ["k"], "v", "m", single_task_limit=None).collect()}
-    small = {r.k: r.m for r in exact_median(df, ["k"], "v", "m").collect()}
+    mine = {r.k: r.m for r in exact_median(df, ["k"], "v", "m").collect()}
+    small = {r.k: r.m for r in exact_median(df, ["k"], "v", "m", few_groups=True).collect()}
     assert small.keys() == mine.keys()
     ref = {r.k: r.m for r in df.groupBy("k").agg(F.median("v").alias("m")).where("m is not null").collect()}
     assert mine.keys() == ref.keys()
     for key in ref:
         assert mine[key] == pytest.approx(ref[key], rel=1e-12, abs=1e-12)
         assert small[key] == pytest.approx(ref[key], rel=1e-12, abs=1e-12)
-    g = exact_median(df, [], "v", "m", single_task_limit=None).collect()[0].m
+    g = exact_median(df, [], "v", "m").collect()[0].m
     assert g == pytest.approx(df.agg(F.median("v")).collect()[0][0], rel=1e-12)
 
 
@@ -66,8 +66,7 @@ def test_distributed_median_on_the_fact(spark):
     if not os.path.isdir(sf):
         pytest.skip("driver tables not present")
     fact = Context(spark, sf).fact.withColumn("p", F.col("onpromotion") > 0)
-    mine = {r.p: r.m for r in exact_median(fact, ["p"], "sales", "m", few_groups=True,
-                                           single_task_limit=None).collect()}
+    mine = {r.p: r.m for r in exact_median(fact, ["p"], "sales", "m", few_groups=True).collect()}
     ref = {r.p: r.m for r in fact.groupBy("p").agg(F.median("sales").alias("m")).collect()}
     assert mine == pytest.approx(ref, rel=1e-12)
     assert queries()["promo_general"](spark, sf).count() == 2

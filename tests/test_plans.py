@@ -1,12 +1,15 @@
 """Physical-plan properties that matter at scale."""
 
 import os
+import re
 
 import pytest
 
-from __spark_entry__ import queries
+from shelfwise.plans.catalog import registry as queries
 
 SF = "/root/testdata/sf0.001"
+# Orders of windows over one row per month (or per lag or range partition).
+MONTH_GRAIN = {"fecha_mes", "_month", "mes", "anio", "_bucket", "_pid", "lag_meses"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
@@ -27,12 +30,16 @@ def test_fact_scan_is_pruned(spark):
     assert all("ReadSchema: struct<family:string,sales:double>" in s for s in scans), scans
 
 
-def test_bucketed_gap_fill_has_no_single_partition_day_window(spark):
-    df = queries()["gap_fill_bucketed"](spark, SF)
-    text = plan(df)
-    windows = [ln for ln in text.splitlines() if "Window [" in ln]
-    # the day-level windows are partitioned by (series, month); only the month table
-    # (one row per month) is ordered without a partition key
-    day_windows = [ln for ln in windows if "specifiedwindowframe(RowFrame, unboundedpreceding$(), currentrow$())" in ln
-                   and "first(" not in ln]
-    assert any("_bucket" in ln.rsplit("], [", 2)[-2] for ln in windows), windows
+@pytest.mark.parametrize("name", sorted(set(queries()) - {"gap_fill"}))
+def test_windows_without_a_key_are_month_grain(spark, name):
+    """Every window over days or finer is partitioned; unpartitioned ones order months (or a few totals).
+
+    The plain gap fill is the oracle of the bucketed one and orders all days.
+    """
+    for line in plan(queries()[name](spark, SF)).splitlines():
+        if "Window [" in line and "WindowGroupLimit" not in line:
+            frames, keys = line.split("windowspecdefinition")[1:], re.findall(r"\], \[([^\]]*)(?=\])", line)
+            assert frames and keys, line
+            ordered = {re.sub(r"#\d+L?", "", k).split()[0] for k in keys[-1].split(",") if k.strip()}
+            partitioned = len(keys) > 1 and keys[-2].strip() and "ASC" not in keys[-2] and "DESC" not in keys[-2]
+            assert partitioned or ordered <= MONTH_GRAIN, line

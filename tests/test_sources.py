@@ -83,12 +83,39 @@ def test_sink_helpers(spark):
     assert S.index_ddl("public", "consolidado", ["date"]) == [
         'CREATE INDEX IF NOT EXISTS "idx_consolidado_date" ON "public"."consolidado" ("date")']
     df = spark.createDataFrame([(1,)], "a bigint")
-    opts = S.jdbc_options("jdbc:postgresql://db/x", "public", "t", df)
+    opts = S.jdbc_options("jdbc:postgresql://db/x", "public", "t")
+    assert "createTableColumnTypes" not in opts
     assert opts["batchsize"] == "50000" and opts["dbtable"] == '"public"."t__staging"'
     with pytest.raises(FileNotFoundError):
         S.require_complete({"a": df, "b": None}, ["a", "b"])
 
 
+def test_export_statements_in_order(spark):
+    """The staging table exists before the write; swap, indexes and statistics follow as one unit."""
+    seen = []
+
+    class Frame:
+        sparkSession, columns = spark, ["store_nbr", "ventas_totales"]
+        schema = T.StructType([T.StructField("store_nbr", T.LongType()), T.StructField("ventas_totales", T.DoubleType())])
+
+        @property
+        def write(self):
+            return self
+
+        def __getattr__(self, name):
+            return lambda *a, **k: seen.append(name) or self
+
+    S.write_jdbc(Frame(), "jdbc:x", "public", "ventas_por_tienda", execute=lambda _, url, statements, properties: seen.append(statements))
+    before, *write, after = seen
+    assert [s.split(" (")[0] for s in before] == ['CREATE SCHEMA IF NOT EXISTS "public"', 'DROP TABLE IF EXISTS "public"."ventas_por_tienda__staging"',
+                                                  'CREATE TABLE "public"."ventas_por_tienda__staging"']
+    assert "DOUBLE PRECISION" in before[-1]
+    assert write == ["format", "options", "mode", "save"]
+    assert after == ['DROP TABLE IF EXISTS "public"."ventas_por_tienda"', 'ALTER TABLE "public"."ventas_por_tienda__staging" RENAME TO "ventas_por_tienda"',
+                     'CREATE INDEX IF NOT EXISTS "idx_ventas_por_tienda_store_nbr" ON "public"."ventas_por_tienda" ("store_nbr")', 'ANALYZE "public"."ventas_por_tienda"']
+    assert S.index_ddl("public", "ventas_por_mes", ["anio", "mes"])[0].endswith('("anio", "mes")')
+
+
 def test_manifest_counts_during_write(spark):
     root = _tmp()
     df = spark.range(25).withColumn("y", F.col("id") * 2)
