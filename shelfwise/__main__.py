@@ -1,6 +1,7 @@
 """Command line: run the whole batch or one named query.
 
-    python -m shelfwise pipeline <sf_dir> <out_root>   # 19 tables as Parquet + manifest.json
+    python -m shelfwise pipeline <sf_dir> <out_root>   # 19 tables as Parquet + manifest
+    python -m shelfwise pipeline <csv_dir> <out_root> --csv   # the same from the five CSV files
     python -m shelfwise query <name> <sf_dir> [n]      # show the first n rows of a query
     python -m shelfwise list                           # the query names
 
@@ -27,7 +28,7 @@ def main(argv: list[str]) -> int:
     spark = build_session()
     if argv[0] == "pipeline":
         sf_dir, out_root = argv[1], argv[2].rstrip("/")
-        rows = pipeline.run(spark, sf_dir, out_root)
+        rows = pipeline.run(spark, sf_dir, out_root, csv="--csv" in argv)
         spark.createDataFrame([json.dumps(r) for r in rows], "string").coalesce(1) \
             .write.mode("overwrite").text(f"{out_root}/_manifest")
         for r in rows:

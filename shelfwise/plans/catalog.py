@@ -7,7 +7,6 @@ series) once per call, lazily.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
@@ -45,40 +44,66 @@ from shelfwise.sources import fixtures as FX
 from shelfwise.sources.sinks import stage_table
 
 
-def _input_key(root: str) -> str:
-    """Folder plus size and mtime of each input file, when the folder is local."""
+def _input_key(spark: SparkSession, root: str) -> str:
+    """Folder plus length and modification time of every file in it, through Hadoop's file system,
+    so a changed table is staged anew wherever it lives."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     parts = [root]
-    for name in ("lineitem", "part", "supplier", "nation", "region", "orders"):
-        try:
-            st = os.stat(f"{root.rstrip('/')}/{name}.parquet")
-            parts.append(f"{name}:{st.st_size}:{st.st_mtime_ns}")
-        except OSError:
-            parts.append(name)
-    return "|".join(parts)
+    for entry in fs.listStatus(path):
+        for file in fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]:
+            parts.append(f"{file.getPath().getName()}:{file.getLen()}:{file.getModificationTime()}")
+    return "|".join(sorted(parts))
+
+
+# Inputs that the clean stage cleans; the price series is only gap-filled.
+CLEANED = ("train", "stores", "transactions", "holidays_events")
 
 
 class Context:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """The shared tables over the driver's star schema, or over ``sources`` (five input frames, as
+    ``load_sources`` returns them; ``sf_dir`` is then the folder that they come from)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, sources: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.t = FX.Tables(spark, sf_dir)
+        self.sources = sources
 
     @cached_property
-    def inputs(self) -> dict[str, DataFrame]:
-        """The five inputs, each staged once per application (the clean-stage hand-off).
+    def key(self) -> str:
+        return _input_key(self.spark, self.t.root) + ("|sources" if self.sources else "")
 
-        Profile, cleaning, gap fill, checks and the consolidation all start from these
-        Parquet copies instead of re-deriving them from the star schema.
-        """
-        key = _input_key(self.t.root)
+    def _staged(self, name: str, build: Callable[[], DataFrame], sort_by: list[str] | None = None) -> DataFrame:
+        return stage_table(build, name, self.key, sort_by=sort_by, spark=self.spark)
+
+    @cached_property
+    def raw_inputs(self) -> dict[str, DataFrame]:
+        """The five inputs as they come, each staged once per application. Profile and cleaning queries
+        read these."""
+        _ = self.key
 
-        def stage(item):
-            name, view = item
-            return name, stage_table(lambda: view(self.t), f"input_{name}", key,
-                                     sort_by=["date"] if name != "stores" else None, spark=self.spark)
+        def stage(name: str) -> tuple[str, DataFrame]:
+            build = (lambda: self.sources[name]) if self.sources else (lambda: FX.VIEWS[name](self.t))
+            return name, self._staged(f"input_{name}", build, ["date"] if name != "stores" else None)
 
         # Independent jobs: Spark runs them side by side from one session.
         with ThreadPoolExecutor(max_workers=len(FX.VIEWS)) as pool:
-            return dict(pool.map(stage, FX.VIEWS.items()))
+            return dict(pool.map(stage, FX.VIEWS))
+
+    @cached_property
+    def inputs(self) -> dict[str, DataFrame]:
+        """The inputs after the clean stage (strict dates, exact dedup, imputation), staged: gap fill,
+        checks and the consolidation start from these, the calendar from the cleaned ``train``."""
+        raw = self.raw_inputs
+
+        def stage(name: str) -> tuple[str, DataFrame]:
+            if name not in CLEANED:
+                return name, raw[name]
+            return name, self._staged(f"clean_{name}", lambda: C.clean_table(raw[name], name)[0], ["date"] if name != "stores" else None)
+
+        with ThreadPoolExecutor(max_workers=len(raw)) as pool:
+            return dict(pool.map(stage, raw))
 
     @cached_property
     def consolidated(self):
@@ -87,7 +112,7 @@ class Context:
         then what the planner's broadcast threshold checks, so the fact is never
         shuffled by date."""
         i = self.inputs
-        key = _input_key(self.t.root)
+        key = self.key
         price = stage_table(lambda: daily_price(i["train"], i["oil"]), "daily_price", key,
                             spark=self.spark)
         rollup = stage_table(lambda: event_rollup(i["holidays_events"]), "holiday_rollup", key,
@@ -103,21 +128,21 @@ class Context:
         reference's analyses start from its consolidated file; the joins, guards and
         gap fill run once, not once per analysis and subquery.
         """
-        return stage_table(lambda: self.consolidated.fact, "fact", _input_key(self.t.root),
+        return stage_table(lambda: self.consolidated.fact, "fact", self.key,
                            sort_by=["date"], spark=self.spark)
 
     @cached_property
     def monthly(self) -> DataFrame:
         """Monthly sales and price (one row per month), staged: six oil queries and the
         checks start from it."""
-        monthly = stage_table(lambda: O.oil_monthly(self.fact), "oil_monthly", _input_key(self.t.root),
+        monthly = stage_table(lambda: O.oil_monthly(self.fact), "oil_monthly", self.key,
                               spark=self.spark)
         return O.require_months(monthly)
 
     @cached_property
     def daily_traffic(self) -> DataFrame:
         """Sales and traffic per store and day (a result table of its own), staged."""
-        daily = stage_table(lambda: TR.traffic_daily(self.fact), "traffic_daily", _input_key(self.t.root),
+        daily = stage_table(lambda: TR.traffic_daily(self.fact), "traffic_daily", self.key,
                             sort_by=["store_nbr", "date"], spark=self.spark)
         return require_rows(daily, 1, "no day with transactions")
 
@@ -137,41 +162,41 @@ def _q(fn: Callable[[Context], DataFrame]) -> Callable[[SparkSession, str], Data
 # ---- sources, profile, cleaning -------------------------------------------------
 
 def load_summary(c: Context) -> DataFrame:
-    return P.load_summary(c.inputs)
+    return P.load_summary(c.raw_inputs)
 
 
 def profile_nulls(c: Context) -> DataFrame:
-    return P.profile_all(c.inputs)
+    return P.profile_all(c.raw_inputs)
 
 
 def profile_duplicates(c: Context) -> DataFrame:
-    return P.duplicate_count_all(c.inputs)
+    return P.duplicate_count_all(c.raw_inputs)
 
 
 def profile_range(c: Context) -> DataFrame:
-    return P.value_range(c.inputs, "date")
+    return P.value_range(c.raw_inputs, "date")
 
 
 def parse_date(c: Context) -> DataFrame:
     """Transactions as read from text: the date column rendered ISO and parsed strictly."""
-    text = c.inputs["transactions"].withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    text = c.raw_inputs["transactions"].withColumn("date", F.date_format("date", "yyyy-MM-dd"))
     return C.parse_date(text, "date")
 
 
 def dedup_rows(c: Context) -> DataFrame:
-    return C.dedup(c.inputs["transactions"])
+    return C.dedup(c.raw_inputs["transactions"])
 
 
 def impute_median(c: Context) -> DataFrame:
     """The generic imputation applied to the input with nulls (the price series)."""
-    out, _ = C.impute(c.inputs["oil"], "oil")
+    out, _ = C.impute(c.raw_inputs["oil"], "oil")
     return out
 
 
 def impute_mode(c: Context) -> DataFrame:
     """The value the mode rule would impute for every text/boolean input column."""
     parts = []
-    for name, df in c.inputs.items():
+    for name, df in c.raw_inputs.items():
         _, other = C._imputable(df)
         if other:
             parts.append(C.column_modes(df, other).select(
@@ -184,7 +209,7 @@ def impute_mode(c: Context) -> DataFrame:
 
 
 def impute_log(c: Context) -> DataFrame:
-    parts = [C.impute(df, name)[1] for name, df in c.inputs.items()]
+    parts = [C.impute(df, name)[1] for name, df in c.raw_inputs.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -192,7 +217,7 @@ def impute_log(c: Context) -> DataFrame:
 
 
 def cleaning_metrics(c: Context) -> DataFrame:
-    parts = [C.cleaning_metrics(c.inputs[n], n) for n in ("train", "stores", "transactions", "holidays_events")]
+    parts = [C.cleaning_metrics(c.raw_inputs[n], n) for n in ("train", "stores", "transactions", "holidays_events")]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

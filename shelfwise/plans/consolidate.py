@@ -70,6 +70,7 @@ FACT_FILL = {
     "evento_transferido": False,
 }
 
+# The fact's columns, after the sales row's ``id`` where it has one.
 FACT_COLUMNS = [
     "date", "store_nbr", "family", "sales", "onpromotion",
     "city", "state", "type", "cluster",
@@ -128,7 +129,7 @@ def consolidate(
         .join(price, on="date", how="left")
         .join(rollup, on="date", how="left")
         .fillna(FACT_FILL)
-        .select(*FACT_COLUMNS)
+        .select(*[c for c in ("id",) if c in train.columns], *FACT_COLUMNS)
     )
     if guard_quality:
         ok = (

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.plans import catalog as Q
+from shelfwise.sources.contract import load_sources
 from shelfwise.sources.sinks import require_complete, table_counts, write_with_manifest
 
 # Fixed values of the reference: the exported table names, in export order.
@@ -42,7 +43,6 @@ RESULT_TABLES: dict[str, Callable[[Q.Context], DataFrame]] = {
 
 # Fixed values of the reference: the row order of each written table ("-" = descending).
 SORT_ORDER = {
-    "consolidado": ["date", "store_nbr", "family"],
     "ventas_por_familia": ["-ventas_totales"],
     "ventas_por_tienda": ["-ventas_totales"],
     "ventas_por_ciudad": ["-ventas_totales"],
@@ -66,10 +66,11 @@ def _order(key: str) -> F.Column:
     return F.desc(key[1:]) if key.startswith("-") else F.asc(key)
 
 
-def result_tables(spark: SparkSession, sf_dir: str, sorted_rows: bool = False) -> dict[str, DataFrame]:
+def result_tables(spark: SparkSession, sf_dir: str, sorted_rows: bool = False,
+                  sources: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The 19 tables; ``sorted_rows`` applies the reference's row order (a range-
     partitioned global sort, distributed) for tables that are written."""
-    c = Q.Context(spark, sf_dir)
+    c = Q.Context(spark, sf_dir, sources)
     _ = (c.fact, c.monthly, c.daily_traffic)  # stage the shared tables once, up front
     # Some frames run a small job while being built (a median's size check, a rank's
     # checkpoint, the event-window table); building them side by side overlaps those.
@@ -88,9 +89,12 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_counts(tables)
 
 
-def run(spark: SparkSession, sf_dir: str, out_root: str) -> list[dict]:
-    """Write all 19 tables as Parquet under ``out_root``; return the manifest rows."""
-    tables = result_tables(spark, sf_dir, sorted_rows=True)
+def run(spark: SparkSession, sf_dir: str, out_root: str, csv: bool = False) -> list[dict]:
+    """Write all 19 tables as Parquet under ``out_root``; return the manifest rows.
+
+    ``sf_dir`` holds the star schema, or with ``csv`` the five input files of the CSV contract.
+    """
+    tables = result_tables(spark, sf_dir, sorted_rows=True, sources=load_sources(spark, sf_dir) if csv else None)
     require_complete(tables, list(RESULT_TABLES))
     rows = write_with_manifest(tables, out_root.rstrip("/"))
     total = {"tabla": "TOTAL", "filas": sum(r["filas"] for r in rows),

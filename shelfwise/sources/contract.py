@@ -55,10 +55,16 @@ def typed(raw: DataFrame, columns: dict[str, T.DataType], what: str = "file",
     return raw.select(*out)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file or folder is there, asked of the file system that Spark would read it from."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
 def read_contract(spark: SparkSession, path: str, columns: dict[str, T.DataType],
                   date_format: str = "yyyy-MM-dd") -> DataFrame:
     """One CSV file (or folder of parts) with a header, typed by ``columns``."""
-    if "://" not in path and not os.path.exists(path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"required file does not exist: {path}")
     try:
         raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
