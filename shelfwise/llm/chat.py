@@ -51,21 +51,25 @@ def reply_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     nodes = hand_off(named.select("tree", "id", "m.*"), "messages")
     known = nodes.select("tree", F.col("id").alias("parent"), F.lit(True).alias("exists"))
     state = nodes.join(known, ["tree", "parent"], "left").select("tree", "id", F.expr("case when exists then parent end").alias("jump"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"), F.lit(1).alias("size"))
-    state = hand_off(state, "jumps")
-    first = state
+    moving, rooted, levels = hand_off(state, "jumps"), None, []
+    first = moving
     largest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    levels = []
-    for _ in range(max(0, largest - 1).bit_length()):
-        levels.append(state.where("jump is not null").select("tree", "id", "jump"))
-        there = state.select("tree", F.col("id").alias("jump"), F.col("jump").alias("next"), F.col("score").alias("more"), F.col("size").alias("further"))
-        state = hand_off(state.join(there, ["tree", "jump"], "left").select("tree", "id", F.col("next").alias("jump"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"), (F.col("size") + F.coalesce("further", F.lit(0))).alias("size")), "jumps")
-    rooted = state.where("jump is null")  # what still jumps is on a cycle or below one
+    for _ in range(max(0, largest - 1).bit_length() + 1):
+        # Messages that reached their root stay; only the others go on.
+        reached = moving.where("jump is null")
+        rooted = reached if rooted is None else rooted.unionByName(reached)
+        jumping = moving.where("jump is not null")
+        levels.append(jumping.select("tree", "id", "jump"))
+        there = rooted.unionByName(jumping).select("tree", F.col("id").alias("jump"), F.col("jump").alias("next"), F.col("score").alias("more"), F.col("size").alias("further"))
+        moving = hand_off(jumping.join(there, ["tree", "jump"]).select("tree", "id", F.col("next").alias("jump"), (F.col("score") + F.col("more")).alias("score"), (F.col("size") + F.col("further")).alias("size")), "jumps")
+    # What still moves is on a cycle or below one.
     leaves = rooted.join(first.where("jump is not null").select("tree", F.col("jump").alias("id")), ["tree", "id"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), F.desc("size"), "id"))
     path = leaves.withColumn("branch", rank).where(F.col("branch") <= top).select("tree", "branch", "id", (F.col("size") - 1).alias("depth"))
+    path = hand_off(path, "paths")
     for k in reversed(range(len(levels))):
         up = path.join(levels[k], ["tree", "id"]).select("tree", "branch", F.col("jump").alias("id"), (F.col("depth") - 2**k).alias("depth"))
-        path = path.unionByName(up)
+        path = hand_off(path.unionByName(up), "paths")  # else each level would plan all before it twice
     return path.join(nodes.select("tree", "id", "role", "text"), ["tree", "id"])
 
 
