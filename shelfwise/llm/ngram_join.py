@@ -15,10 +15,11 @@ with the filters of the others before their sets are compared. All orders put ra
 2. each bucket counts frequencies and returns the shingles that two or more documents have;
 3. per document, shingles of frequency one come first in every order. A document whose prefix holds
    nothing else has no partner. For the others the prefixes of all orders are cut;
-4. documents that share a prefix shingle of the first order are compared with one centre of that
-   shingle first; whatever is linked then needs no further comparison, since only the components
-   are asked for. The rounds end with every remaining pair of different components, so no link
-   between different components is lost, and a group of n near copies costs about n comparisons.
+4. documents that share a prefix shingle of the first order (at places that a linked pair of their
+   sizes allows) are compared with one centre of that shingle first, in two turns; whatever is linked
+   then needs no further comparison, since only the components are asked for. Then the documents that still meet another component are compared within their
+   centre's group, block by block, so no link between different components is lost, and copies that
+   link to a centre cost one comparison each.
 
 Cases: null or blank texts have ``n_shingles`` 0 and are linked with nothing; rows with a null id are
 left out; rows that share an id count as one node, and each is returned; extra columns are ignored.
@@ -51,7 +52,8 @@ from shelfwise.llm.components import components
 ORDERS = 3
 FLUSH = 2_000_000  # shingles a task gathers before it sends blocks
 PER_BUCKET = 1_500_000  # shingles of a bucket, on average
-STAR_ROUNDS = 4
+STAR_TURNS = 2
+BLOCK = 512  # documents of one centre that a task compares with as many others
 
 
 def shingle_sets(chunk, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -162,7 +164,7 @@ def _prefixes(percent: int):
         order = np.lexsort((hashes, docs))
         docs, sizes, hashes, frequency = docs[order], sizes[order], hashes[order], frequency[order]
         edges = np.r_[0, np.flatnonzero(np.diff(docs)) + 1, len(docs)]
-        out = {k: [] for k in ("doc_id", "n", "shared", "prefix", "filters")}
+        out = {k: [] for k in ("doc_id", "n", "first", "shared", "prefix", "filters")}
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             own, first = np.unique(hashes[a:b], return_index=True)
             n, often = int(sizes[a]), frequency[a:b][first]
@@ -172,10 +174,11 @@ def _prefixes(percent: int):
             cut = [own[np.lexsort((mix(own, 20 + k), often if k == 0 else np.frexp(often)[1] if k == 1 else often > 2))[:room]] for k in range(ORDERS)]
             out["doc_id"].append(int(docs[a]))
             out["n"].append(n)
+            out["first"].append(n - len(own))
             out["shared"].append(own.tobytes())
             out["prefix"].append(cut[0].view(np.int64))
             out["filters"].append([np.sort(c).tobytes() for c in cut[1:]])
-        types = {"doc_id": pa.int64(), "n": pa.int64(), "shared": pa.binary(), "prefix": pa.list_(pa.int64()), "filters": pa.list_(pa.binary())}
+        types = {"doc_id": pa.int64(), "n": pa.int64(), "first": pa.int64(), "shared": pa.binary(), "prefix": pa.list_(pa.int64()), "filters": pa.list_(pa.binary())}
         return pa.table({k: pa.array(out[k], t) for k, t in types.items()})
     return run
 
@@ -199,55 +202,106 @@ def _verify(percent: int):
 
 
 def candidate_sets(documents: DataFrame, id_col: str, text_col: str, width: int, percent: int, total: int) -> DataFrame:
-    """(doc_id, n, shared, prefix, filters) of every document that can have a partner."""
+    """(doc_id, n, first, shared, prefix, filters) of every document that can have a partner."""
     spark = documents.sparkSession
     buckets = max(shuffle_partitions(spark), total // PER_BUCKET + 1)
     texts = documents.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sent = texts.mapInArrow(_send(width, buckets), "bucket int, data binary")
     shared = sent.groupBy("bucket").applyInArrow(_shared(buckets), "part int, data binary")
-    return shared.groupBy("part").applyInArrow(_prefixes(percent), "doc_id long, n long, shared binary, prefix array<long>, filters array<binary>")
+    return shared.groupBy("part").applyInArrow(_prefixes(percent), "doc_id long, n long, first long, shared binary, prefix array<long>, filters array<binary>")
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of the documents in ``sets`` that have a link."""
-    sets = hand_off(sets, "sets")
-    index = hand_off(sets.select("doc_id", "n", F.explode("prefix").alias("shingle")), "index")
+    """(node, component) of the documents in ``sets`` that have a link.
+
+    ``n - least_common + 1`` bounds where the first common shingle of a pair can stand, so a rare
+    shingle at the front of one set keeps it from all sets of its size. The smaller set of a pair is
+    looked up by its *index prefix* (that bound for two sets of equal size), the larger one probes.
+    """
+    index = hand_off(sets.select("doc_id", "n", "first", F.posexplode("prefix").alias("at", "shingle")).withColumn("at", F.expr("first + at + 1")).drop("first"), "index")
     arrays = sets.select("doc_id", "n", "shared", "filters")
+    common = lambda n, m: f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
+    fits = (f"100 * least(n, n_y) >= {percent} * greatest(n, n_y) and at <= n - {common('n', 'n_y')} + 1 and at_y <= n_y - {common('n', 'n_y')} + 1 and component <> component_y")
+    largest = f"((n - at + 1) * {100 + percent}) div {percent} - n"  # size of the largest set that this entry can pair with
 
     def check(pairs: DataFrame) -> DataFrame:
-        side = lambda s: arrays.select(F.col("doc_id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "shared", "filters")])
-        return pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(_verify(percent), "u long, v long")
-
-    near = F.expr(f"100 * least(n, n_c) >= {percent} * greatest(n, n_c)")
-    found = None
-    labels = sets.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component"))
-    tested = None
-    live = index
-    for turn in range(STAR_ROUNDS + 1):
-        labelled = live.join(labels, live.doc_id == labels.node).drop("node")
-        mixed = labelled.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                                F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", "n", "component")).alias("c"))
-        mixed = mixed.where("lo < hi").select("shingle", F.col("c.doc_id").alias("centre"), F.col("c.n").alias("n_c"), F.col("c.component").alias("component_c"))
-        live = hand_off(labelled.join(mixed, "shingle"), "live")
-        if live.isEmpty():
-            break
-        if turn < STAR_ROUNDS:
-            pairs = live.where("component <> component_c").where(near)
+        side = lambda s: pairs.join(arrays, F.col(s) == F.col("doc_id")).select("x", "y", *[F.col(c).alias(f"{c}_{s}") for c in ("n", "shared", "filters")])
+        return side("x").join(side("y"), ["x", "y"]).mapInArrow(_verify(percent), "u long, v long")
+
+    ids = sets.select(F.col("doc_id").alias("node"))
+    labels, found = ids.withColumn("component", F.col("node")), None
+    for turn in range(STAR_TURNS + 1):
+        probes = index.join(labels, index.doc_id == labels.node).drop("node")
+        indexed = probes.where(f"at <= n - {common('n', 'n')} + 1")
+        centre = F.min(F.struct("n" if turn != 1 else F.xxhash64("doc_id"), "doc_id", F.col("n").alias("n_y"), F.col("at").alias("at_y"), F.col("component").alias("component_y"))).alias("c")
+        met = indexed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least_n"), centre)
+        live = probes.join(met, "shingle").where(f"{largest} >= least_n and (component <> lo or component <> hi)")
+        if turn < STAR_TURNS:
+            pairs = live.select("doc_id", "n", "at", "component", F.col("c.doc_id").alias("centre"), "c.n_y", "c.at_y", "c.component_y").where(fits)
             if turn == 0:  # each document with the centre that it meets most often
-                pairs = pairs.groupBy("doc_id", "centre").agg(F.count("*").alias("c")).groupBy("doc_id").agg(F.max(F.struct("c", "centre")).alias("m")).select("doc_id", F.col("m.centre").alias("centre"))
+                pairs = pairs.groupBy("doc_id", "centre").agg(F.count("*").alias("c")).groupBy("doc_id").agg(F.max(F.struct("c", "centre")).alias("m")).select("doc_id", "m.centre")
+            pairs = hand_off(pairs.select(F.least("doc_id", "centre").alias("x"), F.greatest("doc_id", "centre").alias("y")).distinct(), "pairs")
+            if turn and pairs.isEmpty():
+                continue
+            new = hand_off(check(pairs), "links")
         else:
-            a, b = live.select("shingle", "doc_id", "n", "component"), live.select("shingle", F.col("doc_id").alias("centre"), F.col("n").alias("n_c"), F.col("component").alias("component_c"))
-            pairs = a.join(b, "shingle").where("doc_id < centre and component <> component_c").where(near)
-        pairs = pairs.select(F.least("doc_id", "centre").alias("x"), F.greatest("doc_id", "centre").alias("y")).where("x <> y").distinct()
-        pairs = hand_off(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
-        new = hand_off(check(pairs), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+            live = hand_off(live.select("shingle", F.col("c.doc_id").alias("centre"), "doc_id", "component"), "live")
+            if live.isEmpty():
+                break
+            asked = live.select("shingle", "centre").distinct()
+            members = live.select("centre", "doc_id", "component").unionByName(indexed.join(asked, "shingle").select("centre", "doc_id", "component")).distinct()
+            new = hand_off(in_blocks(hand_off(members, "members"), sets, percent), "links")
         found = new if found is None else found.unionByName(new)
         reached = components(found)
-        labels = sets.select(F.col("doc_id").alias("node")).distinct().join(reached, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-        # A centre that met all of its shingle's documents is done there.
-        live = (live.where("doc_id <> centre") if turn else live).select("doc_id", "n", "shingle")
-    return sets.select("doc_id").limit(0).select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component")) if found is None else components(found)
+        labels = ids.join(reached, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return reached
+
+
+def _overlaps(a: list, b: list) -> np.ndarray:
+    """Sizes of the intersections of every set of a with every set of b, some shingles at a time."""
+    tokens, place = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    row = np.repeat(np.arange(len(a) + len(b)), [len(s) for s in (*a, *b)])
+    order = np.argsort(place, kind="stable")
+    place, row = place[order], row[order]
+    out = np.zeros((len(a), len(b)), np.float32)
+    for low in range(0, len(tokens), 2048):
+        begin, end = np.searchsorted(place, [low, low + 2048])
+        part = np.zeros((len(a) + len(b), 2048), np.float32)
+        part[row[begin:end], place[begin:end] - low] = 1
+        out += part[: len(a)] @ part[len(a) :].T
+    return out.astype(np.int64)
+
+
+def _block(percent: int):
+    """Two blocks of a group's documents: one link for each two components that have any."""
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        low, high = ([r for r in rows if r["block"] == group.column(k)[0].as_py()] for k in ("lo", "hi"))
+        read = lambda side, c: [np.frombuffer(r[c], np.uint64) for r in side]
+        n, m = (np.array([r["n"] for r in side]) for side in (low, high))
+        c, d = (np.array([r["component"] for r in side]) for side in (low, high))
+        same = np.ones((len(low), len(high)), dtype=bool)
+        for k in range(ORDERS):  # a candidate shares a prefix shingle in every order
+            cut = [[np.array(r["prefix"], np.int64).view(np.uint64) if k == 0 else np.frombuffer(r["filters"][k - 1], np.uint64) for r in side] for side in (low, high)]
+            same &= _overlaps(*cut) > 0
+        both = _overlaps(read(low, "shared"), read(high, "shared"))
+        i, j = np.nonzero(same & (c[:, None] != d[None, :]) & (100 * both >= percent * (n[:, None] + m[None, :] - both)))
+        kept = np.unique(np.stack([np.minimum(c[i], d[j]), np.maximum(c[i], d[j])]), axis=1, return_index=True)[1] if len(i) else []
+        return pa.table({"u": pa.array([low[i[k]]["doc_id"] for k in kept], pa.int64()), "v": pa.array([high[j[k]]["doc_id"] for k in kept], pa.int64())})
+    return run
+
+
+def in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components among the ``members`` (centre, doc_id, component) of each centre.
+
+    A centre's documents are dealt into blocks of about ``BLOCK``, and each two blocks meet in a task of
+    their own: no task holds a group, and only links leave it.
+    """
+    sizes = members.groupBy("centre").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    blocks = members.join(sizes.select("centre", F.expr(f"cast((size - 1) div {BLOCK} + 1 as int)").alias("blocks")), "centre").withColumn("block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
+    met = blocks.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("centre", "doc_id", "component", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    rows = met.join(sets.select("doc_id", "n", "shared", "prefix", "filters"), "doc_id")
+    return rows.groupBy("centre", "lo", "hi").applyInArrow(_block(percent), "u long, v long")
 
 
 def ngram_jaccard_join(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -261,8 +315,9 @@ def ngram_jaccard_join(documents: DataFrame, id_col: str = "doc_id", text_col: s
     classes = sizes.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("class_id"))
     named = hand_off(sizes.join(classes, ["n", "h1", "h2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id")), "classes")
     sets = candidate_sets(documents, id_col, text_col, width, percent, total)
-    # One row per class: documents that stood for their copies within a task have equal sets here.
-    sets = sets.join(named.select("doc_id", "class_id").distinct(), "doc_id")
-    sets = sets.drop("doc_id").withColumnRenamed("class_id", "doc_id").dropDuplicates(["doc_id"])
+    sets = hand_off(sets, "sets")
+    # One row per class: documents that stood for their copies within a task have equal sets.
+    one = sets.select("doc_id").distinct().join(named.select("doc_id", "class_id").distinct(), "doc_id").groupBy("class_id").agg(F.min("doc_id").alias("doc_id"))
+    sets = hand_off(sets.join(one, "doc_id").drop("doc_id").withColumnRenamed("class_id", "doc_id"), "classes")
     reached = links(sets, percent)
     return named.join(reached, named.class_id == reached.node, "left").select("doc_id", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component_id"))
