@@ -36,7 +36,7 @@ CHUNK_BYTES = 1 << 21
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i <= n (kept for the next call)."""
     if len(_POWERS.get("up", ())) <= n:
-        size = max(n + 1, CHUNK_BYTES + 1)
+        size = max(n + 1, 1 << 18)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
@@ -60,6 +60,14 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def row_prefix_hashes(rows: np.ndarray) -> np.ndarray:
+    """Prefix hashes of every row of a byte matrix; equal beginnings have equal hashes."""
+    up, _ = powers(rows.shape[1])
+    out = np.zeros((len(rows), rows.shape[1] + 1), dtype=np.uint64)
+    np.cumsum(_BYTE_VALUES[rows] * up[: rows.shape[1]], axis=1, out=out[:, 1:])
+    return out
+
+
 def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Polynomial hash of each data[start:end], equal wherever the same bytes stand."""
     _, down = powers(len(prefix))
@@ -169,6 +177,14 @@ def slices(buckets: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(buckets[begin]), int(begin), int(end)
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Arrow batches of at most 1,000 rows for this session: texts are long, workers small."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= 1000:
+        spark.conf.set(name, "1000")
+    return spark
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -183,4 +199,4 @@ def hand_off(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")

@@ -39,12 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import (
+    bounded_batches,
     bucket_of,
     deltas,
     hand_off,
     mix,
     pack,
     prefix_hashes,
+    row_prefix_hashes,
     shuffle_partitions,
     slices,
     span_hashes,
@@ -55,9 +57,10 @@ from shelfwise.llm.blocks import (
 
 LENGTH = 100
 GRAM = 40
-CHUNK = 1 << 20
-FLUSH = 1_000_000  # anchors a task gathers before it sends blocks
-BYTES_PER_BUCKET = 32 << 20
+CHUNK = 1 << 18
+FLUSH = 300_000  # anchors a task gathers before it sends blocks
+BYTES_PER_BUCKET = 16 << 20
+RUN = 16_000  # suffixes sorted at a time
 MANY = 20_000  # contexts of one anchor hash in a bucket beyond which strings are dealt singly
 
 
@@ -85,7 +88,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     least[at[: len(least)] + length > ends] = 0
     pad = np.zeros(width - 1, np.uint64)
     chosen = np.flatnonzero(_sliding(np.maximum, np.concatenate([pad, least, pad]), width) == grams)
-    return chosen, grams[chosen], np.searchsorted(offsets, chosen, side="right") - 1, prefix
+    # Anchors are minima, so their hashes lie low: mixed again they fill the buckets evenly.
+    return chosen, mix(grams[chosen], 6), np.searchsorted(offsets, chosen, side="right") - 1, prefix
 
 
 def _same_as_before(*keys: np.ndarray) -> np.ndarray:
@@ -238,15 +242,14 @@ class Suffixes:
         """groups: start of each row's group; rows of a group stand together."""
         self.body, self.lengths, self.groups = body, lengths.astype(np.int64), groups
         self.width = body.shape[1]
-        self.prefix = prefix_hashes(body.reshape(-1))
+        self.prefix = row_prefix_hashes(body)
 
     def extension(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Longest common extension of rows i and j: binary search over prefix hashes."""
         low, high = np.zeros(len(i), np.int64), np.minimum(self.lengths[i], self.lengths[j])
-        a, b = i * self.width, j * self.width
         for _ in range(int(self.width).bit_length()):
             middle = (low + high + 1) >> 1
-            same = span_hashes(self.prefix, a, a + middle) == span_hashes(self.prefix, b, b + middle)
+            same = self.prefix[i, middle] == self.prefix[j, middle]
             low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
         return low
 
@@ -312,7 +315,20 @@ class Suffixes:
 
 
 def repeated(keys, docs, at, left, right, body, length: int, before: int):
-    """(id, start, end) covered by strings through the anchors; rows sorted by (key, id, offset)."""
+    """(id, start, end) covered by strings through the anchors; rows sorted by (key, id, offset).
+
+    Whole groups of equal keys are taken in runs of about ``RUN`` rows, which bounds memory.
+    """
+    edges = np.r_[np.flatnonzero(~_same_as_before(keys)), len(keys)]
+    out, begin = [], 0
+    while begin < len(keys):
+        end = edges[max(np.searchsorted(edges, begin + RUN, side="right") - 1, np.searchsorted(edges, begin, side="right"))]
+        out.append(_repeated(*(x[begin:end] for x in (keys, docs, at, left, right, body)), length, before))
+        begin = end
+    return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
+
+
+def _repeated(keys, docs, at, left, right, body, length: int, before: int):
     again = _same_as_before(keys)
     groups = np.maximum.accumulate(np.where(again, 0, np.arange(len(keys))))
     ahead = Suffixes(np.ascontiguousarray(body[:, before:]), right, groups)
@@ -357,7 +373,7 @@ def _exact(length: int, gram: int):
 
 def marked(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``documents`` (all columns) with ``covered`` anchors and ``ranges`` of each text."""
-    spark = documents.sparkSession
+    spark = bounded_batches(documents.sparkSession)
     texts = documents.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(shuffle_partitions(spark), total // BYTES_PER_BUCKET + 1)
