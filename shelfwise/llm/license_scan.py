@@ -106,9 +106,9 @@ class Templates:
                 template = self.words[name]
                 slack = len(template) // 4 + 2
                 begin, end = max(0, at - place - slack), at - place + len(template) + slack
-                if (name, begin) in seen:
+                if (name, at - place) in seen:  # not begin: near the text's start it is 0 for windows with different ends
                     continue
-                seen.add((name, begin))
+                seen.add((name, at - place))
                 match = patience(words[begin:end], template)
                 if 100 * len(match) >= self.percent * len(template):
                     found = (-len(match), begin + match[0][0], begin + match[-1][0] + 1)

@@ -74,3 +74,14 @@ def edits(a, b):
             new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
         row = new
     return row[-1]
+
+
+def common(a, b):
+    """Length of a longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b, 1):
+            new.append(row[j - 1] + 1 if x == y else max(row[j], new[-1]))
+        row = new
+    return row[-1]

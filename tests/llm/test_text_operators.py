@@ -240,6 +240,25 @@ def test_scan_equals_looking_at_every_window():
         assert bool(found) == bool(want)
 
 
+@pytest.mark.parametrize("name", sorted(license_scan.TEMPLATES))
+def test_copies_near_the_start_are_found_after_stray_seeds(name):
+    """Against a longest common subsequence over the whole text."""
+    template = license_scan.words_of(license_scan.TEMPLATES[name])
+    scan = license_scan.Templates({name: license_scan.TEMPLATES[name]}, 80, {})
+    for stray in sorted(scan.seeds):
+        for offset in range(len(template) // 4 + 4):
+            text = [stray, *(f"x{k}" for k in range(offset - 1))][:offset] + template + [f"y{k}" for k in range(30)]
+            assert brute.common(text, template) == len(template)
+            found = scan.scan(" ".join(text))
+            assert [(f[0], f[1]) for f in found] == [(name, len(template))], (stray, offset)
+
+
+def test_a_licence_header_after_its_copyright_line_is_found():
+    header = "Copyright (c) 2020 Name " + license_scan.TEMPLATES["MIT-text"]
+    counted = collections.Counter(license_scan.words_of(license_scan.TEMPLATES["MIT-text"]))  # seeds occur once
+    assert [f[0] for f in license_scan.Templates(license_scan.TEMPLATES, 80, counted).scan(header)] == ["MIT-text"]
+
+
 def test_longest_increasing_subsequence():
     rng = random.Random(1)
     for _ in range(200):
