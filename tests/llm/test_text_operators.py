@@ -394,6 +394,17 @@ def test_windows_score_each_token_once_and_causally():
         assert sum(10 ** (after - before)) == pytest.approx(1, abs=1e-3)
 
 
+def test_training_reads_every_token_once(spark, monkeypatch):
+    rows = [(1, prose(4000)), (2, None), (3, ""), (None, prose(900)), (4, prose(30)), (4, prose(30))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    cut = lm.cutter(PATH)
+    sequences = [np.array([*cut((t or "").encode()), cut.end]) for _, t in rows]
+    seen, first = [], type(docs).first
+    monkeypatch.setattr(type(docs), "first", lambda df: seen.append(first(df)) or seen[-1])
+    lm.train(docs, PATH, lm.Layout(np.bincount(np.concatenate(sequences), minlength=cut.size), cut.end))
+    assert sum(r["tokens"] for r in seen if r is not None) == sum(map(len, sequences))
+
+
 def test_training_helps_on_held_out_texts(spark):
     rng = random.Random(12)
     cycle = [" the cat", " sat on", " a mat", " and then"]
