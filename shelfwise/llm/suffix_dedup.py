@@ -20,7 +20,9 @@ that can matter:
    anchor within a string, blocks of suffixes that share ``length - d`` bytes and of prefixes that
    share d bytes give the classes of equal strings; all but the earliest of a class are covered.
    Hashes with very many contexts (a short phrase in a large part of the corpus) are dealt by the
-   string itself instead, so no task gathers them.
+   string itself instead. Of equal strings (bytes compared) a task sends only the earliest of each
+   ``FLUSH // 10``, the others are covered; what is left meets by salted hash first, where again the
+   earliest stays, then by hash: a string gives a task at most one row per bucket.
 4. The covered ranges meet their text, per document.
 
 Cases: null text counts as empty; rows with a null id are left out; rows that share an id count as
@@ -186,52 +188,102 @@ def _per_document(group: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "covered": pa.array(out["covered"], pa.binary()), "open": pa.array(out["open"], pa.binary())})
 
 
+FEW, STRINGS, RANGES = 0, 1, 2  # kinds of blocks: contexts of an anchor, single strings, covered ranges
+
+
+def _earliest(keys, docs, start, body):
+    """Of strings with equal bytes (equal keys, verified) the earliest: indices of those, and of the covered others."""
+    def firsts(*more):
+        order = np.lexsort((start, docs, *more, keys))
+        again = _same_as_before(keys[order], *(m[order] for m in more))
+        return order, again, order[np.maximum.accumulate(np.where(again, 0, np.arange(len(order))))]
+
+    order, again, head = firsts()
+    if any((body[order[a : a + RUN]] != body[head[a : a + RUN]]).any() for a in range(0, len(order), RUN)):  # a collision of hashes
+        order, again, head = firsts(np.unique(np.ascontiguousarray(body).view(f"V{body.shape[1]}").reshape(-1), return_inverse=True)[1])
+    return order[~again], order[again & ~((docs[order] == docs[head]) & (start[order] == start[head]))]
+
+
+def _runs(docs, start, length: int):
+    """(id, start, end) of the ranges that strings at ``start`` cover, touching ones joined."""
+    order = np.lexsort((start, docs))
+    docs, start = docs[order], start[order]
+    new = ~_same_as_before(docs)
+    new[1:] |= start[1:] > start[:-1] + length
+    return docs[new], start[new], start[np.r_[new[1:], np.ones(min(1, len(new)), bool)]] + length
+
+
+def _by_bucket(kind: int, bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    order = np.argsort(bucket, kind="stable")
+    for key, a, b in slices(bucket[order]):
+        yield key, pack(np.array([kind], np.uint8), *[x[order[a:b]].reshape(-1) for x in columns])
+
+
+def _strings(keys, docs, start, body, length: int, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Blocks of the earliest of equal strings, by salted key, and of the ranges the others cover."""
+    kept, gone = _earliest(keys, docs, start, body)
+    salt = mix((docs[:1] ^ start[:1]).view(np.uint64), 61)
+    bucket = bucket_of(mix(keys[kept] ^ salt, 62), buckets)
+    yield from _by_bucket(STRINGS, bucket, keys[kept], docs[kept], start[kept], body[kept])
+    docs, start, end = _runs(docs[gone], start[gone], length)
+    yield from _by_bucket(RANGES, bucket_of(mix(docs.view(np.uint64), 7), buckets), docs, start, end)
+
+
+def _blocks(out: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([d for _, d in out], pa.binary())], ["bucket", "data"])
+
+
 def _contexts(length: int, gram: int, buckets: int):
-    """Texts with undecided anchors to blocks (bucket, anchor, id, offset, bytes around it)."""
+    """Texts with undecided anchors to blocks: (anchor, id, offset, bytes around it) by anchor, or (string's hash,
+    id, offset, string) by salted hash, the earliest of a block's equal strings only, and the ranges of the others."""
     before = length - gram
 
-    def blocks(parts: list) -> pa.RecordBatch:
-        keys, docs, at, left, right, body = (np.concatenate(x) for x in zip(*parts, strict=True))
+    def around(parts: list) -> pa.RecordBatch:
+        keys, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(keys, kind="stable")
-        keys, docs, at, left, right, body = (x[order] for x in (keys, docs, at, left, right, body))
-        out, data = [], []
-        for bucket, a, b in slices(bucket_of(keys, buckets)):
-            out.append(bucket)
-            data.append(pack(keys[a:b], docs[a:b], at[a:b].astype(np.uint32), left[a:b], right[a:b], body[a:b].reshape(-1)))
-        return pa.RecordBatch.from_arrays([pa.array(out, pa.int32()), pa.array(data, pa.binary())], ["bucket", "data"])
+        keys, docs, at, left, right, body = (x[order] for x in (keys, *rest))
+        return _blocks(list(_by_bucket(FEW, bucket_of(keys, buckets), keys, docs, at.astype(np.uint32), left, right, body)))
+
+    def strings(parts: list) -> pa.RecordBatch:
+        keys, docs, start, body = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return _blocks(list(_strings(keys, docs, start, body, length, buckets)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
+        few_parts, few_held, parts, held = [], 0, [], 0
         for batch in batches:
             texts, offsets = text_bytes(batch.column(1))
             for i, (doc, packed) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2), strict=True)):
                 text = texts[offsets[i] : offsets[i + 1]]
                 at, what, anchor = unpack(packed.as_buffer())
                 at = at.astype(np.int64)
-                padded = np.concatenate([np.zeros(before, np.uint8), text, np.zeros(length, np.uint8)])
-                window = np.lib.stride_tricks.sliding_window_view(padded, before + length)
-                left, right = np.minimum(at, before), np.minimum(len(text) - at, length)
                 few = what == 1
-                lists = [(anchor[few], at[few], left[few], right[few], window[at[few]])]
-                for d in range(before + 1) if not few.all() else ():  # one string per entry: its own hash is the key
-                    s = at[~few & (left >= d) & (right >= length - d)]
-                    if len(s):
-                        row = window[s].copy()
-                        row[:, : before - d] = 0
-                        row[:, before + length - d :] = 0
-                        prefix = prefix_hashes(row.reshape(-1))
-                        edge = np.arange(len(s)) * (before + length)
-                        key = mix(span_hashes(prefix, edge + before - d, edge + before - d + length), 60 + d)
-                        lists.append((key, s, np.full(len(s), d), np.full(len(s), length - d), row))
-                for key, s, lo, hi, row in lists:
-                    if len(s):
-                        parts.append((key, np.full(len(s), doc, np.int64), s, lo.astype(np.uint8), hi.astype(np.uint8), row))
-                        held += len(s)
-                if held >= FLUSH // 10:
-                    yield blocks(parts)
-                    parts, held = [], 0
+                if few.any():
+                    padded = np.concatenate([np.zeros(before, np.uint8), text, np.zeros(length, np.uint8)])
+                    s = at[few]
+                    row = np.lib.stride_tricks.sliding_window_view(padded, before + length)[s]
+                    few_parts.append((anchor[few], np.full(len(s), doc, np.int64), s, np.minimum(s, before).astype(np.uint8), np.minimum(len(text) - s, length).astype(np.uint8), row))
+                    few_held += len(s)
+                    if few_held >= FLUSH // 10:
+                        yield around(few_parts)
+                        few_parts, few_held = [], 0
+                if few.all() or len(text) < length:
+                    continue
+                through = np.zeros(len(text) + 1, np.int64)  # strings through an anchor: each once, whatever its anchors
+                np.add.at(through, np.maximum(at[~few] - before, 0), 1)
+                np.add.at(through, at[~few] + 1, -1)
+                starts = np.flatnonzero(np.cumsum(through)[: len(text) - length + 1])
+                prefix, window = prefix_hashes(text), np.lib.stride_tricks.sliding_window_view(text, length)
+                while len(starts):
+                    s, starts = starts[: FLUSH // 10 - held], starts[FLUSH // 10 - held :]
+                    parts.append((mix(span_hashes(prefix, s, s + length), 60), np.full(len(s), doc, np.int64), s, window[s]))
+                    held += len(s)
+                    if held >= FLUSH // 10:
+                        yield strings(parts)
+                        parts, held = [], 0
+        if few_parts:
+            yield around(few_parts)
         if parts:
-            yield blocks(parts)
+            yield strings(parts)
     return run
 
 
@@ -354,20 +406,43 @@ def _repeated(keys, docs, at, left, right, body, length: int, before: int):
     return docs[rows_end], at[rows_end] - d_end, at[rows] - d + length
 
 
-def _exact(length: int, gram: int):
+def _by_document(docs, start, end) -> tuple[list, list]:
+    order = np.argsort(docs, kind="stable")
+    docs, start, end = docs[order], start[order], end[order]
+    edges = np.r_[0, np.flatnonzero(np.diff(docs)) + 1, len(docs)] if len(docs) else np.zeros(1, int)
+    pairs = list(zip(edges[:-1], edges[1:], strict=True))
+    return [int(docs[a]) for a, _ in pairs], [pack(start[a:b], end[a:b]) for a, b in pairs]
+
+
+def _exact(length: int, gram: int, buckets: int, last: bool):
+    """Blocks of one bucket to ranges (bucket -1) by document and, unless ``last``, to blocks of the strings left, by key."""
     before = length - gram
 
     def run(group: pa.Table) -> pa.Table:
-        got = [unpack(b.as_buffer()) for b in group.column("data")]
-        keys, docs, at, left, right, body = (np.concatenate(x) for x in zip(*got, strict=True))
-        body, at = body.reshape(-1, before + length), at.astype(np.int64)
-        order = np.lexsort((at, docs, keys))
-        docs, start, end = repeated(keys[order], docs[order], at[order], left[order].astype(np.int64), right[order].astype(np.int64), body[order], length, before)
-        order = np.argsort(docs, kind="stable")
-        docs, start, end = docs[order], start[order], end[order]
-        edges = np.r_[0, np.flatnonzero(np.diff(docs)) + 1, len(docs)] if len(docs) else np.zeros(1, int)
-        pairs = list(zip(edges[:-1], edges[1:], strict=True))
-        return pa.table({"doc_id": pa.array([int(docs[a]) for a, _ in pairs], pa.int64()), "ranges": pa.array([pack(start[a:b], end[a:b]) for a, b in pairs], pa.binary())})
+        got = {kind: [] for kind in (FEW, STRINGS, RANGES)}
+        for block in group.column("data"):
+            kind, *columns = unpack(block.as_buffer())
+            got[int(kind[0])].append(columns)
+        joined = {kind: [np.concatenate(x) for x in zip(*parts, strict=True)] for kind, parts in got.items() if parts}
+        got.clear()
+        ranges, left_over = [], []
+        if FEW in joined:
+            keys, docs, at, left, right, body = joined.pop(FEW)
+            body, at = body.reshape(-1, before + length), at.astype(np.int64)
+            order = np.lexsort((at, docs, keys))
+            ranges.append(repeated(keys[order], docs[order], at[order], left[order].astype(np.int64), right[order].astype(np.int64), body[order], length, before))
+        if STRINGS in joined:
+            keys, docs, start, body = joined.pop(STRINGS)
+            body = body.reshape(-1, length)
+            kept, gone = _earliest(keys, docs, start, body)
+            ranges.append(_runs(docs[gone], start[gone], length))
+            if not last:
+                left_over = list(_by_bucket(STRINGS, bucket_of(keys[kept], buckets), keys[kept], docs[kept], start[kept], body[kept]))
+        if RANGES in joined:
+            ranges.append(joined.pop(RANGES))
+        docs, data = _by_document(*(np.concatenate(x) for x in zip(*ranges, strict=True))) if ranges else ([], [])
+        keys = [-1] * len(docs) + [k for k, _ in left_over]
+        return pa.table({"bucket": pa.array(keys, pa.int32()), "doc_id": pa.array(docs + [None] * len(left_over), pa.int64()), "data": pa.array(data + [d for _, d in left_over], pa.binary())})
     return run
 
 
@@ -382,8 +457,11 @@ def marked(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     state = hand_off(classes.groupBy("part").applyInArrow(_per_document, "doc_id long, covered binary, open binary"), "anchors")
     undecided = state.where("open is not null").select("doc_id", "open")
     around = texts.join(undecided, "doc_id").select("doc_id", "text", "open").mapInArrow(_contexts(length, gram, buckets), "bucket int, data binary")
-    ranges = around.groupBy("bucket").applyInArrow(_exact(length, gram), "doc_id long, ranges binary")
-    ranges = hand_off(ranges.groupBy("doc_id").agg(F.collect_list("ranges").alias("_ranges")), "ranges")
+    schema = "bucket int, doc_id long, data binary"
+    salted = hand_off(around.groupBy("bucket").applyInArrow(_exact(length, gram, buckets, False), schema), "strings")
+    merged = salted.where("bucket >= 0").select("bucket", "data").groupBy("bucket").applyInArrow(_exact(length, gram, buckets, True), schema)
+    ranges = salted.where("bucket < 0").unionByName(merged).groupBy("doc_id").agg(F.collect_list("data").alias("_ranges"))
+    ranges = hand_off(ranges, "ranges")
     found = state.where("covered is not null").select("doc_id", F.col("covered").alias("_covered")).join(ranges, "doc_id", "full")
     found = found.withColumnRenamed("doc_id", "_doc")
     return documents.where(F.col(id_col).isNotNull()).join(found, F.col(id_col).cast("long") == F.col("_doc"), "left").drop("_doc")

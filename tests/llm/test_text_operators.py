@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -101,6 +102,50 @@ def test_suffix_dedup_with_strings_dealt_singly(documents, rows, monkeypatch):
     assert got == brute.suffix_rows(rows, 100)
 
 
+def _with_footer(n, rng):
+    footer = "".join(rng.choice("abcdefgh ") for _ in range(130))
+    return footer, [(k, prose(rng.randint(5, 40), rng) + footer + prose(rng.randint(5, 40), rng)) for k in range(n)]
+
+
+def test_suffix_dedup_of_a_footer_in_many_contexts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MANY", 1)
+    monkeypatch.setattr(suffix_dedup, "FLUSH", 700)
+    _, rows = _with_footer(150, random.Random(21))
+    rows += [(200, "a" * 900), (201, rows[3][1]), (202, rows[3][1][40:] + "é"), (-7, rows[9][1][20:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(docs).collect()}
+    assert got == brute.suffix_rows(rows, 100)
+
+
+def test_a_task_sends_a_string_of_many_documents_once(monkeypatch):
+    footer, rows = _with_footer(90, random.Random(22))
+    opened = []
+    for _, text in rows:
+        data = np.frombuffer(text.encode(), np.uint8)
+        at, hashes, _, _ = suffix_dedup.anchors(data, np.array([0, len(data)]), 100, 40)
+        opened.append(suffix_dedup.pack(at.astype(np.uint32), np.full(len(at), 2, np.uint8), hashes))
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows]), pa.array(opened, pa.binary())], ["doc_id", "text", "open"])
+    sent = 0
+    for out in suffix_dedup._contexts(100, 40, 1)(iter([batch])):
+        for block in out.column(1).to_pylist():
+            arrays = suffix_dedup.unpack(block)
+            n = next(len(a) for a in arrays if a.dtype == np.uint64 or a.dtype == np.int64)
+            sent += sum(footer[15:115].encode() in row.tobytes() for a in arrays if a.dtype == np.uint8 and len(a) >= 100 * n for row in a.reshape(n, -1))
+    assert 1 <= sent <= 3
+
+
+def test_strings_with_colliding_hashes_are_told_apart():
+    rng = np.random.default_rng(8)
+    body = rng.integers(0, 2, size=(200, 4), dtype=np.uint8)
+    docs, start = rng.integers(-5, 5, size=200), rng.integers(0, 30, size=200)
+    kept, gone = suffix_dedup._earliest(np.zeros(200, np.uint64), docs, start, body)
+    least = {}
+    for d, s, b in zip(docs, start, body):
+        least[b.tobytes()] = min(least.get(b.tobytes(), (d, s)), (d, s))
+    assert sorted((body[k].tobytes(), (docs[k], start[k])) for k in kept) == sorted(least.items())
+    assert sorted(gone) == [k for k in range(200) if (docs[k], start[k]) != least[body[k].tobytes()]]
+
+
 def test_repeated_rows_are_one_document_and_empty_tables_pass(spark):
     text = prose(60)
     docs = spark.createDataFrame([(1, text), (1, text), (None, text)], "doc_id long, text string").repartition(3)
