@@ -450,6 +450,16 @@ def test_training_reads_every_token_once(spark, monkeypatch):
     assert sum(r["tokens"] for r in seen if r is not None) == sum(map(len, sequences))
 
 
+def test_a_small_part_is_learned_from_in_one_pass(monkeypatch):
+    layout, cut = lm.Layout(np.ones(lm.cutter(PATH).size, np.int64), lm.cutter(PATH).end), lm.cutter(PATH)
+    text, seen, gradients = prose(500), [], lm.gradients
+    monkeypatch.setattr(lm, "gradients", lambda m, x, y, pad: seen.append(int((y >= 0).sum())) or gradients(m, x, y, pad))
+    monkeypatch.setattr(lm.TaskContext, "get", classmethod(lambda cls: type("", (), {"partitionId": lambda self: 0})()))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc_id", "text"])
+    list(lm._train(PATH, layout, layout.start(), 0)(iter([batch])))
+    assert sum(seen) == len(cut(text.encode())) + 1
+
+
 def test_training_helps_on_held_out_texts(spark):
     rng = random.Random(12)
     cycle = [" the cat", " sat on", " a mat", " and then"]
