@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +15,12 @@ from shelfwise.llm.byte_bpe import bpe_round_trip, id_digests
 from shelfwise.llm.chat import format_paths, linear, read_back, reply_paths
 from shelfwise.llm.decontam import benchmark_leaks
 from shelfwise.llm.license_scan import license_scan
+from shelfwise.llm.line_dedup import line_dedup
 from shelfwise.llm.lm import lm_scores
 from shelfwise.llm.ngram_join import ngram_jaccard_join
+from shelfwise.llm.periodic_runs import periodic_runs
 from shelfwise.llm.quality import quality_rules
+from shelfwise.llm.spelling import spelling_variants
 from shelfwise.llm.suffix_dedup import suffix_dedup
 from shelfwise.llm.url_filter import default_rules, url_filter
 from shelfwise.llm.warc import archive_folder, read_archives, write_archives
@@ -82,6 +87,46 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def repeating_view(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Every tenth document by checksum reads the words from place a on as repeats of p words."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.r_[np.arange(a), a + np.arange(n - a) % p]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of each document, the longest one, and the text without the repeats."""
+    found = periodic_runs(table(spark, sf_dir, "documents"), least=12, view=repeating_view)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.before")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.shorter")).alias("period"), F.expr("1000 * longest.length div -longest.shorter").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that three or more of them share, kept in the last one."""
+    kept = line_dedup(table(spark, sf_dir, "documents"), least_chars=20, least_docs=3)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def delete_one(doc_id: int | None, run: str) -> str:
+    """One word of 31 of a document, by checksum, loses a code point."""
+    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+    at = h % len(run)
+    return run if h % 31 else run[:at] + run[at + 1 :]
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the corpus, their near words and the form and root of each."""
+    return spelling_variants(table(spark, sf_dir, "documents"), least_length=7, least_count=2, factor=10, respell=delete_one)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -93,4 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }

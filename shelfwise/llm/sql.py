@@ -168,6 +168,48 @@ select page_id, octet_length(encode(html))::bigint as payload_bytes,
   case when page_id > refers_to then 'revisit' else 'response' end as record_type, case when page_id > refers_to then refers_to end as refers_to
 from bits join firsts using (x)"""
 
+_LINES = r"""with lines as (
+  select doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from (select doc_id, unnest(l) as line, unnest(range(len(l))) as i from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents))
+), shared as (
+  select k, max(doc_id) as last_id from lines where length(k) >= 20 group by k having count(distinct doc_id) >= 3
+), marked as (
+  select doc_id, i, line, coalesce(doc_id <> last_id, false) as gone from lines left join shared using (k)
+)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id"""
+
+# CRC-32 by its byte table; near words by the strings that are left when one code point goes.
+_SPELLING = r"""with recursive crc as (
+  select list(c order by i) as t from (select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c from range(256) r(i))
+), runs as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as k
+  from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) as run from documents) where length(run) >= 7 group by all
+), hashed as (
+  select run, k, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::bigint)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::bigint) as h
+  from (select *, hex(encode(doc_id || ':' || run)) as x from runs), crc
+), words as (
+  select word, sum(k)::bigint as n from (select k, case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word from hashed)
+  where length(word) >= 7 group by word having sum(k) >= 2
+), cuts as (
+  select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from words)
+), pairs as (
+  select distinct a.word, b.word as near, b.n as near_n from cuts a join cuts b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union all select distinct a.word, b.word, b.n from cuts a join words b on a.rest = b.word
+  union all select distinct b.word, a.word, a.n from cuts a join words b on a.rest = b.word
+), best as (
+  select word, count(*) as n_near, arg_min(struct_pack(near, near_n), (-near_n, near)) as b from pairs group by word
+), formed as (
+  select words.word, n, coalesce(n_near, 0)::bigint as n_near, case when b.near_n >= 10 * n then b.near end as form, case when b.near_n >= 10 * n then b.near_n end as form_n
+  from words left join best using (word)
+), path(word, stop, k) as (
+  select word, form, 1 from formed where form is not null
+  union all
+  select path.word, f.form, k + 1 from path join formed f on f.word = path.stop where f.form is not null
+)
+select formed.word, form, coalesce((select arg_max(stop, k) from path where path.word = formed.word), formed.word) as root, n, n_near, form_n from formed"""
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard_join": _NGRAM,
     "op3_quality_rules": _quality(),
@@ -175,4 +217,6 @@ ORACLE: dict[str, str] = {
     "op5_suffix_array_dedup": _SUFFIX,
     "op6_warc": _WARC,
     "op8_chat_format": _CHAT,
+    "op12_line_dedup": _LINES,
+    "op13_spelling_variants": _SPELLING,
 }

@@ -85,3 +85,53 @@ def common(a, b):
             new.append(row[j - 1] + 1 if x == y else max(row[j], new[-1]))
         row = new
     return row[-1]
+
+
+def runs(words, least):
+    """(start, length, period) of the maximal stretches of every period that is their smallest one."""
+    n, out = len(words), []
+    for q in range(1, n // 2 + 1):
+        j = 0
+        while j < n - q:
+            begin = j
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            size = j - begin + q
+            if j > begin and size >= max(least, 2 * q):
+                piece = words[begin:begin + size]
+                if not any(piece[p:] == piece[:-p] for p in range(1, q)):
+                    out.append((begin, size, q))
+            j += 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def line_rows(rows, least_chars, least_docs):
+    """[(id, lines, dropped, kept text)] of every row."""
+    key = lambda line: "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+    holders = collections.defaultdict(set)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            if i is not None and len(key(line)) >= least_chars:
+                holders[key(line)].add(i)
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if i is None or len(holders[key(x)]) < least_docs or max(holders[key(x)]) == i]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def spelling_rows(counts, factor):
+    """{word: (form, root, n, near words, form's n)} by comparing all words."""
+    near = {w: [v for v in counts if abs(len(v) - len(w)) <= 1 and edits(w, v) == 1] for w in counts}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= factor * counts[w] else None
+    out = {}
+    for w in counts:
+        end = w
+        while form[end] is not None:
+            end = form[end]
+        out[w] = (form[w], end, counts[w], len(near[w]), counts.get(form[w]))
+    return out

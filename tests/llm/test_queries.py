@@ -2,8 +2,10 @@
 
 import hashlib
 import os
+import zlib
 
 import duckdb
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
@@ -22,7 +24,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 
 def rows(frame):
-    shown = lambda x: None if pd.isna(x) else int(x) if isinstance(x, float) and x.is_integer() else x
+    shown = lambda x: None if pd.isna(x) else int(x) if isinstance(x, (float, np.integer)) and float(x).is_integer() else x
     return sorted(repr([shown(x) for x in r]) for r in frame[sorted(frame.columns)].itertuples(index=False))
 
 
@@ -37,10 +39,31 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
+def test_periodic_runs_query_equals_brute_force(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = {}
+    for i, text in texts.items():
+        words = brute.WORD.findall(text or "")
+        h, n = zlib.crc32(str(i).encode()), len(words)
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[k] if k < a else words[a + (k - a) % p] for k in range(n)]
+        runs = brute.runs(words, 12)
+        top = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None,) * 3
+        gone = {k for s, size, q in runs for k in range(s + q, s + size)}
+        want[i] = (len(runs), *top, 1000 * top[1] // top[2] if runs else None, sha("".join(f"{s},{size},{q}\n" for s, size, q in runs)), sha(" ".join(w for k, w in enumerate(words) if k not in gone)))
+    got = {r.doc_id: (r.n_runs, r.start, r.length, r.period, r.exponent_milli, r.runs_sha256, r.collapsed_sha256) for r in QUERIES["op11_periodic_runs"](spark, SF).collect()}
+    assert got == want
+    assert sum(r[0] > 0 for r in got.values()) > 10
+
+
 def test_pipeline_equals_brute_force(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r.doc_id: r.text for r in documents.collect()}
