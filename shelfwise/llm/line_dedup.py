@@ -50,6 +50,7 @@ def line_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held = hand_off(held, "lines")
 
     shared = held.groupBy("hash").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("last_id")).where(F.col("n_docs") >= least_docs)
+    shared = hand_off(shared.select("hash", "last_id"), "shared")  # so that the join deals both sides anew and Spark can split a hot hash
     gone = held.join(shared, "hash").where("doc_id <> last_id").groupBy("doc_id", "row").agg(F.flatten(F.collect_list("at")).alias("gone"))
 
     joined = texts.join(gone, ["doc_id", "row"], "left")
