@@ -63,7 +63,7 @@ def shingle_sets(chunk, width: int) -> Iterator[tuple[int, np.ndarray]]:
     rolled = np.zeros(len(words), dtype=np.uint64)
     for k in range(width):
         step = words[k:] * np.uint64(2 * k + 3) + (words[k:] >> np.uint64(17 + k))
-        rolled[: len(words) - k] = mix(rolled[: len(words) - k] + step, 2 + k)
+        rolled[: len(step)] = mix(rolled[: len(step)] + step, 2 + k)
     for i in range(len(chunk.ids)):
         begin, end = bounds[i], bounds[i + 1]
         if end - begin >= width:

@@ -88,6 +88,17 @@ def test_join_on_empty_repeated_and_unnamed_rows(spark):
     assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (1, 1), (2, 1)]
 
 
+@pytest.mark.parametrize("width, percent", [(4, 85), (5, 80)])
+@pytest.mark.parametrize("parts", [1, 211])
+def test_join_of_texts_shorter_than_a_shingle(spark, width, percent, parts):
+    for n in range(width + 1):
+        rows = [(k, " ".join(["one", "two", "three", "four", "five"][:n])) for k in range(2)]
+        for some in (rows[:1], rows):
+            docs = spark.createDataFrame(some, "doc_id long, text string").repartition(parts)
+            got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_jaccard_join(docs, width=width, percent=percent).collect()}
+            assert got == brute.components(some, width, percent)
+
+
 # 5 ----------------------------------------------------------------------------------------------
 
 
