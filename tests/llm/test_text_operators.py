@@ -89,14 +89,16 @@ def test_join_on_empty_repeated_and_unnamed_rows(spark):
 
 
 @pytest.mark.parametrize("width, percent", [(4, 85), (5, 80)])
-@pytest.mark.parametrize("parts", [1, 211])
-def test_join_of_texts_shorter_than_a_shingle(spark, width, percent, parts):
-    for n in range(width + 1):
-        rows = [(k, " ".join(["one", "two", "three", "four", "five"][:n])) for k in range(2)]
-        for some in (rows[:1], rows):
-            docs = spark.createDataFrame(some, "doc_id long, text string").repartition(parts)
-            got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_jaccard_join(docs, width=width, percent=percent).collect()}
-            assert got == brute.components(some, width, percent)
+def test_join_of_texts_shorter_than_a_shingle(spark, width, percent):
+    words = ["one", "two", "three", "four", "five"]
+    for n in range(width + 1):  # each alone in a chunk
+        batch = pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([" ".join(words[:n])])], ["doc_id", "text"])
+        (chunk,) = ngram_join.text_chunks([batch])
+        assert [len(s) for _, s in ngram_join.shingle_sets(chunk, width)] == [min(n, 1)]
+    rows = [(10 * k + n, " ".join(words[:n])) for n in range(width + 1) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)  # each row alone in its partition
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_jaccard_join(docs, width=width, percent=percent).collect()}
+    assert got == brute.components(rows, width, percent)
 
 
 # 5 ----------------------------------------------------------------------------------------------
