@@ -18,24 +18,6 @@ def r6(c: str | Column) -> Column:
     return F.round(col(c), RESULT_DECIMALS)
 
 
-# Wide enough to hold an amount stored as double without loss: 16 digits before the point, 12 after.
-AMOUNT = "decimal(28,12)"
-
-
-def money_sum(c: str | Column) -> Column:
-    """Order-independent sum of an amount stored as double.
-
-    Adding doubles in shuffle order gives run-to-run noise in the last digits. Amounts are summed
-    as wide decimals instead, unrounded to any cent, and the total is a double again.
-    """
-    return F.sum(col(c).cast(AMOUNT)).cast("double")
-
-
-def money_mean(c: str | Column) -> Column:
-    """Mean as exact sum / non-null count (null for an empty group)."""
-    return F.try_divide(money_sum(c), F.count(col(c)).cast("double"))
-
-
 def rounded(df: DataFrame) -> DataFrame:
     """Every double column at the report scale, for results that are compared or printed."""
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]

@@ -36,9 +36,8 @@ def has_state(df: DataFrame) -> bool:
 
 
 def _power(exponent: Column) -> Column:
-    """2**exponent for a whole exponent in [-1022, 1023]: exact."""
-    table = F.lit([2.0 ** k for k in range(-1022, 1024)])
-    return F.get(table, exponent + 1022)
+    """2**exponent for a whole exponent in [-1022, 1023]: exact (a test goes through them all)."""
+    return F.pow(F.lit(2.0), exponent)
 
 
 def _limbs(df: DataFrame, value: str) -> DataFrame:
@@ -106,25 +105,31 @@ def nearest(states: Column) -> Column:
             return F.struct(carry.alias("carry"), F.concat(acc["digits"], F.array(digit)).alias("digits"))
         return F.aggregate(raw, start, step)
 
-    def value(d: Column, low: Column) -> Column:
+    def value(d: Column, low: Column, top: Column) -> Column:
         """Digits without a sign to a double: the four leading digits as one whole number, a last bit for all others, rounded once."""
-        top = F.array_max(F.transform(d, lambda x, i: F.when(x != 0, i)))
-        digit = lambda k: F.when(top >= k, F.get(d, top - k)).otherwise(0).cast(_LIMB)
-        lead = zero
-        for k in range(4):
-            lead = (lead * F.lit(BASE).cast("decimal(9,0)")).cast(_LIMB) + digit(k)
+        lead = F.aggregate(F.sequence(top, top - 3), zero, lambda acc, i: (
+            (acc * F.lit(BASE).cast("decimal(9,0)")).cast(_LIMB) + F.when(i >= 0, F.get(d, i)).otherwise(0).cast(_LIMB)).cast(_LIMB))
         rest = F.exists(F.transform(d, lambda x, i: (x != 0) & (i < top - 3)), lambda b: b)
-        whole = (lead.cast(_LIMB) * F.lit(2).cast("decimal(1,0)")).cast(_LIMB) + rest.cast("int")
-        exponent = (low + top - 3) * WIDTH - 1
-        half = F.floor(exponent / 2).cast("int")
-        return F.when(top.isNull(), 0.0).otherwise(whole.cast("double") * _power(half) * _power(exponent - half))
+        whole = ((lead * F.lit(2).cast("decimal(1,0)")).cast(_LIMB) + rest.cast("int")).cast("double")
+        scaled = lambda e: whole * _power(F.floor(e / 2)) * _power(e - F.floor(e / 2))
+        return let((low + top - 3) * WIDTH - 1, scaled)
 
     def signed(low: Column, raw: Column) -> Column:
         minus = F.transform(raw, lambda x: (-x).cast(_LIMB))
-        return let(carried(raw), lambda c: F.when(c["carry"] >= 0, value(c["digits"], low)).otherwise(-value(carried(minus)["digits"], low)))
-
-    low, high = F.array_min(F.transform(states, lambda s: s["_band"])) - 2, F.array_max(F.transform(states, lambda s: s["_band"])) + 4
-    return F.when(F.size(states) == 0, 0.0).otherwise(let(low, lambda lo: let(digits(lo, high), lambda raw: signed(lo, raw))))
+        sides = lambda c: F.when(c["carry"] >= 0, F.struct(F.lit(1.0).alias("sign"), c["digits"].alias("d"))).otherwise(
+            F.struct(F.lit(-1.0).alias("sign"), carried(minus)["digits"].alias("d")))
+        top = lambda d: F.array_max(F.transform(d, lambda x, i: F.when(x != 0, i)))
+        return let(let(carried(raw), sides), lambda n: let(top(n["d"]), lambda t: F.when(t.isNull(), 0.0).otherwise(n["sign"] * value(n["d"], low, t))))
+
+    first, last = (pick(F.transform(states, lambda s: s["_band"])) for pick in (F.array_min, F.array_max))
+    whole = F.when(F.size(states) == 0, 0.0).otherwise(let(first - 2, lambda lo: let(digits(lo, last + 4), lambda raw: signed(lo, raw))))
+    # One band, or two beside each other, with few leading units: one whole number holds the sum.
+    power = lambda k: F.lit(2 ** k).cast(f"decimal({len(str(2 ** k))},0)")
+    part = lambda s: (s["_l0"].cast("decimal(13,0)") * power(52) + s["_l1"].cast("decimal(21,0)") * power(26) + s["_l2"]).cast(_LIMB)
+    units = lambda lo: F.aggregate(states, zero, lambda acc, s: (acc + F.when(s["_band"] == lo, part(s)).otherwise((part(s).cast("decimal(30,0)") * power(26)).cast(_LIMB))).cast(_LIMB))
+    short = let(first, lambda lo: units(lo).cast("double") * _power((lo - 2) * WIDTH))
+    small = (last - first <= 1) & (first > -30) & F.forall(states, lambda s: (F.abs(s["_l0"]) < 2 ** 38) & (F.abs(s["_l1"]) < 2 ** 62) & (F.abs(s["_l2"]) < 2 ** 62))
+    return F.when(small, short).otherwise(whole)
 
 
 def totals(df: DataFrame, keys: Sequence[Column | str], value: str | None = None, out: str = "total",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.operators.median import exact_median
+from shelfwise.sources.sinks import materialize_small
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
@@ -83,8 +84,8 @@ def column_modes(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def column_medians(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Exact median per numeric column, ``(column, median)``, one distributed pass."""
-    return exact_median(_long(df, cols, "double"), ["column"], "value", "median", few_groups=True)
+    """Exact median per numeric column, ``(column, median)``, one distributed pass over ``df``; the few rows are written."""
+    return materialize_small(exact_median(_long(df, cols, "double"), ["column"], "value", "median"), "medians")
 
 
 def impute(df: DataFrame, dataset: str = "") -> tuple[DataFrame, DataFrame]:

@@ -5,11 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators.expect import guard, key_violations
-
 _VALIDATIONS = {"m:1": ("right",), "1:1": ("left", "right"), "1:m": ("left",), "m:m": ()}
 
 
+def one_per_key(df: DataFrame, on: list[str], message: str) -> DataFrame:
+    """``df``, but the job that reads it fails if a key occurs twice.
+
+    Rows are grouped by the key into (count, first row). The grouping is dealt by the key, and an
+    equi join on it asks for nothing else: the check costs no scan and no shuffle beside the join's own.
+    """
+    others = [c for c in df.columns if c not in on]
+    row = [F.first(F.struct(*others)).alias("_row")] if others else []
+    grouped = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_copies"), *row)
+    ok = F.when(F.col("_copies") > 1, F.raise_error(F.lit(message))).otherwise(F.lit(True))
+    return grouped.where(ok).select(*[F.col(c) if c in on else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
 def join_validated(
     left: DataFrame,
     right: DataFrame,
@@ -18,20 +29,23 @@ def join_validated(
     validate: str | None = "m:1",
     fill: dict | None = None,
 ) -> DataFrame:
-    """Equi join whose cardinality is asserted inside the same job.
+    """Equi join whose cardinality is asserted inside the same job, in the join's own shuffle.
 
     ``validate="m:1"`` fails the job when a key occurs twice on the right (which is
     also what proves a left join keeps the left row count, so no recount is needed).
-    ``fill`` replaces nulls brought in by unmatched rows.
+    ``fill`` replaces nulls brought in by unmatched rows. A job that reads left columns alone has no
+    use for the join, and Spark drops it with its check.
+
+    Spark splits a hot key's partition only where both sides come straight from a shuffle. Where one key
+    may hold much of ``left``, hand in a ``right`` that is checked and written already
+    (``materialize_small(one_per_key(...))``) and ``validate=None``.
     """
     if validate is not None:
         sides = _VALIDATIONS[validate]
         if "right" in sides:
-            right = guard(right, key_violations(right, on),
-                          f"join key {on} is not unique on the right side ({validate})")
+            right = one_per_key(right, on, f"join key {on} is not unique on the right side ({validate})")
         if "left" in sides:
-            left = guard(left, key_violations(left, on),
-                         f"join key {on} is not unique on the left side ({validate})")
+            left = one_per_key(left, on, f"join key {on} is not unique on the left side ({validate})")
     out = left.join(right, on=on, how=how)
     if fill:
         out = out.fillna(fill)

@@ -1,126 +1,57 @@
-"""Exact median per group without holding a group's values in one task.
+"""Exact median per group as an order statistic by range partition.
 
-Spark's ``median`` merges a value->count map of the whole group in one task, which
-breaks when one group (say, "on promotion") holds a third of a 100 TB fact. Here the
-median is found by narrowing:
+Spark's ``median`` merges a value->count map of the whole group in one task, which breaks when one group
+(say, "on promotion") holds a third of a 100 TB fact. Here:
 
-1. value frequencies per group (map-side combined hash aggregation);
-2. a histogram of 4,096 buckets per group on a log-like scale, whose running counts
-   name the bucket holding each middle rank;
-3. two 4,096-bucket linear histograms, each inside the bucket that the one before left;
-4. an ordered window over the few distinct values left, which reads off the values at
-   the middle ranks.
+1. the frequency table (group, value, count) is aggregated with map-side combine and range-partitioned once by
+   (group, value), then written, so that its partitions stay what they are;
+2. the rows per group and range partition (one number per task and group) name the partitions that hold a
+   group's two middle ranks, and the ranks inside them;
+3. running counts inside these partitions alone read off the two values.
 
-Each step aggregates in parallel; only the last touches single values, and only the
-ones in the final sub-bucket. The frequency shuffle is shared by every step (Spark
-reuses identical exchanges inside one plan). Result: ``lower + (upper - lower) / 2``
-of the two middle values, the same interpolation as ``median``.
+``df`` is read once. A group of any size is spread over as many partitions as its values need, and equal
+values are one row, so no value makes a partition large. Result: ``lower + (upper - lower) / 2`` of the two
+middle values, the same interpolation as ``median``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
-LINEAR_LEVELS = 2
-_G = "_grp"  # constant group key when the median is global
-
-
-def _spread(v: Column) -> Column:
-    """Monotone map that flattens heavy tails: sign(v) * ln(1 + |v|)."""
-    return F.signum(v) * F.log1p(F.abs(v))
-
-
-def _bucket(x: Column, lo: Column, hi: Column) -> Column:
-    width = hi - lo
-    raw = F.floor((x - lo) / width * F.lit(BUCKETS)).cast("int")
-    return F.when(width > 0, F.least(raw, F.lit(BUCKETS - 1))).otherwise(F.lit(0))
-
-
-def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
-
+from shelfwise.sources.sinks import materialize_small
 
-def _pick_bucket(hist: DataFrame, part: list[str], bucket: str) -> DataFrame:
-    """From per-bucket counts, the bucket holding rank ``_k`` and the rank inside it."""
-    w = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
-    cum = hist.withColumn("_cum", F.sum("_cnt").over(w))
-    return cum.where(
-        (F.col("_cum") - F.col("_cnt") < F.col("_k")) & (F.col("_k") <= F.col("_cum"))
-    ).select(*part, bucket, (F.col("_k") - (F.col("_cum") - F.col("_cnt"))).alias("_k"))
+_G = "_grp"  # constant group key when the median is global
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median", few_groups: bool = False) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median", partitions: int | None = None) -> DataFrame:
     """Exact (interpolated) median of ``value`` per ``keys``, nulls ignored; one way at every size.
 
-    ``few_groups=True`` declares that the number of groups is bounded by the schema (a flag, a list of
-    column names), which lets the per-group tables be broadcast, so the rows of a hot group stay
-    where their values were dealt; otherwise the joins are left to AQE, which broadcasts them once
-    measured small and splits skew. Groups whose values are all null are absent from the result.
+    Groups whose values are all null are absent from the result; a null key is a group. Writes the
+    frequency table when called.
     """
-    keys = list(keys)
-    small = few_groups or not keys
+    part = list(keys) or [_G]
     if not keys:
         df = df.withColumn(_G, F.lit(0))
-        part = [_G]
-    else:
-        part = keys
-
-    freq = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*part, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-
-    # Per group: count, range on the spread scale, and the two middle ranks.
-    stats = freq.groupBy(*part).agg(
-        F.sum("_c").alias("_n"),
-        F.min(_spread(F.col("_v"))).alias("_lo"),
-        F.max(_spread(F.col("_v"))).alias("_hi"),
-    )
-    targets = stats.select(
-        *part,
-        F.explode(
-            F.array(
-                F.struct(F.lit(1).alias("_t"), (F.floor((F.col("_n") - 1) / 2) + 1).alias("_k")),
-                F.struct(F.lit(2).alias("_t"), (F.ceil((F.col("_n") - 1) / 2) + 1).alias("_k")),
-            )
-        ).alias("_target"),
-        "_lo",
-        "_hi",
-    ).select(*part, "_target._t", "_target._k", "_lo", "_hi")
-
-    # Level 1: histogram over the whole group on the spread scale.
-    b1 = freq.join(_maybe_broadcast(stats.select(*part, "_lo", "_hi"), small), on=part).withColumn(
-        "_b1", _bucket(_spread(F.col("_v")), F.col("_lo"), F.col("_hi"))
-    )
-    hist1 = b1.groupBy(*part, "_b1").agg(F.sum("_c").alias("_cnt"))
-    hist1_t = hist1.join(_maybe_broadcast(targets.select(*part, "_t", "_k"), small), on=part)
-    pick1 = _pick_bucket(hist1_t, part + ["_t"], "_b1")
-
-    rest = b1.select(*part, "_b1", "_v", "_c").join(_maybe_broadcast(pick1, small), on=part + ["_b1"]).drop("_b1")
-
-    # Then linear histograms inside the chosen bucket, each 4,096 times finer.
-    for _ in range(LINEAR_LEVELS):
-        span = rest.groupBy(*part, "_t").agg(F.min("_v").alias("_from"), F.max("_v").alias("_to"))
-        rest = rest.join(_maybe_broadcast(span, small), on=part + ["_t"]).withColumn("_b", _bucket(F.col("_v"), F.col("_from"), F.col("_to"))).drop("_from", "_to")
-        hist = rest.groupBy(*part, "_t", "_b").agg(F.sum("_c").alias("_cnt"), F.first("_k").alias("_k"))
-        pick = _pick_bucket(hist, part + ["_t"], "_b")
-        rest = rest.drop("_k").join(_maybe_broadcast(pick, small), on=part + ["_t", "_b"]).drop("_b")
-
-    # Final: ordered distinct values of the chosen sub-bucket.
-    w = Window.partitionBy(*part, "_t").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    hit = (
-        rest.withColumn("_cum", F.sum("_c").over(w))
-        .where((F.col("_cum") - F.col("_c") < F.col("_k")) & (F.col("_k") <= F.col("_cum")))
-    )
-    lower = F.max(F.when(F.col("_t") == 1, F.col("_v")))
-    upper = F.max(F.when(F.col("_t") == 2, F.col("_v")))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    freq = df.where(F.col(value).isNotNull()).groupBy(*part, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = materialize_small(freq.repartitionByRange(n, *part, "_v").withColumn("_pid", F.spark_partition_id()), "median")
+
+    per = ranged.groupBy(*part, "_pid").agg(F.sum("_c").alias("_cnt"))
+    parts = Window.partitionBy(*part).orderBy("_pid")
+    so_far, all_of_them = (parts.rowsBetween(Window.unboundedPreceding, end) for end in (0, Window.unboundedFollowing))
+    per = per.withColumn("_cum", F.sum("_cnt").over(so_far)).withColumn("_n", F.sum("_cnt").over(all_of_them))
+    ranks = F.array(F.struct(F.lit(1).alias("t"), F.expr("(_n - 1) div 2 + 1").alias("k")), F.struct(F.lit(2).alias("t"), F.expr("_n div 2 + 1").alias("k")))
+    picks = per.select(*[F.col(k).alias(f"_p_{k}") for k in part], F.col("_pid").alias("_p_pid"), "_cum", "_cnt", F.explode(ranks).alias("_r")).where(
+        "_cum - _cnt < _r.k and _r.k <= _cum").select(*[f"_p_{k}" for k in part], "_p_pid", F.col("_r.t").alias("_t"), F.expr("_r.k - (_cum - _cnt)").alias("_k"))
+
+    same = [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in part]
+    rest = ranged.join(picks, [F.col("_pid") == F.col("_p_pid"), *same])
+    inside = Window.partitionBy(*part, "_pid", "_t").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    hit = rest.withColumn("_at", F.sum("_c").over(inside)).where("_at - _c < _k and _k <= _at")
+    lower, upper = (F.max(F.when(F.col("_t") == t, F.col("_v"))) for t in (1, 2))
     result = hit.groupBy(*part).agg((lower + (upper - lower) * F.lit(0.5)).alias(out))
-    if not keys:
-        result = result.drop(_G)
-    return result
+    return result if keys else result.drop(_G)
 
 
 def global_median(df: DataFrame, value: str, out: str = "median") -> DataFrame:

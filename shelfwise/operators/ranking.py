@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.exact import totals
 from shelfwise.session import checkpoint_dir
+from shelfwise.sources.sinks import materialize_small
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | row index
 
@@ -14,9 +16,11 @@ def share_of_total(df: DataFrame, value: str, out: str, scale: float = 100.0) ->
     """``scale * value / sum(value)``; the total is a one-row scalar subquery.
 
     ``sum(...) over ()`` would move every row to a single partition; the scalar
-    subquery is computed once from partial sums and shipped to the tasks.
+    subquery is computed once and shipped to the tasks. ``df`` is written first, so what it derives
+    from is read once for both; the total is exact.
     """
-    total = df.agg(F.sum(value)).scalar()
+    df = materialize_small(df, "shares")
+    total = totals(df, [], value).select("total").scalar()
     return df.withColumn(out, F.try_divide(F.col(value) * F.lit(scale), total))
 
 
@@ -61,6 +65,11 @@ def reverse_rank(df: DataFrame, rank_col: str, out: str) -> DataFrame:
     return df.withColumn(out, (n + 1 - F.col(rank_col)).cast("int"))
 
 
+def listed(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Every row with its place in the list under ``order`` as ``posicion`` (give it a unique tie-break)."""
+    return ordinal_rank(df, order, "posicion")
+
+
 def top(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """First ``n`` rows under ``order``: each task keeps its own n best, then merges."""
     return df.orderBy(*order).limit(n)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import any_true, sorted_distinct_join
 from shelfwise.operators.expect import key_violations, require_columns
 from shelfwise.operators.gapfill import assert_filled, calendar, fill_calendar
-from shelfwise.operators.joins import join_validated
-from shelfwise.sources.sinks import materialize_small
+from shelfwise.operators.joins import join_validated, one_per_key
+from shelfwise.sources.sinks import materialize_small, written_bytes
 
 # Fixed values of the reference: the holiday types that make a national holiday.
 NATIONAL_TYPES = ["Holiday", "Additional", "Bridge", "Transfer"]
@@ -62,6 +62,7 @@ def daily_price(train: DataFrame, oil: DataFrame, bucket: str | None = "month",
     return assert_filled(filled, "dcoilwtico") if check_filled else filled
 
 
+# What fills the nulls of unmatched rows.
 FACT_FILL = {
     "transactions": 0,
     "cantidad_eventos": 0,
@@ -78,6 +79,12 @@ FACT_COLUMNS = [
     "cantidad_eventos", "tipos_evento", "locales_evento", "descripciones_evento",
     "evento_transferido", "es_feriado_nacional", "es_feriado_evento",
 ]
+# Not in the reference: a day without a traffic row, which the fill makes look like a day without traffic.
+MISSING = "transactions_missing"
+
+
+def unique_stores(stores: DataFrame) -> DataFrame:
+    return one_per_key(stores, ["store_nbr"], "join key ['store_nbr'] is not unique on the right side (m:1)")
 
 
 @dataclass
@@ -97,6 +104,7 @@ def consolidate(
     guard_quality: bool = True,
     price: DataFrame | None = None,
     rollup: DataFrame | None = None,
+    checked_stores: DataFrame | None = None,
 ) -> Consolidated:
     """Four left joins onto the sales rows, each asserted many-to-one.
 
@@ -111,6 +119,10 @@ def consolidate(
     they are materialized here. Either way the day-grain tables are planned by their
     real file size, so Spark broadcasts them under its threshold instead of shuffling
     the fact by date.
+
+    Keys are checked in the joins' own shuffles. One store may hold much of the sales, and Spark
+    splits a hot key only next to a plain table, so the stores (one row per key) are checked and written
+    first, or passed in as ``checked_stores``; a (store, day) has one sales row per family at most.
     """
     require_columns(train, ["date", "store_nbr", "family", "sales", "onpromotion"], "train")
     require_columns(stores, ["store_nbr", "city", "state", "type", "cluster"], "stores")
@@ -123,13 +135,16 @@ def consolidate(
         rollup = materialize_small(event_rollup(holidays_events), "holiday_rollup")
     if price is None:
         price = materialize_small(daily_price(train, oil, check_filled=not guard_quality), "daily_price")
+    if validate and checked_stores is None:
+        checked_stores = materialize_small(unique_stores(stores), "stores")
     fact = (
-        join_validated(train, stores, ["store_nbr"], validate=v)
+        join_validated(train, checked_stores if validate else stores, ["store_nbr"], validate=None)
         .transform(lambda d: join_validated(d, transactions, ["store_nbr", "date"], validate=v))
         .join(price, on="date", how="left")
         .join(rollup, on="date", how="left")
+        .withColumn(MISSING, F.col("transactions").isNull())
         .fillna(FACT_FILL)
-        .select(*[c for c in ("id",) if c in train.columns], *FACT_COLUMNS)
+        .select(*[c for c in ("id",) if c in train.columns], *FACT_COLUMNS, MISSING)
     )
     if guard_quality:
         ok = (
@@ -141,12 +156,15 @@ def consolidate(
     return Consolidated(fact=fact, holidays=rollup, price=price)
 
 
-def consolidation_metrics(train: DataFrame, c: Consolidated) -> DataFrame:
-    """Rows in and out, columns, event dates, rows without transactions / price."""
+def consolidation_metrics(train: DataFrame, c: Consolidated, path: str | None = None) -> DataFrame:
+    """Rows in and out, columns, event dates, rows without transactions / price; with ``path``, the
+    bytes of the written fact too (``bytes_consolidado``), from its file system."""
     f = c.fact
+    size = [F.lit(written_bytes(f.sparkSession, path)).cast("bigint").alias("bytes_consolidado")] if path else []
     return f.agg(
         F.count(F.lit(1)).cast("bigint").alias("filas_consolidado"),
         F.count_if(F.col("transactions") == 0).cast("bigint").alias("filas_sin_transacciones"),
+        F.count_if(F.col(MISSING)).cast("bigint").alias("filas_transacciones_ausentes"),
         F.count_if(F.col("dcoilwtico").isNull()).cast("bigint").alias("filas_sin_precio_petroleo"),
         F.count_if(F.col("city").isNull()).cast("bigint").alias("filas_sin_ciudad"),
     ).select(
@@ -155,8 +173,10 @@ def consolidation_metrics(train: DataFrame, c: Consolidated) -> DataFrame:
         F.lit(len(f.columns)).alias("columnas_consolidado"),
         c.holidays.agg(F.count(F.lit(1))).scalar().cast("bigint").alias("fechas_eventos_unicas"),
         "filas_sin_transacciones",
+        "filas_transacciones_ausentes",
         "filas_sin_precio_petroleo",
         "filas_sin_ciudad",
+        *size,
     )
 
 

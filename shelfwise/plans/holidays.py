@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import col, is_finite, money_sum, pct_change_expr
+from shelfwise.functions.columns import is_finite, pct_change_expr
+from shelfwise.functions.exact import totals
 from shelfwise.operators.expect import require_columns, require_rows
+from shelfwise.operators.ranking import listed, top
+from shelfwise.plans.cells import SALES, dimensions, measure
 from shelfwise.sources.sinks import materialize_small
 
 FLAG = "es_feriado_nacional"
@@ -15,7 +18,7 @@ WINDOW_OFFSETS = [-3, -2, -1, 1, 2, 3]
 
 
 def _flagged(df: DataFrame) -> DataFrame:
-    require_columns(df, ["date", "family", "sales", FLAG], "fact")
+    require_columns(df, dimensions(df, "date", "family", FLAG), "fact")
     return df.withColumn(FLAG, F.coalesce(F.col(FLAG), F.lit(False)))
 
 
@@ -24,33 +27,32 @@ def holiday_dates(df: DataFrame) -> DataFrame:
     return _flagged(df).where(F.col(FLAG)).select("date").distinct()
 
 
+def _daily(df: DataFrame) -> DataFrame:
+    return totals(_flagged(df), ["date", FLAG], SALES, "ventas_diarias").select("date", FLAG, "ventas_diarias")
+
+
+def _mean() -> Column:
+    """Mean over all rows of a total, days without a known value included."""
+    return F.try_divide("ventas_totales", F.col("_rows").cast("double"))
+
+
 def holiday_vs_normal(df: DataFrame) -> DataFrame:
     """Daily totals per flag, then per flag: total, daily mean and median, days.
 
     The median is over days (bounded by the calendar), so Spark's exact ``median``
     is used directly.
     """
-    daily = _flagged(df).groupBy("date", FLAG).agg(money_sum("sales").alias("ventas_diarias"))
-    return daily.groupBy(FLAG).agg(
-        money_sum("ventas_diarias").alias("ventas_totales"),
-        col(money_sum("ventas_diarias") / F.count(F.lit(1))).alias("venta_promedio_diaria"),
-        col(F.median("ventas_diarias")).alias("venta_mediana_diaria"),
-        F.count(F.lit(1)).cast("bigint").alias("cantidad_dias"),
-    )
+    daily = _daily(df)
+    medians = daily.groupBy(FLAG).agg(F.median("ventas_diarias").alias("venta_mediana_diaria"))
+    return totals(daily, [FLAG], "ventas_diarias", "ventas_totales").join(medians, FLAG).select(
+        FLAG, "ventas_totales", _mean().alias("venta_promedio_diaria"), "venta_mediana_diaria", F.col("_rows").alias("cantidad_dias"))
 
 
 def holiday_change(df: DataFrame) -> DataFrame:
     """One row: mean daily sales on holidays and normal days, and the % change."""
-    daily = _flagged(df).groupBy("date", FLAG).agg(money_sum("sales").alias("v"))
-    one = daily.agg(
-        F.try_divide(money_sum(F.when(F.col(FLAG), F.col("v"))), F.count_if(F.col(FLAG))).alias("h"),
-        F.try_divide(money_sum(F.when(~F.col(FLAG), F.col("v"))), F.count_if(~F.col(FLAG))).alias("n"),
-    )
-    return one.select(
-        col("h").alias("promedio_feriado"),
-        col("n").alias("promedio_normal"),
-        col(pct_change_expr("h", "n")).alias("cambio_porcentual"),
-    )
+    means = totals(_daily(df), [FLAG], "ventas_diarias", "ventas_totales").withColumn("m", _mean())
+    return means.agg(F.max(F.when(F.col(FLAG), F.col("m"))).alias("promedio_feriado"), F.max(F.when(~F.col(FLAG), F.col("m"))).alias("promedio_normal")).withColumn(
+        "cambio_porcentual", pct_change_expr("promedio_feriado", "promedio_normal"))
 
 
 def holiday_window(df: DataFrame, offsets: list[int] = WINDOW_OFFSETS) -> DataFrame:
@@ -68,18 +70,13 @@ def holiday_window(df: DataFrame, offsets: list[int] = WINDOW_OFFSETS) -> DataFr
         F.col("date").alias("fecha_feriado"),
         F.explode(F.array(*[F.lit(k) for k in offsets])).alias("dias_relativo_feriado"),
     ).withColumn("date", F.date_add("fecha_feriado", F.col("dias_relativo_feriado"))), "holiday_windows")
-    per_event = (
-        f.select("date", "family", "sales")
-        .join(windows, on="date")
-        .groupBy("fecha_feriado", "family", "dias_relativo_feriado")
-        .agg(money_sum("sales").alias("v"))
-    )
-    return per_event.groupBy("family", "dias_relativo_feriado").agg(
-        money_sum("v").alias("ventas_totales"),
-        col(money_sum("v") / F.count(F.lit(1))).alias("venta_promedio_por_feriado"),
-        col(F.median("v")).alias("venta_mediana_por_feriado"),
-        F.count_distinct("fecha_feriado").cast("bigint").alias("cantidad_feriados"),
-    )
+    near = f.select("date", "family", *measure(f)).join(windows, on="date")
+    # One row per holiday, offset and family: bounded by the calendar.
+    per_event = materialize_small(totals(near, ["fecha_feriado", "family", "dias_relativo_feriado"], SALES, "v").drop("_count", "_rows"), "holiday_events")
+    keys = ["family", "dias_relativo_feriado"]
+    others = per_event.groupBy(*keys).agg(F.median("v").alias("venta_mediana_por_feriado"), F.count_distinct("fecha_feriado").cast("bigint").alias("cantidad_feriados"))
+    return totals(per_event, keys, "v", "ventas_totales").join(others, keys).select(
+        *keys, "ventas_totales", _mean().alias("venta_promedio_por_feriado"), "venta_mediana_por_feriado", "cantidad_feriados")
 
 
 def holiday_sensitivity(df: DataFrame) -> DataFrame:
@@ -87,33 +84,38 @@ def holiday_sensitivity(df: DataFrame) -> DataFrame:
 
     Families without both sides, a zero base or a non-finite change are left out.
     """
-    daily = _flagged(df).groupBy("date", "family", FLAG).agg(money_sum("sales").alias("v"))
+    daily = totals(_flagged(df), ["date", "family", FLAG], SALES, "v").select("date", "family", FLAG, "v")
+    sides = totals(daily, ["family", FLAG], "v", "ventas_totales").withColumn("m", _mean())
     h, n = F.col(FLAG), ~F.col(FLAG)
-    per_family = daily.groupBy("family").agg(
-        F.try_divide(money_sum(F.when(h, F.col("v"))), F.count_if(h)).alias("venta_promedio_diaria_feriado"),
-        F.try_divide(money_sum(F.when(n, F.col("v"))), F.count_if(n)).alias("venta_promedio_diaria_normal"),
-        F.count_distinct(F.when(h, F.col("date"))).cast("bigint").alias("dias_feriado"),
-        F.count_distinct(F.when(n, F.col("date"))).cast("bigint").alias("dias_normales"),
+    per_family = sides.groupBy("family").agg(
+        F.max(F.when(h, F.col("m"))).alias("venta_promedio_diaria_feriado"),
+        F.max(F.when(n, F.col("m"))).alias("venta_promedio_diaria_normal"),
+        F.max(F.when(h, F.col("_rows"))).alias("dias_feriado"),
+        F.max(F.when(n, F.col("_rows"))).alias("dias_normales"),
     )
     change = pct_change_expr("venta_promedio_diaria_feriado", "venta_promedio_diaria_normal")
     return (
         per_family.withColumn("cambio_porcentual", change)
         .where(is_finite("cambio_porcentual"))
-        .select(
-            "family",
-            col("venta_promedio_diaria_feriado").alias("venta_promedio_diaria_feriado"),
-            col("venta_promedio_diaria_normal").alias("venta_promedio_diaria_normal"),
-            "dias_feriado",
-            "dias_normales",
-            col("cambio_porcentual").alias("cambio_porcentual"),
-            col(F.abs("cambio_porcentual")).alias("sensibilidad_absoluta"),
-        )
+        .withColumn("sensibilidad_absoluta", F.abs("cambio_porcentual"))
     )
 
 
 def positive_families(sens: DataFrame) -> DataFrame:
-    return sens.where(F.col("cambio_porcentual") > 0)
+    """Families that sell more on holidays, the largest change first."""
+    return listed(sens.where(F.col("cambio_porcentual") > 0), [F.desc("cambio_porcentual"), F.asc("family")])
 
 
 def negative_families(sens: DataFrame) -> DataFrame:
-    return sens.where(F.col("cambio_porcentual") < 0)
+    """Families that sell less on holidays, the largest loss first."""
+    return listed(sens.where(F.col("cambio_porcentual") < 0), [F.asc("cambio_porcentual"), F.asc("family")])
+
+
+def top_sensitive_families(sens: DataFrame, n: int = 10) -> DataFrame:
+    """The families whose sales change most on holidays, in either direction."""
+    return top(sens, [F.desc("sensibilidad_absoluta"), F.asc("family")], n)
+
+
+def first_windows(windows: DataFrame, n: int = 10) -> DataFrame:
+    """The first rows of the event windows by family and day."""
+    return top(windows, [F.asc("family"), F.asc("dias_relativo_feriado")], n)

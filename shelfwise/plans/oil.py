@@ -7,17 +7,21 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import col, is_finite, money_sum, month_start, safe_corr
+from shelfwise.functions.columns import col, is_finite, month_start, safe_corr
+from shelfwise.functions.exact import totals
 from shelfwise.operators.expect import require_columns, require_rows
+from shelfwise.operators.ranking import top
 from shelfwise.operators.series import best_lag, lag_scan, pct_change, shift_within
+from shelfwise.plans.cells import SALES, dimensions
+from shelfwise.sources.sinks import materialize_small
 
 # The reference's period (2015-01 .. 2016-12) mapped onto the fixture calendar.
 PERIOD = (dt.date(1997, 1, 1), dt.date(1998, 12, 1))
 LAGS = list(range(0, 7))
 
 
-def _check(df: DataFrame) -> None:
-    require_columns(df, ["date", "sales", "dcoilwtico", "city"], "fact")
+def _check(df: DataFrame, *columns: str) -> None:
+    require_columns(df, dimensions(df, "date", *columns), "fact")
 
 
 def oil_monthly(df: DataFrame) -> DataFrame:
@@ -26,17 +30,11 @@ def oil_monthly(df: DataFrame) -> DataFrame:
     The price depends on the date only, so one value per date is taken with ``max``
     (deterministic, where keeping an arbitrary duplicate is not) before averaging.
     """
-    _check(df)
-    sales = df.groupBy(month_start("date").alias("fecha_mes")).agg(
-        money_sum("sales").alias("ventas_totales")
-    )
-    price = (
-        df.select("date", "dcoilwtico")
-        .groupBy("date").agg(F.max("dcoilwtico").alias("p"))
-        .where(F.col("p").isNotNull())
-        .groupBy(month_start("date").alias("fecha_mes"))
-        .agg(F.avg("p").alias("precio_petroleo_promedio"))
-    )
+    _check(df, "dcoilwtico")
+    sales = totals(df, [month_start("date").alias("fecha_mes")], SALES, "ventas_totales")
+    days = df.groupBy("date").agg(F.max("dcoilwtico").alias("p")).where(F.col("p").isNotNull())
+    price = totals(days, [month_start("date").alias("fecha_mes")], "p").select(
+        "fecha_mes", F.try_divide("total", F.col("_count").cast("double")).alias("precio_petroleo_promedio"))
     return sales.join(price, on="fecha_mes").select(
         "fecha_mes", "ventas_totales", "precio_petroleo_promedio",
         F.year("fecha_mes").alias("anio"), F.month("fecha_mes").alias("mes"),
@@ -92,6 +90,16 @@ def oil_best_lag(scan: DataFrame) -> DataFrame:
     return best_lag(scan)
 
 
+def city_months(df: DataFrame, period=PERIOD) -> DataFrame:
+    """Sales per city and month up to the period's end.
+
+    Later months have no part in the period and are not read where the table is laid out by month
+    (``fecha_mes``); an earlier one may be the month that the period's first one is compared with.
+    """
+    month = F.col("fecha_mes") if "fecha_mes" in df.columns else month_start("date")
+    return totals(df.where(month <= F.lit(period[1])), ["city", month.alias("fecha_mes")], SALES, "ventas_ciudad").drop("_count", "_rows")
+
+
 def oil_city_sensitivity(df: DataFrame, monthly: DataFrame, period=PERIOD, lags=LAGS) -> DataFrame:
     """Per city: correlation of the national price change with the city's sales change,
     shifted by the best lag of the national scan (0 when none is positive).
@@ -99,17 +107,16 @@ def oil_city_sensitivity(df: DataFrame, monthly: DataFrame, period=PERIOD, lags=
     The lag stays a scalar subquery: it parametrises the positional self join per city
     without a collect.
     """
-    _check(df)
+    _check(df, "city")
     scan = lag_scan(oil_variation_period(monthly, period), "fecha_mes",
                     "variacion_petroleo_pct", "variacion_ventas_pct", lags)
-    lag = F.coalesce(best_lag(scan).select("lag_meses").scalar(), F.lit(0))
-    city_month = df.groupBy("city", month_start("date").alias("fecha_mes")).agg(
-        money_sum("sales").alias("ventas_ciudad")
-    )
-    city_var = pct_change(city_month, "fecha_mes", {"ventas_ciudad": "variacion_ventas_ciudad_pct"},
+    best = materialize_small(best_lag(scan).select("lag_meses"), "best_lag")
+    lag = F.coalesce(best.scalar(), F.lit(0))
+    city_var = pct_change(city_months(df, period), "fecha_mes", {"ventas_ciudad": "variacion_ventas_ciudad_pct"},
                           by=("city",))
     oil_var = oil_variations(monthly).select("fecha_mes", "variacion_petroleo_pct")
-    joined = in_period(city_var.join(oil_var, on="fecha_mes"), period)
+    # One row per city and month, read twice below.
+    joined = materialize_small(in_period(city_var.join(oil_var, on="fecha_mes"), period), "city_months")
     shifted = shift_within(joined, ["city"], "fecha_mes", "variacion_ventas_ciudad_pct", lag,
                            "variacion_ventas_desfasada_pct")
     pairs = shifted.where(is_finite("variacion_petroleo_pct") & is_finite("variacion_ventas_desfasada_pct"))
@@ -124,3 +131,8 @@ def oil_city_sensitivity(df: DataFrame, monthly: DataFrame, period=PERIOD, lags=
         col(F.abs("c")).alias("sensibilidad_absoluta"),
         lag.cast("int").alias("lag_meses_utilizado"),
     )
+
+
+def top_sensitive_cities(cities: DataFrame, n: int = 10) -> DataFrame:
+    """The cities whose sales follow the price most, in either direction."""
+    return top(cities, [F.desc("sensibilidad_absoluta"), F.asc("city")], n)

@@ -5,35 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import col, is_finite, money_mean, money_sum, pct_change_expr
+from shelfwise.functions.columns import is_finite, pct_change_expr
+from shelfwise.functions.exact import totals
 from shelfwise.operators.expect import require_columns
 from shelfwise.operators.median import exact_median
-from shelfwise.operators.ranking import top
+from shelfwise.operators.ranking import listed, top
+from shelfwise.plans.cells import SALES, dimensions
 
 FLAG = "en_promocion"
 
 
 def _flagged(df: DataFrame) -> DataFrame:
-    require_columns(df, ["family", "sales", "onpromotion"], "fact")
+    require_columns(df, dimensions(df, "family", "onpromotion"), "fact")
     return df.withColumn(FLAG, F.coalesce(F.col("onpromotion"), F.lit(0)) > 0)
 
 
-def promo_general(df: DataFrame) -> DataFrame:
+def promo_general(df: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     """Per promotion flag: total, mean, record-level median and row count.
 
     Two groups split the whole fact, so the median is the distributed exact one
-    (``exact_median``), not Spark's single-task ``median``.
+    (``exact_median``), not Spark's single-task ``median``. The sums come from ``cells`` where given.
     """
-    f = _flagged(df).select(FLAG, "sales")
-    sums = f.groupBy(FLAG).agg(
-        money_sum("sales").alias("ventas_totales"),
-        col(money_mean("sales")).alias("venta_promedio"),
-        F.count(F.lit(1)).cast("bigint").alias("cantidad_registros"),
-    )
-    med = exact_median(f, [FLAG], "sales", "venta_mediana", few_groups=True)
+    sums = totals(_flagged(df if cells is None else cells), [FLAG], SALES, "ventas_totales")
+    med = exact_median(_flagged(df).select(FLAG, SALES), [FLAG], SALES, "venta_mediana")
     return sums.join(med, on=FLAG, how="left").select(
-        FLAG, "ventas_totales", "venta_promedio", col("venta_mediana").alias("venta_mediana"),
-        "cantidad_registros",
+        FLAG, "ventas_totales", F.try_divide("ventas_totales", F.col("_count").cast("double")).alias("venta_promedio"), "venta_mediana",
+        F.col("_rows").alias("cantidad_registros"),
     )
 
 
@@ -42,27 +39,26 @@ def promo_by_family(df: DataFrame) -> DataFrame:
 
     Families lacking either side, with a zero base or a non-finite change are left out.
     """
-    f = _flagged(df)
+    sides = totals(_flagged(df), ["family", FLAG], SALES).withColumn("m", F.try_divide("total", F.col("_count").cast("double")))
     on, off = F.col(FLAG), ~F.col(FLAG)
-    per = f.groupBy("family").agg(
-        money_mean(F.when(on, F.col("sales"))).alias("con"),
-        money_mean(F.when(off, F.col("sales"))).alias("sin"),
-        F.count(F.when(on, F.col("sales"))).cast("bigint").alias("registros_con_promocion"),
-        F.count(F.when(off, F.col("sales"))).cast("bigint").alias("registros_sin_promocion"),
+    per = sides.groupBy("family").agg(
+        F.max(F.when(on, F.col("m"))).alias("con"),
+        F.max(F.when(off, F.col("m"))).alias("sin"),
+        F.coalesce(F.max(F.when(on, F.col("_count"))), F.lit(0)).alias("registros_con_promocion"),
+        F.coalesce(F.max(F.when(off, F.col("_count"))), F.lit(0)).alias("registros_sin_promocion"),
     )
-    change = pct_change_expr("con", "sin")
     return (
-        per.withColumn("incremento_porcentual", change)
+        per.withColumn("incremento_porcentual", pct_change_expr("con", "sin"))
         .where(is_finite("incremento_porcentual"))
         .select(
             "family",
-            col("con").alias("venta_promedio_con_promocion"),
-            col("sin").alias("venta_promedio_sin_promocion"),
+            F.col("con").alias("venta_promedio_con_promocion"),
+            F.col("sin").alias("venta_promedio_sin_promocion"),
             "registros_con_promocion",
             "registros_sin_promocion",
-            col(F.col("con") - F.col("sin")).alias("diferencia_promedio"),
-            col("incremento_porcentual").alias("incremento_porcentual"),
-            col(F.abs("incremento_porcentual")).alias("efecto_absoluto"),
+            (F.col("con") - F.col("sin")).alias("diferencia_promedio"),
+            "incremento_porcentual",
+            F.abs("incremento_porcentual").alias("efecto_absoluto"),
         )
     )
 
@@ -72,7 +68,8 @@ def promo_top(effect: DataFrame, n: int = 10) -> DataFrame:
 
 
 def promo_negative(effect: DataFrame) -> DataFrame:
-    return effect.where(F.col("incremento_porcentual") < 0)
+    """Families that sell less under promotion, the largest loss first."""
+    return listed(effect.where(F.col("incremento_porcentual") < 0), [F.asc("incremento_porcentual"), F.asc("family")])
 
 
 def promo_smallest(effect: DataFrame, n: int = 10) -> DataFrame:

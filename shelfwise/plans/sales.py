@@ -5,30 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import col, money_mean, money_sum, month_start
+from shelfwise.functions.columns import month_start
+from shelfwise.functions.exact import totals
 from shelfwise.operators.expect import require_columns
 from shelfwise.operators.ranking import ordinal_rank, reverse_rank, share_of_total, top
+from shelfwise.plans.cells import SALES, dimensions
 
-SALES = "sales"
-
-
-def total_by(df: DataFrame, keys: list, value: str = SALES, with_mean: bool = True,
-             with_count: bool = False) -> DataFrame:
-    """Exact total (and mean, row count) of ``value`` per key, one hash aggregation."""
-    aggs = [money_sum(value).alias("ventas_totales")]
-    if with_mean:
-        aggs.append(col(money_mean(value)).alias("venta_promedio"))
-    if with_count:
-        aggs.append(F.count(F.lit(1)).cast("bigint").alias("numero_registros"))
-    return df.groupBy(*keys).agg(*aggs)
+def total_by(df: DataFrame, keys: list, with_mean: bool = True, with_count: bool = False) -> DataFrame:
+    """Exact total (and mean, row count) of the sales per key, from the fact or from cells."""
+    t = totals(df, keys, SALES, "ventas_totales")
+    names = t.columns[: len(keys)]
+    mean = [F.try_divide("ventas_totales", F.col("_count").cast("double")).alias("venta_promedio")] if with_mean else []
+    count = [F.col("_rows").alias("numero_registros")] if with_count else []
+    return t.select(*names, "ventas_totales", *mean, *count)
 
 
 def by_family(df: DataFrame) -> DataFrame:
-    require_columns(df, ["family", SALES], "fact")
-    t = total_by(df, ["family"], with_count=True)
-    return share_of_total(t, "ventas_totales", "participacion_porcentual").withColumn(
-        "participacion_porcentual", col("participacion_porcentual")
-    )
+    require_columns(df, dimensions(df, "family"), "fact")
+    return share_of_total(total_by(df, ["family"], with_count=True), "ventas_totales", "participacion_porcentual")
 
 
 def by_store(df: DataFrame) -> DataFrame:
@@ -37,7 +31,7 @@ def by_store(df: DataFrame) -> DataFrame:
     Ties on the total go to the smaller store number in the descending rank; the
     ascending rank is ``n + 1 -`` it.
     """
-    require_columns(df, ["store_nbr", SALES], "fact")
+    require_columns(df, dimensions(df, "store_nbr"), "fact")
     t = total_by(df, ["store_nbr"])
     ranked = ordinal_rank(t, [F.col("ventas_totales").desc(), F.col("store_nbr").asc()],
                           "ranking_mayor_venta")

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import col, is_finite, money_mean, money_sum, safe_corr
-from shelfwise.operators.expect import require_columns
+from shelfwise.functions.columns import col, is_finite, safe_corr
+from shelfwise.functions.exact import has_state, totals
 from shelfwise.operators.clean import column_medians
+from shelfwise.operators.expect import require_columns
+from shelfwise.operators.ranking import listed
+from shelfwise.plans.cells import SALES, TRAFFIC, dimensions, two_values, with_traffic
 
 # Fixed values of the reference: the ticket class labels.
 HIGH, LOW, MIDDLE = "Ticket alto", "Ticket bajo", "Intermedio"
 
 
 def _check(df: DataFrame) -> None:
-    require_columns(df, ["date", "store_nbr", "sales", "transactions"], "fact")
+    require_columns(df, dimensions(df, "date", "store_nbr", *([] if has_state(df) else ["transactions"])), "fact")
 
 
 def fd_violations(df: DataFrame) -> DataFrame:
@@ -36,13 +39,10 @@ def traffic_daily(df: DataFrame) -> DataFrame:
     carries two of them (null counts as a value).
     """
     _check(df)
-    t = F.col("transactions")
-    two = (F.min(t) < F.max(t)) | ((F.count(t) > 0) & (F.count(t) < F.count(F.lit(1))))
     message = "transactions has more than one value for a store and date"
-    daily = df.groupBy("store_nbr", "date").agg(
-        money_sum("sales").alias("ventas_diarias"),
-        F.when(two, F.raise_error(F.lit(message)).cast("bigint")).otherwise(F.max(t)).alias("transactions"))
-    return daily.where(F.col("transactions") > 0)
+    daily = totals(with_traffic(df), ["store_nbr", "date"], SALES, "ventas_diarias", extra=TRAFFIC)
+    value = F.when(two_values(F.col("_rows")), F.raise_error(F.lit(message)).cast("bigint")).otherwise(F.col("transactions_most"))
+    return daily.select("store_nbr", "date", "ventas_diarias", value.alias("transactions")).where(F.col("transactions") > 0)
 
 
 def traffic_correlation(daily: DataFrame) -> DataFrame:
@@ -53,14 +53,16 @@ def traffic_correlation(daily: DataFrame) -> DataFrame:
 
 def ticket_by_store(daily: DataFrame) -> DataFrame:
     """Per store: totals, daily means, traffic/sales correlation, days, average ticket."""
-    per = daily.groupBy("store_nbr").agg(
+    sums = totals(daily, ["store_nbr"], "ventas_diarias", "ventas_totales")
+    others = daily.groupBy("store_nbr").agg(
         F.sum("transactions").cast("bigint").alias("total_transacciones"),
-        money_sum("ventas_diarias").alias("ventas_totales"),
         F.avg("transactions").alias("transacciones_promedio_diarias"),
-        money_mean("ventas_diarias").alias("ventas_promedio_diarias"),
         safe_corr("transactions", "ventas_diarias").alias("correlacion_transacciones_ventas"),
-        F.count(F.lit(1)).cast("bigint").alias("dias_analizados"),
     )
+    per = sums.join(others, "store_nbr").select(
+        "store_nbr", "total_transacciones", "ventas_totales", "transacciones_promedio_diarias",
+        F.try_divide("ventas_totales", F.col("_count").cast("double")).alias("ventas_promedio_diarias"),
+        "correlacion_transacciones_ventas", F.col("_rows").alias("dias_analizados"))
     return per.withColumn(
         "ticket_promedio",
         F.when(F.col("total_transacciones") > 0,
@@ -104,12 +106,20 @@ def ticket_class(stores: DataFrame) -> DataFrame:
 
 
 def ticket_high(classes: DataFrame) -> DataFrame:
-    return classes.where(F.col("clasificacion_ticket") == HIGH)
+    """Stores of the high class, the highest average ticket first."""
+    return listed(classes.where(F.col("clasificacion_ticket") == HIGH), [F.desc("ticket_promedio"), F.asc("store_nbr")])
 
 
 def ticket_low(classes: DataFrame) -> DataFrame:
-    return classes.where(F.col("clasificacion_ticket") == LOW)
+    """Stores of the low class, the lowest average ticket first."""
+    return listed(classes.where(F.col("clasificacion_ticket") == LOW), [F.asc("ticket_promedio"), F.asc("store_nbr")])
 
 
-def top_correlated_stores(stores: DataFrame) -> DataFrame:
+def correlated_stores(stores: DataFrame) -> DataFrame:
+    """Stores whose traffic and sales have a correlation."""
     return _rounded(stores.where(is_finite("correlacion_transacciones_ventas")))
+
+
+def top_correlated_stores(stores: DataFrame) -> DataFrame:
+    """The same, the strongest correlation first."""
+    return listed(correlated_stores(stores), [F.desc("correlacion_transacciones_ventas"), F.asc("store_nbr")])

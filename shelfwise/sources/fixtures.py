@@ -8,12 +8,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import money_sum
 from shelfwise.session import apply_required_conf
 
+
+
+def money_sum(c: str) -> Column:
+    """Sum of a driver amount (whole cents below 10**16), the same in every order. Sums of the
+    retailer's own values are exact whatever they are: ``functions.exact``."""
+    return F.sum(F.col(c).cast("decimal(28,12)")).cast("double")
+
+
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",

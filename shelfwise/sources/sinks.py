@@ -9,7 +9,7 @@ import uuid
 import time
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,7 @@ from shelfwise.session import checkpoint_dir
 # ---- stage tables --------------------------------------------------------------------
 
 _STAGED: dict[tuple[str, str], str] = {}
+_COUNTS: dict[str, dict[str, int]] = {}
 _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
 
@@ -34,12 +35,18 @@ def stage_path(spark: SparkSession, name: str, key: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/shelfwise-stage/{name}-{digest}"
 
 
+def _null_cells(df: DataFrame) -> Column:
+    return sum((F.count_if(F.col(c).isNull()) for c in df.columns), F.lit(0)).cast("bigint")
+
+
 def stage_table(
     df: DataFrame | Callable[[], DataFrame],
     name: str,
     key: str,
     sort_by: list[str] | None = None,
     spark: SparkSession | None = None,
+    partition_by: list[str] | None = None,
+    check: Callable[[dict[str, int]], None] | None = None,
 ) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
@@ -47,20 +54,42 @@ def stage_table(
     of re-deriving the table) and survives executor loss, since the files live in the
     shared folder. Within one application the same ``(name, key)`` is written once.
     ``sort_by`` clusters rows inside each file so Parquet min/max statistics can skip
-    row groups (no extra shuffle). ``df`` may be a function building the frame, so a
-    staged table costs no plan construction at all.
+    row groups (no extra shuffle); ``partition_by`` lays the table out in folders (``write_table``).
+    ``df`` may be a function building the frame, so a staged table costs no plan construction at all.
+
+    Rows and null cells are counted on the rows as they are written (``Observation`` on the last
+    stage, whose tasks count once whatever is retried) and kept: ``staged_counts``. ``check`` gets the
+    counts after the write and may raise; then the table is not taken over.
     """
+    from pyspark.sql import Observation
+
     spark = spark or df.sparkSession
     path = stage_path(spark, name, key)
     with _lock_for(path):
         if (name, path) not in _STAGED:
             frame = df() if callable(df) else df
-            out = frame.sortWithinPartitions(*sort_by) if sort_by else frame
-            out.write.mode("overwrite").parquet(path)
+            seen = Observation()
+            counted = lambda d: d.observe(seen, F.count(F.lit(1)).alias("rows"), _null_cells(d).alias("nulls"))
+            write_table(frame, path, partition_by, sort_by, last=counted)
+            counts = {"rows": int(seen.get["rows"]), "nulls": int(seen.get["nulls"])}
+            if check is not None:
+                check(counts)
+            _COUNTS[path] = counts
             _STAGED[(name, path)] = path
     return spark.read.parquet(path)
 
 
+def staged_counts(spark: SparkSession, name: str, key: str) -> dict[str, int]:
+    """``rows`` and ``nulls`` counted while the stage table was written."""
+    return dict(_COUNTS[stage_path(spark, name, key)])
+
+
+def written_bytes(spark: SparkSession, path: str) -> int:
+    """Size of what was written under ``path``, from its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return int(folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength())
+
+
 def materialize_small(df: DataFrame, name: str) -> DataFrame:
     """Write a small derived table (e.g. holiday dates x offsets) and read it back.
 
@@ -78,9 +107,18 @@ def write_table(
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
     mode: str = "overwrite",
+    last: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> None:
-    """Parquet sink, optionally partitioned (e.g. by month) and clustered for skipping."""
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
+    """Parquet sink, optionally partitioned (e.g. by month) and clustered for skipping.
+
+    Partitioned rows are dealt by the partition columns first, or every task would write a file in
+    every folder; the rebalance splits a large month over tasks and joins small ones. ``last`` is
+    applied to the frame that is written.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    order = [*(partition_by or []), *(sort_by or [])]
+    out = last(df.sortWithinPartitions(*order) if order else df)
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -177,7 +215,11 @@ def index_ddl(schema_name: str, table: str, columns: list[str]) -> list[str]:
 STAGING = "__staging"
 
 
-def jdbc_options(url: str, schema_name: str, table: str, batch_size: int = 50_000,
+def staging_table(table: str, run: str) -> str:
+    return f"{table}{STAGING}_{run}"
+
+
+def jdbc_options(url: str, schema_name: str, staging: str, batch_size: int = 50_000,
                  num_partitions: int | None = None) -> dict[str, str]:
     """Options for a parallel JDBC append to the staging table, which exists with its own types.
 
@@ -186,7 +228,7 @@ def jdbc_options(url: str, schema_name: str, table: str, batch_size: int = 50_00
     """
     opts = {
         "url": url,
-        "dbtable": f"{quote_identifier(schema_name)}.{quote_identifier(table + STAGING)}",
+        "dbtable": f"{quote_identifier(schema_name)}.{quote_identifier(staging)}",
         "batchsize": str(batch_size),
         "isolationLevel": "READ_COMMITTED",
     }
@@ -195,22 +237,26 @@ def jdbc_options(url: str, schema_name: str, table: str, batch_size: int = 50_00
     return opts
 
 
-def prepare_statements(schema_name: str, table: str, schema: T.StructType) -> list[str]:
+def prepare_statements(schema_name: str, staging: str, schema: T.StructType) -> list[str]:
     """Before the write: the schema, then an empty staging table with the target types."""
     s = quote_identifier(schema_name)
     return [
         f"CREATE SCHEMA IF NOT EXISTS {s}",
-        f"DROP TABLE IF EXISTS {s}.{quote_identifier(table + STAGING)}",
-        create_table_ddl(schema_name, table + STAGING, schema),
+        f"DROP TABLE IF EXISTS {s}.{quote_identifier(staging)}",
+        create_table_ddl(schema_name, staging, schema),
     ]
 
 
-def swap_statements(schema_name: str, table: str, columns: list[str]) -> list[str]:
+def drop_statements(schema_name: str, staging: str) -> list[str]:
+    return [f"DROP TABLE IF EXISTS {quote_identifier(schema_name)}.{quote_identifier(staging)}"]
+
+
+def swap_statements(schema_name: str, table: str, staging: str, columns: list[str]) -> list[str]:
     """After the write, as one transaction: rename, indexes, statistics."""
     s, t = quote_identifier(schema_name), quote_identifier(table)
     return [
         f"DROP TABLE IF EXISTS {s}.{t}",
-        f"ALTER TABLE {s}.{quote_identifier(table + STAGING)} RENAME TO {t}",
+        f"ALTER TABLE {s}.{quote_identifier(staging)} RENAME TO {t}",
         *index_ddl(schema_name, table, columns),
         f"ANALYZE {s}.{t}",
     ]
@@ -236,17 +282,45 @@ def execute_statements(spark: SparkSession, url: str, statements: list[str], pro
         connection.close()
 
 
-def write_jdbc(df: DataFrame, url: str, schema_name: str, table: str, properties: dict | None = None,
-               batch_size: int = 50_000, num_partitions: int | None = None, execute=execute_statements) -> None:
-    """Export one table: prepare the staging table, append to it in parallel, swap it in.
+def count_rows(spark: SparkSession, url: str, dbtable: str, properties: dict | None = None) -> int:
+    """Rows that the target table holds, counted by the database."""
+    query = f"SELECT COUNT(*) AS n FROM {dbtable}"
+    return int(spark.read.format("jdbc").options(url=url, query=query, **(properties or {})).load().first()[0])
 
-    Needs a reachable database and its driver; ``execute`` runs the statements.
+
+class IncompleteExport(RuntimeError):
+    """The staging table holds other rows than were sent."""
+
+
+def write_jdbc(df: DataFrame, url: str, schema_name: str, table: str, properties: dict | None = None,
+               batch_size: int = 50_000, num_partitions: int | None = None, run: str | None = None, attempts: int = 2,
+               execute=execute_statements, count=count_rows) -> int:
+    """Export one table: a staging table of this run, a parallel append, a count, and only then the swap.
+
+    Spark commits partition by partition, so a task that is lost after its commit and run again has
+    sent its rows twice. The rows sent are counted while they are written (on the last stage, once per
+    partition) and compared with the rows that the database counts: only equal counts are swapped in.
+    Otherwise the staging table is dropped and filled anew, at most ``attempts`` times, then
+    ``IncompleteExport`` is raised; readers keep the former table throughout. A run that dies leaves its
+    own staging table behind and nothing else. Returns the rows exported.
+
+    Needs a reachable database and its driver; ``execute`` runs statements, ``count`` counts the staging table.
     """
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
-    execute(spark, url, prepare_statements(schema_name, table, df.schema), properties)
-    opts = {**jdbc_options(url, schema_name, table, batch_size, num_partitions), **(properties or {})}
-    df.write.format("jdbc").options(**opts).mode("append").save()
-    execute(spark, url, swap_statements(schema_name, table, df.columns), properties)
+    staging = staging_table(table, run or uuid.uuid4().hex[:12])
+    opts = {**jdbc_options(url, schema_name, staging, batch_size, num_partitions), **(properties or {})}
+    for _ in range(attempts):
+        execute(spark, url, prepare_statements(schema_name, staging, df.schema), properties)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("jdbc").options(**opts).mode("append").save()
+        sent, held = int(seen.get["rows"]), count(spark, url, opts["dbtable"], properties)
+        if sent == held:
+            execute(spark, url, swap_statements(schema_name, table, staging, df.columns), properties)
+            return sent
+        execute(spark, url, drop_statements(schema_name, staging), properties)
+    raise IncompleteExport(f"{table}: {sent} rows sent, {held} in the staging table")
 
 
 # ---- manifest and completeness --------------------------------------------------------

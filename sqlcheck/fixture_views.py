@@ -93,7 +93,8 @@ select t.date, t.store_nbr, t.family, t.sales, t.onpromotion,
   h.tipos_evento, h.locales_evento, h.descripciones_evento,
   coalesce(h.evento_transferido, false) as evento_transferido,
   coalesce(h.es_feriado_nacional, false) as es_feriado_nacional,
-  coalesce(h.es_feriado_evento, false) as es_feriado_evento
+  coalesce(h.es_feriado_evento, false) as es_feriado_evento,
+  x.transactions is null as transactions_missing
 from train t
 left join stores s on s.store_nbr = t.store_nbr
 left join transactions x on x.store_nbr = t.store_nbr and x.date = t.date

@@ -39,6 +39,10 @@ def FIN(x: str) -> str:
     return f"({x} is not null and isfinite({x}))"
 
 
+def place(order: str) -> str:
+    return f"cast(row_number() over (order by {order}) as integer) as posicion"
+
+
 def _union(parts: list[str]) -> str:
     return "\nunion all\n".join(parts)
 
@@ -297,9 +301,10 @@ from oil
 CONSOLIDATION_METRICS = with_views("""
 select cast((select count(*) from train) as bigint) as filas_train,
   cast(count(*) as bigint) as filas_consolidado,
-  18 as columnas_consolidado,
+  19 as columnas_consolidado,
   cast((select count(*) from holiday_rollup) as bigint) as fechas_eventos_unicas,
   cast(count(*) filter (where transactions = 0) as bigint) as filas_sin_transacciones,
+  cast(count(*) filter (where transactions_missing) as bigint) as filas_transacciones_ausentes,
   cast(count(*) filter (where dcoilwtico is null) as bigint) as filas_sin_precio_petroleo,
   cast(count(*) filter (where city is null) as bigint) as filas_sin_ciudad
 from fact
@@ -354,6 +359,7 @@ def _dq_checks() -> str:
             "select 1 from fact group by store_nbr, date having count(distinct transactions) "
             "+ max(case when transactions is null then 1 else 0 end) > 1"),
         cnt("no_traffic_days", "select 1 from (select count(*) as n from daily_traffic) c where n = 0"),
+        "select 'rows_lost_or_added', cast(abs((select count(*) from fact) - (select count(*) from train)) as bigint)",
     ]
     return on_fact(_union(checks), "monthly", "daily_traffic")
 
@@ -481,7 +487,7 @@ ORACLE: dict[str, str] = {
     "gap_fill_bucketed": GAP_FILL,
     "gap_fill_metrics": GAP_FILL_METRICS,
     "holiday_rollup": with_views("select * from holiday_rollup", "holiday_rollup"),
-    "consolidate": with_views("select * replace (dcoilwtico as dcoilwtico) from fact", "fact"),
+    "consolidate": with_views("select * from fact", "fact"),
     "consolidation_metrics": CONSOLIDATION_METRICS,
     "join_key_violations": JOIN_KEY_VIOLATIONS,
     "join_fanout": JOIN_FANOUT,
@@ -505,13 +511,13 @@ ORACLE: dict[str, str] = {
     "holiday_change": on_fact(HOLIDAY_CHANGE),
     "holiday_window": on_fact(HOLIDAY_WINDOW),
     "holiday_sensitivity": on_fact("select * from family_sens", "family_sens"),
-    "holiday_positive": on_fact("select * from family_sens where cambio_porcentual > 0", "family_sens"),
-    "holiday_negative": on_fact("select * from family_sens where cambio_porcentual < 0", "family_sens"),
+    "holiday_positive": on_fact(f"select *, {place('cambio_porcentual desc, family')} from family_sens where cambio_porcentual > 0", "family_sens"),
+    "holiday_negative": on_fact(f"select *, {place('cambio_porcentual, family')} from family_sens where cambio_porcentual < 0", "family_sens"),
     "promo_general": on_fact(PROMO_GENERAL),
     "promo_by_family": on_fact("select * from promo_family", "promo_family"),
     "promo_top": on_fact("select * from promo_family order by incremento_porcentual desc, family asc limit 10",
                          "promo_family"),
-    "promo_negative": on_fact("select * from promo_family where incremento_porcentual < 0", "promo_family"),
+    "promo_negative": on_fact(f"select *, {place('incremento_porcentual, family')} from promo_family where incremento_porcentual < 0", "promo_family"),
     "promo_smallest": on_fact("select * from promo_family where incremento_porcentual >= 0 "
                               "order by incremento_porcentual asc, family asc limit 10", "promo_family"),
     "oil_monthly": on_fact("select fecha_mes, ventas_totales, precio_petroleo_promedio as "
@@ -540,11 +546,11 @@ ORACLE: dict[str, str] = {
         f"(select {CORR('transactions', 'ventas_diarias')} as c from daily_traffic) x", "daily_traffic"),
     "ticket_by_store": on_fact(f"select {STORE_COLS} from store_traffic", "store_traffic"),
     "ticket_class": on_fact(f"select {STORE_COLS}, clasificacion_ticket from ticket_classes", "ticket_classes"),
-    "ticket_high": on_fact(f"select {STORE_COLS}, clasificacion_ticket from ticket_classes "
+    "ticket_high": on_fact(f"select {STORE_COLS}, clasificacion_ticket, {place('ticket_promedio desc, store_nbr')} from ticket_classes "
                            "where clasificacion_ticket = 'Ticket alto'", "ticket_classes"),
-    "ticket_low": on_fact(f"select {STORE_COLS}, clasificacion_ticket from ticket_classes "
+    "ticket_low": on_fact(f"select {STORE_COLS}, clasificacion_ticket, {place('ticket_promedio, store_nbr')} from ticket_classes "
                           "where clasificacion_ticket = 'Ticket bajo'", "ticket_classes"),
-    "traffic_top_stores": on_fact(f"select {STORE_COLS} from store_traffic "
+    "traffic_top_stores": on_fact(f"select {STORE_COLS}, {place('correlacion_transacciones_ventas desc, store_nbr')} from store_traffic "
                                   f"where {FIN('correlacion_transacciones_ventas')}", "store_traffic"),
 }
 
@@ -588,7 +594,7 @@ select
 
 # Exported tables and the query that computes each (reference names, export order).
 EXPORTED = [
-    ("consolidado", "consolidate", 18), ("ventas_por_familia", "sales_by_family", 5),
+    ("consolidado", "consolidate", 19), ("ventas_por_familia", "sales_by_family", 5),
     ("ventas_por_tienda", "sales_by_store", 5), ("ventas_por_ciudad", "sales_by_city", 3),
     ("ventas_por_provincia", "sales_by_state", 3), ("ventas_por_anio", "sales_by_year", 3),
     ("ventas_por_mes", "sales_by_month", 4), ("feriados_vs_dias_normales", "holiday_vs_normal", 5),
@@ -602,6 +608,9 @@ EXPORTED = [
 ]
 
 ORACLE.update({
+    "oil_top_cities": on_fact("select * from city_sens order by sensibilidad_absoluta desc, city limit 10", "city_sens"),
+    "holiday_top_families": on_fact("select * from family_sens order by sensibilidad_absoluta desc, family limit 10", "family_sens"),
+    "holiday_first_windows": on_fact(f"select * from ({HOLIDAY_WINDOW}) w order by family, dias_relativo_feriado limit 10"),
     "preview": with_views(PREVIEW, "fact"),
     "distinct_values": on_fact("select distinct city from fact where city is not null order by city limit 10"),
     "headline": on_fact(HEADLINE, "family_sens", "promo_family", "lag_scan", "city_sens", "store_traffic",
@@ -656,6 +665,9 @@ FLOATS = {
     "ticket_low": "ventas_totales transacciones_promedio_diarias ventas_promedio_diarias correlacion_transacciones_ventas ticket_promedio",
     "traffic_top_stores": "ventas_totales transacciones_promedio_diarias ventas_promedio_diarias correlacion_transacciones_ventas ticket_promedio",
     "preview": "sales dcoilwtico",
+    "oil_top_cities": "correlacion_petroleo_ventas sensibilidad_absoluta",
+    "holiday_top_families": "venta_promedio_diaria_feriado venta_promedio_diaria_normal cambio_porcentual sensibilidad_absoluta",
+    "holiday_first_windows": "ventas_totales venta_promedio_por_feriado venta_mediana_por_feriado",
 }
 
 

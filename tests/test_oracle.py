@@ -10,15 +10,17 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from shelfwise.plans.catalog import registry as queries
+from sqlcheck.queries import ORACLE
 from shelfwise.sources.fixtures import DRIVER_TABLES
 
 SF = os.environ.get("SHELFWISE_TEST_SF", "/root/testdata/sf0.001")
 SUBSET = [
     "load_summary", "profile_nulls", "cleaning_metrics", "gap_fill_bucketed", "gap_fill_metrics",
     "consolidate", "dq_checks", "sales_by_family", "sales_by_store", "holiday_window",
-    "holiday_sensitivity", "promo_general", "promo_by_family", "oil_lag_scan",
+    "holiday_sensitivity", "promo_general", "promo_negative", "promo_by_family", "oil_lag_scan",
     "oil_city_sensitivity", "traffic_daily", "ticket_class", "headline", "export_manifest",
+    "holiday_positive", "holiday_negative", "ticket_high", "ticket_low", "traffic_top_stores", "consolidation_metrics",
 ]
 NAMES = sorted(queries()) if os.environ.get("SHELFWISE_ORACLE_ALL") else SUBSET
 
@@ -49,7 +51,7 @@ def _rows(cols, rows):
 def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
-    res = con.execute(oracle_sql()[name])
+    res = con.execute(ORACLE[name])
     cols = [d[0] for d in res.description]
     want = _rows(cols, res.fetchall())
     assert sorted(df.columns) == sorted(cols)
@@ -58,7 +60,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == set()
+    assert set(queries()) == set(ORACLE)
 
 
 SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
@@ -68,6 +70,6 @@ SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "st
 def test_column_types_match_the_oracle(spark, con):
     for name, fn in queries().items():
         spark_types = dict(fn(spark, SF).dtypes)
-        rel = con.sql(oracle_sql()[name])
+        rel = con.sql(ORACLE[name])
         duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
         assert {c: SPARK_TO_DUCKDB.get(t, t) for c, t in spark_types.items()} == duck_types, name

@@ -5,7 +5,11 @@ import re
 
 import pytest
 
+from shelfwise.operators.joins import join_validated
+from shelfwise.operators.median import exact_median
+from shelfwise.plans.catalog import Context
 from shelfwise.plans.catalog import registry as queries
+from shelfwise.plans.oil import city_months
 
 SF = "/root/testdata/sf0.001"
 # Orders of windows over one row per month (or per lag or range partition).
@@ -23,19 +27,60 @@ def test_no_python_in_the_plan(spark, name):
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
 
 
+def scans(df, table: str) -> list[str]:
+    """Parquet scans of a stage table in the plan, its subqueries included."""
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    return [line for line in plan(df).splitlines() if "FileScan parquet" in line and f"/shelfwise-stage/{table}-" in line]
+
+
 def test_fact_scan_is_pruned(spark):
-    p = plan(queries()["sales_by_family"](spark, SF))
-    scans = [line for line in p.splitlines() if "FileScan parquet" in line]
-    assert scans, p
-    assert all("ReadSchema: struct<family:string,sales:double>" in s for s in scans), scans
+    (scan,) = scans(queries()["fd_violations"](spark, SF), "fact")
+    assert "ReadSchema: struct<date:date,store_nbr:bigint,transactions:bigint>" in scan
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"gap_fill"}))
-def test_windows_without_a_key_are_month_grain(spark, name):
-    """Every window over days or finer is partitioned; unpartitioned ones order months (or a few totals).
+@pytest.mark.parametrize("name, table, most", [
+    ("headline", "fact", 0), ("promo_general", "fact", 0), ("sales_by_family", "fact", 0), ("sales_by_family", "family_cells", 0), ("ticket_class", "fact", 0),
+    ("ticket_class", "store_traffic", 1), ("impute_median", "input_oil", 1), ("dq_checks", "fact", 1), ("oil_city_sensitivity", "store_cells", 0),
+])
+def test_tables_are_not_read_again(spark, name, table, most):
+    """Of what a query's last job reads; a median or a share has read its table once before, into a table of its own."""
+    assert len(scans(queries()[name](spark, SF), table)) <= most
+
+
+def test_the_median_reads_its_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    values = spark.range(1000).selectExpr("id % 3 as k", "cast(id as double) as v").mapInArrow(count, "k long, v double")
+    assert {r.k: r["median"] for r in exact_median(values, ["k"], "v").collect()} == {0: 499.5, 1: 499.0, 2: 500.0}
+    assert read.value == 1000
 
-    The plain gap fill is the oracle of the bucketed one and orders all days.
-    """
+
+def test_the_period_prunes_months(spark):
+    (scan,) = scans(city_months(Context(spark, SF).store_cells), "store_cells")
+    assert "PartitionFilters: [isnotnull(fecha_mes" in scan and "<= 1998-12-01" in scan
+
+
+def test_a_validated_join_reads_and_shuffles_its_right_side_once(spark, tmp_path):
+    for name in ("left", "right"):
+        spark.range(500).selectExpr("id % 500 as k", "id as v").withColumnRenamed("v", f"v_{name}").write.parquet(str(tmp_path / name))
+    left, right = (spark.read.parquet(str(tmp_path / name)) for name in ("left", "right"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(join_validated(left, right, ["k"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert p.count("FileScan parquet") == 2 and p.count("Exchange hashpartitioning") == 2 and "Broadcast" not in p
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_windows_without_a_key_are_month_grain(spark, name):
+    """Every window over days or finer is partitioned; unpartitioned ones order months (or a few totals)."""
     for line in plan(queries()[name](spark, SF)).splitlines():
         if "Window [" in line and "WindowGroupLimit" not in line:
             frames, keys = line.split("windowspecdefinition")[1:], re.findall(r"\], \[([^\]]*)(?=\])", line)

@@ -83,39 +83,99 @@ def test_sink_helpers(spark):
     assert S.index_ddl("public", "consolidado", ["date"]) == [
         'CREATE INDEX IF NOT EXISTS "idx_consolidado_date" ON "public"."consolidado" ("date")']
     df = spark.createDataFrame([(1,)], "a bigint")
-    opts = S.jdbc_options("jdbc:postgresql://db/x", "public", "t")
+    opts = S.jdbc_options("jdbc:postgresql://db/x", "public", S.staging_table("t", "r"))
     assert "createTableColumnTypes" not in opts
-    assert opts["batchsize"] == "50000" and opts["dbtable"] == '"public"."t__staging"'
+    assert opts["batchsize"] == "50000" and opts["dbtable"] == '"public"."t__staging_r"'
     with pytest.raises(FileNotFoundError):
         S.require_complete({"a": df, "b": None}, ["a", "b"])
 
 
-def test_export_statements_in_order(spark):
-    """The staging table exists before the write; swap, indexes and statistics follow as one unit."""
-    seen = []
+class Target:
+    """A database of one staging table, which a task may fill twice."""
 
-    class Frame:
-        sparkSession, columns = spark, ["store_nbr", "ventas_totales"]
-        schema = T.StructType([T.StructField("store_nbr", T.LongType()), T.StructField("ventas_totales", T.DoubleType())])
+    def __init__(self, again=()):
+        self.seen, self.held, self.again = [], 0, list(again)
 
-        @property
-        def write(self):
-            return self
+    def execute(self, spark, url, statements, properties):
+        self.seen.append(statements)
+        if any(s.startswith("CREATE TABLE") for s in statements):
+            self.held = 0
 
-        def __getattr__(self, name):
-            return lambda *a, **k: seen.append(name) or self
+    def count(self, spark, url, dbtable, properties):
+        self.seen.append(("count", dbtable))
+        return self.held
 
-    S.write_jdbc(Frame(), "jdbc:x", "public", "ventas_por_tienda", execute=lambda _, url, statements, properties: seen.append(statements))
-    before, *write, after = seen
-    assert [s.split(" (")[0] for s in before] == ['CREATE SCHEMA IF NOT EXISTS "public"', 'DROP TABLE IF EXISTS "public"."ventas_por_tienda__staging"',
-                                                  'CREATE TABLE "public"."ventas_por_tienda__staging"']
+
+@pytest.fixture
+def appends(monkeypatch):
+    """Let the JDBC writer count rows instead of sending them."""
+    from pyspark.sql import DataFrameWriter
+
+    def into(target):
+        def save(self, *a, **k):
+            target.seen.append("append")
+            rows = self._df.collect()
+            target.held += len(rows) + (target.again.pop(0) if target.again else 0)
+        monkeypatch.setattr(DataFrameWriter, "save", save)
+        return target
+    return into
+
+
+def stores(spark):
+    return spark.createDataFrame([(k, 1.5) for k in range(7)], "store_nbr bigint, ventas_totales double").repartition(3)
+
+
+def test_export_statements_in_order(spark, appends):
+    """The staging table exists before the write; rows are counted; swap, indexes and statistics follow as one unit."""
+    t = appends(Target())
+    assert S.write_jdbc(stores(spark), "jdbc:x", "public", "ventas_por_tienda", run="r1", execute=t.execute, count=t.count) == 7
+    before, write, count, after = t.seen
+    staging = '"public"."ventas_por_tienda__staging_r1"'
+    assert [s.split(" (")[0] for s in before] == ['CREATE SCHEMA IF NOT EXISTS "public"', f"DROP TABLE IF EXISTS {staging}", f"CREATE TABLE {staging}"]
     assert "DOUBLE PRECISION" in before[-1]
-    assert write == ["format", "options", "mode", "save"]
-    assert after == ['DROP TABLE IF EXISTS "public"."ventas_por_tienda"', 'ALTER TABLE "public"."ventas_por_tienda__staging" RENAME TO "ventas_por_tienda"',
+    assert (write, count) == ("append", ("count", staging))
+    assert after == ['DROP TABLE IF EXISTS "public"."ventas_por_tienda"', f'ALTER TABLE {staging} RENAME TO "ventas_por_tienda"',
                      'CREATE INDEX IF NOT EXISTS "idx_ventas_por_tienda_store_nbr" ON "public"."ventas_por_tienda" ("store_nbr")', 'ANALYZE "public"."ventas_por_tienda"']
     assert S.index_ddl("public", "ventas_por_mes", ["anio", "mes"])[0].endswith('("anio", "mes")')
 
 
+def test_rows_appended_twice_stop_before_the_swap(spark, appends):
+    t = appends(Target(again=[2, 3]))
+    with pytest.raises(S.IncompleteExport, match="7 rows sent, 10 in the staging table"):
+        S.write_jdbc(stores(spark), "jdbc:x", "public", "ventas_por_tienda", run="r2", execute=t.execute, count=t.count)
+    assert not any("RENAME" in s for x in t.seen if isinstance(x, list) for s in x)
+    assert t.seen[-1] == ['DROP TABLE IF EXISTS "public"."ventas_por_tienda__staging_r2"']
+
+
+def test_a_second_attempt_is_swapped_in(spark, appends):
+    t = appends(Target(again=[2]))
+    assert S.write_jdbc(stores(spark), "jdbc:x", "public", "ventas_por_tienda", execute=t.execute, count=t.count) == 7
+    assert t.seen.count("append") == 2 and "RENAME" in t.seen[-1][1]
+
+
+def test_stage_tables_keep_their_counts(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
+    out = S.stage_table(df, "counted", "k1")
+    assert S.staged_counts(spark, "counted", "k1") == {"rows": 2, "nulls": 1}
+    assert out.count() == 2 and S.written_bytes(spark, S.stage_path(spark, "counted", "k1")) > 0
+
+    def stop(counts):
+        raise ValueError(f"{counts['rows']} rows")
+    with pytest.raises(ValueError, match="2 rows"):
+        S.stage_table(df, "counted", "k2", check=stop)
+    with pytest.raises(KeyError):
+        S.staged_counts(spark, "counted", "k2")
+
+
+def test_partitioned_tables(spark):
+    root = _tmp()
+    df = spark.range(600).selectExpr("id % 3 as m", "id as v").repartition(7)
+    S.write_table(df, f"{root}/t", partition_by=["m"], sort_by=["v"])
+    assert sorted(x for x in os.listdir(f"{root}/t") if x.startswith("m=")) == ["m=0", "m=1", "m=2"]
+    assert all(len([f for f in os.listdir(f"{root}/t/m={m}") if f.endswith(".parquet")]) == 1 for m in range(3))
+    assert spark.read.parquet(f"{root}/t").count() == 600
+
+
 def test_manifest_counts_during_write(spark):
     root = _tmp()
     df = spark.range(25).withColumn("y", F.col("id") * 2)
@@ -132,7 +192,7 @@ def test_pipeline_writes_all_tables(spark):
     names = [r["tabla"] for r in rows]
     assert names[:-1] == list(RESULT_TABLES) and names[-1] == "TOTAL"
     fact = spark.read.parquet(f"{root}/consolidado")
-    assert fact.count() == rows[0]["filas"] and len(fact.columns) == 18
+    assert fact.count() == rows[0]["filas"] and len(fact.columns) == 19
     months = [r.fecha_mes for r in spark.read.parquet(f"{root}/ventas_por_mes").collect()]
     assert months == sorted(months)  # row order kept in the written file
 
