@@ -74,8 +74,36 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return (prefix[end] - prefix[start]) * down[start]
 
 
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+_LANES = 1 << 20
+
+
+def lane_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each data[start:end]: every 8 bytes are mixed with their number, the results added and
+    mixed with the length. Unlike a polynomial modulo 2**64, no repetitive text cancels out. Spans are taken
+    some at a time, so memory follows ``_LANES``, not the data."""
+    out = np.zeros(len(start), dtype=np.uint64)
+    lanes = np.maximum(1, (end - start + 7) >> 3)
+    upto = np.cumsum(lanes)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    at = 0
+    while at < len(start):
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + _LANES, side="right")))
+        own = lanes[at:stop]
+        first = np.cumsum(own) - own
+        number = np.arange(int(own.sum())) - np.repeat(first, own)
+        place = np.repeat(start[at:stop], own) + 8 * number
+        words = np.ascontiguousarray(windows[place]).view(np.uint64).reshape(-1)
+        words &= _MASKS[np.clip(np.repeat(end[at:stop], own) - place, 0, 8)]
+        words = mix(words ^ mix(number.astype(np.uint64), seed + 1), seed + 2)
+        out[at:stop] = np.add.reduceat(words, first) + (end[at:stop] - start[at:stop]).astype(np.uint64)
+        at = stop
+    return mix(out, seed + 3)
+
+
 class Chunk:
-    """Some rows of one Arrow batch: ids and the bytes of their texts behind one another."""
+    """Some rows of one Arrow batch: ids (0 for null) and the bytes of their texts behind one another."""
 
     __slots__ = ("data", "first", "ids", "offsets", "rows")
 
@@ -95,7 +123,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """Rows of (id, text) batches in runs of at most ``limit`` bytes (a longer text alone)."""
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        ids = pc.fill_null(batch.column(0), 0).to_numpy(zero_copy_only=False)  # whole numbers stay exact beside a null
         data, offsets = text_bytes(batch.column(1))
         row = 0
         while row < len(ids):
@@ -129,7 +157,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash and row of every word of A-Z lower-cased texts."""
     start, end, row = word_spans(data, offsets)
-    return mix(span_hashes(prefix_hashes(LOWER[data]), start, end), 1), row
+    return lane_hashes(LOWER[data], start, end, 1), row
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -177,6 +205,17 @@ def slices(buckets: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(buckets[begin]), int(begin), int(end)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many ``_`` before it as none of the columns needs (case apart)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def bounded_batches(spark: SparkSession) -> SparkSession:
     """Arrow batches of at most 1,000 rows for this session: texts are long, workers small."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.llm.blocks import unused
+
 MEMO = 1 << 20  # compatible pairs kept
 PIECES = 400_000  # pieces kept by a worker
 BATCH_BYTES = 4 << 20
@@ -183,9 +185,10 @@ def bpe_round_trip(documents: DataFrame, path: str, pattern: str, text_col: str
     Columns named ``ids`` or ``decoded`` in the input are replaced.
     """
     names = [c for c in (documents.columns if keep is None else keep) if c not in ("ids", "decoded")]
-    rows = documents.select(*names, F.col(text_col).alias("_text"))
+    (text,) = unused([*names, "ids", "decoded"], "_text")
+    rows = documents.select(*names, F.col(text_col).alias(text))
     schema = T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
-    return rows.mapInArrow(_encode(path, pattern, len(names)), schema).drop("_text")
+    return rows.mapInArrow(_encode(path, pattern, len(names)), schema).drop(text)
 
 
 def id_digests(encoded: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.blocks import SPACE, hand_off, mix, prefix_hashes, span_hashes, text_bytes, word_spans
+from shelfwise.llm.blocks import SPACE, hand_off, lane_hashes, mix, text_bytes, unused, word_spans
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_caps", "n_marks"]
 WINDOW = 8
@@ -73,7 +73,6 @@ def count_rows(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """All counts of some texts at once."""
     rows = len(offsets) - 1
     start, end, row = word_spans(data, offsets)
-    prefix = prefix_hashes(data)
     lead = ~SPACE[data] & ((data & 0xC0) != 0x80)
     out = {"n_words": np.bincount(row, minlength=rows), "word_chars": _per_row(lead, offsets)}
     out |= {name: _per_row(flags[data], offsets) for name, flags in (("n_symbols", SYMBOLS), ("n_caps", CAPS), ("n_marks", MARKS))}
@@ -87,11 +86,11 @@ def count_rows(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     line_end = line_end - closed
     worded = np.searchsorted(start, line_end) > np.searchsorted(start, line_start)
     line_start, line_end, line_row = line_start[worded], line_end[worded], line_row[worded]
-    _, same = (order_same := _order_and_repeats(line_row, mix(span_hashes(prefix, line_start, line_end), 11)))
+    _, same = (order_same := _order_and_repeats(line_row, lane_hashes(data, line_start, line_end, 11)))
     out["n_lines"] = np.bincount(line_row, minlength=rows)
     out["n_dup_lines"] = np.bincount(line_row[order_same[0]][same], minlength=rows)
 
-    words = mix(span_hashes(prefix, start, end), 12)
+    words = lane_hashes(data, start, end, 12)
     size = max(0, len(words) - WINDOW + 1)
     rolled = np.zeros(size, dtype=np.uint64)
     for k in range(WINDOW):
@@ -129,9 +128,10 @@ def counted(documents: DataFrame, text_col: str = "text", keep: list[str] | None
     Input columns named like a count or rate are replaced.
     """
     names = [c for c in (documents.columns if keep is None else keep) if c not in (*COUNTS, *RATES, "base_failed")]
-    rows = documents.select(*names, F.col(text_col).alias("_text"))
+    (text,) = unused([*names, *COUNTS], "_text")
+    rows = documents.select(*names, F.col(text_col).alias(text))
     schema = T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in COUNTS)])
-    out = rows.mapInArrow(_count(len(names)), schema).drop("_text")
+    out = rows.mapInArrow(_count(len(names)), schema).drop(text)
     out = out.withColumn("base_failed", F.expr(f"n_words < 20 or 100 * n_repeat_words > 30 * n_words"))
     return out.withColumns({name: F.expr(f"case when {den} > 0 then 10000 * {num} div {den} end") for name, (num, den, _, _) in RATES.items()})
 

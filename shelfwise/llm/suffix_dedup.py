@@ -12,7 +12,8 @@ that can matter:
    strings always meet at an anchor. An anchor's *context* is all text that any string through it
    can cover. Tasks send (anchor hash, context hash, id, offset), first copies only.
 2. Anchors with equal contexts are equal in every string through them: all but the earliest are
-   covered whole. Anchors whose hash has several contexts need the exact comparison.
+   covered whole. Contexts are compared by a 64-bit hash without structure (``lane_hashes``) beside the
+   anchor's own, 128 bits of two kinds. Anchors whose hash has several contexts need the exact comparison.
 3. For those, the context's bytes are fetched, and the suffixes that start at the anchors are sorted
    by a mergesort whose comparisons find the longest common extension by binary search over prefix
    polynomial hashes; the reversed texts before the anchors likewise. Neighbours' extensions are then
@@ -45,6 +46,7 @@ from shelfwise.llm.blocks import (
     bucket_of,
     deltas,
     hand_off,
+    lane_hashes,
     mix,
     pack,
     prefix_hashes,
@@ -55,6 +57,7 @@ from shelfwise.llm.blocks import (
     text_bytes,
     text_chunks,
     unpack,
+    unused,
 )
 
 LENGTH = 100
@@ -77,11 +80,11 @@ def _sliding(op, values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """Offsets in ``data`` of the anchors, with their hashes and row numbers, and the prefix hashes."""
+    """Offsets in ``data`` of the anchors, with their hashes and row numbers."""
     prefix = prefix_hashes(data)
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none.astype(np.uint64), none, prefix
+        return none, none.astype(np.uint64), none
     width = length - gram + 1
     at = np.arange(len(data) - gram + 1)
     grams = mix(span_hashes(prefix, at, at + gram), 5) | np.uint64(1)
@@ -91,7 +94,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     pad = np.zeros(width - 1, np.uint64)
     chosen = np.flatnonzero(_sliding(np.maximum, np.concatenate([pad, least, pad]), width) == grams)
     # Anchors are minima, so their hashes lie low: mixed again they fill the buckets evenly.
-    return chosen, mix(grams[chosen], 6), np.searchsorted(offsets, chosen, side="right") - 1, prefix
+    return chosen, mix(grams[chosen], 6), np.searchsorted(offsets, chosen, side="right") - 1
 
 
 def _same_as_before(*keys: np.ndarray) -> np.ndarray:
@@ -128,12 +131,12 @@ def _send(length: int, gram: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for chunk in text_chunks(batches, CHUNK):
-            at, hashes, row, prefix = anchors(chunk.data, chunk.offsets, length, gram)
+            at, hashes, row = anchors(chunk.data, chunk.offsets, length, gram)
             if not len(at):
                 continue
             begin, end = chunk.offsets[row], chunk.offsets[row + 1]
             left, right = np.maximum(begin, at - before), np.minimum(end, at + after)
-            contexts = mix(span_hashes(prefix, left, right) + mix((at - left).astype(np.uint64) * np.uint64(1000) + (right - at).astype(np.uint64), 8), 9)
+            contexts = mix(lane_hashes(chunk.data, left, right, 70) + mix((at - left).astype(np.uint64) * np.uint64(1000) + (right - at).astype(np.uint64), 8), 9)
             parts.append((hashes, contexts, chunk.ids[row].astype(np.int64), at - begin))
             held += len(at)
             if held >= FLUSH:
@@ -447,7 +450,7 @@ def _exact(length: int, gram: int, buckets: int, last: bool):
 
 
 def marked(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``documents`` (all columns) with ``covered`` anchors and ``ranges`` of each text."""
+    """``documents`` (all columns) with covered anchors and ranges of each text as the last two columns."""
     spark = bounded_batches(documents.sparkSession)
     texts = documents.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -462,9 +465,10 @@ def marked(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     merged = salted.where("bucket >= 0").select("bucket", "data").groupBy("bucket").applyInArrow(_exact(length, gram, buckets, True), schema)
     ranges = salted.where("bucket < 0").unionByName(merged).groupBy("doc_id").agg(F.collect_list("data").alias("_ranges"))
     ranges = hand_off(ranges, "ranges")
-    found = state.where("covered is not null").select("doc_id", F.col("covered").alias("_covered")).join(ranges, "doc_id", "full")
-    found = found.withColumnRenamed("doc_id", "_doc")
-    return documents.where(F.col(id_col).isNotNull()).join(found, F.col(id_col).cast("long") == F.col("_doc"), "left").drop("_doc")
+    doc, covered, by = unused(documents.columns, "_doc", "_covered", "_ranges")
+    found = state.where("covered is not null").select("doc_id", "covered").join(ranges, "doc_id", "full").select(
+        F.col("doc_id").alias(doc), F.col("covered").alias(covered), F.col("_ranges").alias(by))
+    return documents.where(F.col(id_col).isNotNull()).join(found, F.col(id_col).cast("long") == F.col(doc), "left").drop(doc)
 
 
 def _mask(text: np.ndarray, covered, ranges, length: int, gram: int) -> np.ndarray:
@@ -505,7 +509,8 @@ def _digests(length: int, gram: int):
 
 def suffix_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Per document ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
-    rows = marked(documents, id_col, text_col, length, gram).select(F.col(id_col).cast("long"), F.col(text_col), "_covered", "_ranges")
+    rows = marked(documents, id_col, text_col, length, gram)
+    rows = rows.select(F.col(id_col).cast("long"), F.col(text_col), *rows.columns[-2:])
     return rows.mapInArrow(_digests(length, gram), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -531,4 +536,4 @@ def strip_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     """``documents`` with the repeated strings cut out of the text (whole characters only)."""
     rows = marked(documents, id_col, text_col, length, gram)
     text_at = documents.columns.index(text_col)
-    return rows.select(*documents.columns, "_covered", "_ranges").mapInArrow(_cut(length, gram, text_at), documents.schema)
+    return rows.mapInArrow(_cut(length, gram, text_at), documents.schema)
