@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.blocks import bounded_batches, hand_off, table
+from shelfwise.llm.blocks import bounded_batches, hand_off, table, unused
 from shelfwise.llm.byte_bpe import bpe_round_trip, id_digests
 from shelfwise.llm.decontam import drop_leaks
 from shelfwise.llm.ngram_join import ngram_jaccard_join
@@ -27,8 +27,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     bounded_batches(spark)
     joined = ngram_jaccard_join(docs, width=5, percent=80)
-    gone = hand_off(joined.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    (name,) = unused(docs.columns, "_gone")
+    gone = hand_off(joined.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct(), "gone")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
