@@ -4,6 +4,7 @@ import collections
 import itertools
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontam, license_scan, lm, ngram_join, quality, suffix_dedup
+from shelfwise.llm import blocks, decontam, license_scan, lm, ngram_join, quality, suffix_dedup
 from shelfwise.llm.byte_bpe import Encoder, bpe_round_trip, encoder, id_digests, read_ranks
 from tests.llm import brute
 
@@ -55,7 +56,7 @@ def empty(spark):
 
 def clashing(df):
     """Columns named like those the operators make."""
-    return df.withColumns({c: F.lit("mine") for c in ("n", "component", "shingle", "ids", "decoded", "n_words", "kept", "covered", "_x", "class_id")})
+    return df.withColumns({c: F.lit("mine") for c in ("n", "component", "shingle", "ids", "decoded", "n_words", "kept", "covered", "_x", "class_id", "_covered", "_ranges", "_doc", "_gone", "_text", "order", "part", "over", "_row", "_lang", "limits")})
 
 
 # 1 ----------------------------------------------------------------------------------------------
@@ -135,7 +136,7 @@ def test_a_task_sends_a_string_of_many_documents_once(monkeypatch):
     opened = []
     for _, text in rows:
         data = np.frombuffer(text.encode(), np.uint8)
-        at, hashes, _, _ = suffix_dedup.anchors(data, np.array([0, len(data)]), 100, 40)
+        at, hashes, _ = suffix_dedup.anchors(data, np.array([0, len(data)]), 100, 40)
         opened.append(suffix_dedup.pack(at.astype(np.uint32), np.full(len(at), 2, np.uint8), hashes))
     batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows]), pa.array(opened, pa.binary())], ["doc_id", "text", "open"])
     sent = 0
@@ -440,7 +441,7 @@ def test_windows_score_each_token_once_and_causally():
     layout, model = _model()
     score = lm.Scorer(model, layout)
     rng = np.random.default_rng(4)
-    texts = [rng.integers(0, 300, size=n) for n in (1, 15, 16, 17, 24, 25, 100)]
+    texts = [rng.integers(0, 300, size=n) for n in (1, 15, 16, 17, 20, 25, 100)]
     whole = score(texts)
     assert whole == pytest.approx([score([t])[0] for t in texts], rel=1e-5)
     index, scored = lm.windows(np.array([len(t) for t in texts]))
@@ -457,20 +458,96 @@ def test_training_reads_every_token_once(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     cut = lm.cutter(PATH)
     sequences = [np.array([*cut((t or "").encode()), cut.end]) for _, t in rows]
-    seen, first = [], type(docs).first
-    monkeypatch.setattr(type(docs), "first", lambda df: seen.append(first(df)) or seen[-1])
-    lm.train(docs, PATH, lm.Layout(np.bincount(np.concatenate(sequences), minlength=cut.size), cut.end))
-    assert sum(r["tokens"] for r in seen if r is not None) == sum(map(len, sequences))
-
-
-def test_a_small_part_is_learned_from_in_one_pass(monkeypatch):
-    layout, cut = lm.Layout(np.ones(lm.cutter(PATH).size, np.int64), lm.cutter(PATH).end), lm.cutter(PATH)
-    text, seen, gradients = prose(500), [], lm.gradients
-    monkeypatch.setattr(lm, "gradients", lambda m, x, y, pad: seen.append(int((y >= 0).sum())) or gradients(m, x, y, pad))
-    monkeypatch.setattr(lm.TaskContext, "get", classmethod(lambda cls: type("", (), {"partitionId": lambda self: 0})()))
-    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc_id", "text"])
-    list(lm._train(PATH, layout, layout.start(), 0)(iter([batch])))
-    assert sum(seen) == len(cut(text.encode())) + 1
+    layout = lm.Layout(np.bincount(np.concatenate(sequences), minlength=cut.size), cut.end)
+    cut_rows = docs.mapInArrow(lm._cut(PATH), "doc_id long, text string, ids binary")
+    for part_bytes, fan in ((16 << 20, 64), (3000, 2)):
+        monkeypatch.setattr(lm, "PART_BYTES", part_bytes)
+        monkeypatch.setattr(lm, "FAN", fan)
+        seen, first = [], type(docs).first
+        with monkeypatch.context() as inside:
+            inside.setattr(type(docs), "first", lambda df: seen.append(first(df)) or seen[-1])
+            lm.train(cut_rows, layout)
+        assert sum(r["tokens"] for r in seen if r is not None and "tokens" in r) == sum(map(len, sequences))
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PART_BYTES", 4000)
+    rows = [(k, prose(60 + k % 50)) for k in range(60)] + [(7, prose(5)), (None, prose(9))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, many = (sorted((str(r.doc_id), r.n_tokens, r.base_score, r.score) for r in lm.lm_scores(docs.repartition(n), PATH).collect()) for n in (1, 8))
+    assert [x[:2] for x in one] == [x[:2] for x in many]
+    assert [x[3] for x in one] == pytest.approx([x[3] for x in many], rel=1e-6)  # batches of single-precision products differ
+
+
+def test_ids_stay_exact_beside_nulls(spark):
+    rows = [(9007199254740993, "a b"), (None, "c")]
+    assert {r.doc_id for r in lm.lm_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(1), PATH).collect()} == {9007199254740993, None}
+
+
+def test_pieces_are_cut_like_one_by_one():
+    cut, texts = lm.cutter(PATH), [b"", b" ", b"The  cat\nsat ", b"x", "Été à la mer\t\t".encode(), b"\n\nthe cat", b"a" * 300, b"  "]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.r_[0, np.cumsum([len(t) for t in texts])]
+    tokens = {v: k for k, v in read_ranks(PATH).items()}
+    for own, text in zip(cut.cut(data, offsets), texts, strict=True):
+        assert own[-1] == cut.end and own[:-1].tolist() == cut(text)
+        assert b"".join(tokens[i] for i in own[:-1].tolist()) == text.lower()
+        pieces = re.findall(rb"[\x20\x09-\x0d]*[^\x20\x09-\x0d]+|[\x20\x09-\x0d]+$", text.lower())
+        assert [i for x in pieces for _, i in cut.automaton.iter_long(x.decode("latin-1"))] == cut(text)
+
+
+def test_scorer_equals_a_plain_forward_pass():
+    """One token after the other, one window after the other, without batches or tables."""
+    layout, model = _model()
+    m = {k: v.astype(np.float64) for k, v in model.items()}
+    rng = np.random.default_rng(8)
+    for n in (1, 5, 16, 17, 40, 70):
+        ids = rng.integers(0, 300, size=n)
+        rows, total = [layout.begin, *layout.rows[ids[:-1]]], 0.0
+        for t, token in enumerate(ids):
+            begin = max(0, t // lm.STRIDE * lm.STRIDE + lm.STRIDE - lm.CONTEXT)
+            place = lm.CONTEXT - lm.STRIDE - t // lm.STRIDE * lm.STRIDE  # slot of the text's place 0
+            x = np.array([m["E"][rows[j]] + m["P"][j + place] for j in range(begin, t + 1)])
+            scores = (x @ m["K"]) @ (x[-1] @ m["Q"]) / math.sqrt(lm.WIDTH)
+            a = np.exp(scores - scores.max())
+            h = x[-1] + (a / a.sum()) @ (x @ m["V"])
+            z = h @ m["C"] + m["b"]
+            total += (z[layout.classes[token]] - z.max() - math.log(np.exp(z - z.max()).sum())) / math.log(10) + layout.share[token]
+        assert lm.Scorer(model, layout)([ids])[0] == pytest.approx(total, rel=1e-4)
+
+
+# Hashes -----------------------------------------------------------------------------------------
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(a if bin(k).count("1") % 2 == 0 else b for k in range(n))
+
+
+def test_hashes_tell_thue_morse_strings_apart():
+    for n in (8, 64, 128, 1024, 4096):
+        x, y = thue_morse(n).encode(), thue_morse(n, "b", "a").encode()
+        data = np.frombuffer(x + y, np.uint8)
+        h = blocks.lane_hashes(data, np.array([0, n]), np.array([n, 2 * n]))
+        assert h[0] != h[1]
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 99, 5000).astype(np.uint8)
+    start = np.sort(rng.integers(0, 5000, 4000))
+    end = np.minimum(5000, start + rng.integers(0, 60, 4000))
+    names = {}
+    for s, e, h in zip(start, end, blocks.lane_hashes(data, start, end).tolist(), strict=True):
+        assert names.setdefault(h, data[s:e].tobytes()) == data[s:e].tobytes()
+    assert len(names) == len({data[s:e].tobytes() for s, e in zip(start, end, strict=True)})
+
+
+def test_operators_tell_thue_morse_texts_apart(spark):
+    x, y = thue_morse(1024), thue_morse(1024, "b", "a")
+    docs = spark.createDataFrame([(1, x), (2, y), (3, x + "\n" + y + " z" * 30)], "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    assert {r.doc_id: r.component_id for r in ngram_join.ngram_jaccard_join(docs).collect()} == {1: 1, 2: 2, 3: 3}
+    assert {r.doc_id: r.n_dup_lines for r in quality.quality_rules(docs).collect()} == {1: 0, 2: 0, 3: 0}
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(docs).collect()} == brute.suffix_rows([(r.doc_id, r.text) for r in docs.collect()], 100)
+    words = {r.doc_id: r.n_known for r in lm.lm_scores(docs, PATH).collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in (1, 2, 3)}
+    assert words[1] == 1 + (not held[1] or not held[3]) and words[2] == 1 + (not held[2] or not held[3])
 
 
 def test_training_helps_on_held_out_texts(spark):
