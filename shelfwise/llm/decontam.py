@@ -2,7 +2,10 @@
 
 Texts and benchmark items are compared on their letters and digits alone (bytes A-Z lower-cased, every
 other ASCII byte dropped), so case, spacing and punctuation don't hide a copy. An item of m such bytes
-*leaks* into a document that holds a passage within ``edits = budget * m`` edits of the whole item.
+*leaks* into a document that holds a passage within ``edits = budget * m`` edits of the whole item. A long
+item (``2 * PIECE`` bytes or more) is also looked for in overlapping pieces of ``PIECE`` bytes, each with its own
+budget: whatever quotes ``3 * PIECE // 2`` bytes of it in a row holds a piece whole. An item too short for the
+lemma (fewer than ``LEAST`` bytes) leaks where it stands letter for letter between word borders.
 
 By the q-gram lemma such a passage shares at least ``m - q + 1 - edits * q`` of the item's q-grams, and
 their diagonals (place in the text minus place in the item) span at most ``edits`` steps. So each
@@ -12,8 +15,9 @@ reach the bound are regions, and each region is verified by an alignment within
 The items are a given query set: they are taken in blocks of at most ``BLOCK_BYTES`` of text, each of
 which is compared with every document in one pass without a shuffle.
 
-Cases: null or blank texts and items match nothing; items with fewer than ``LEAST`` letters and digits
-are no evidence and are left out; items that repeat are reported under each id; rows without an id are
+Cases: null or blank texts and items match nothing; items of one or two words with fewer than ``LEAST`` letters
+and digits stand in any text and are left out; items that repeat are reported under each id; a passage of the whole
+item is reported before one of a piece; rows without an id are
 left out of the report and kept by ``drop_leaks`` only if clean; extra columns are kept or ignored; an
 empty table on either side gives an empty report and all documents.
 """
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +37,8 @@ from shelfwise.llm.blocks import LOWER, mix, text_bytes
 Q = 12
 BUDGET = 0.06
 LEAST = 24
+SHORT_WORDS = 3  # words that an item of fewer than LEAST letters needs
+PIECE = 160
 BLOCK_BYTES = 4 << 20
 CHUNK = 1 << 20
 MAP_BITS = 22
@@ -40,6 +47,12 @@ KEPT = np.zeros(256, dtype=bool)
 KEPT[48:58] = KEPT[65:91] = KEPT[97:123] = KEPT[128:] = True
 
 
+def words_of(text: str) -> list[bytes]:
+    """Runs of letters and digits."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    return np.where(KEPT[data], data, 32).astype(np.uint8).tobytes().split()
+
+
 def letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased letters and digits, and their places in ``data``."""
     at = np.flatnonzero(KEPT[data])
@@ -61,10 +74,25 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], q: int, budget: float):
         self.q = q
-        cleaned = [(i, letters(np.frombuffer((t or "").encode(), np.uint8))[0]) for i, t in rows]
-        cleaned = [(i, t) for i, t in cleaned if len(t) >= max(LEAST, q)]
-        self.ids = np.array([i for i, _ in cleaned], np.int64)
-        self.texts = [t for _, t in cleaned]
+        cleaned = [(i, t or "", letters(np.frombuffer((t or "").encode(), np.uint8))[0]) for i, t in rows]
+        self.short: dict[str, list[int]] = {}
+        for i, t, own in cleaned:
+            if len(own) < max(LEAST, q) and len(words_of(t)) >= SHORT_WORDS:
+                self.short.setdefault(own.tobytes().decode("latin-1"), []).append(i)
+        self.exact = None
+        if self.short:
+            self.exact = ahocorasick.Automaton()
+            for own in self.short:
+                self.exact.add_word(own, own)
+            self.exact.make_automaton()
+        entries = []
+        for i, _, own in cleaned:
+            if len(own) >= max(LEAST, q):
+                entries.append((i, own, True))
+                if len(own) >= 2 * PIECE:
+                    entries += [(i, own[a : a + PIECE], False) for a in (*range(0, len(own) - PIECE, PIECE // 2), len(own) - PIECE)]
+        self.ids = np.array([i for i, _, _ in entries], np.int64)
+        self.texts, self.whole = [t for _, t, _ in entries], [w for _, _, w in entries]
         self.size = np.array([len(t) for t in self.texts], np.int64)
         self.edits = np.minimum((self.size * budget).astype(np.int64), (self.size - q) // q)
         self.least = self.size - q + 1 - self.edits * q
@@ -128,12 +156,40 @@ def align(item: np.ndarray, text: np.ndarray, low: int, width: int, start: int |
     return now
 
 
-def leaks(items: Items, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-    """(row, item, edits, start, end) of the best passage per row and item; byte places within the row."""
-    if not len(items.ids):
+def exact_places(items: Items, text: np.ndarray, at: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+    """(row, id, 0, start, end) of the short items between word borders, by places in the data."""
+    if items.exact is None or not len(text):
         return
+    border = np.ones(len(text) + 1, dtype=bool)  # no letter stands right before this one in the row
+    border[1:-1] = at[1:] != at[:-1] + 1
+    border[bounds] = True
+    for stop, own in items.exact.iter(text.tobytes().decode("latin-1")):
+        begin, end = stop + 1 - len(own), stop + 1
+        row = int(np.searchsorted(bounds, begin, side="right")) - 1
+        if border[begin] and border[end] and end <= bounds[row + 1]:
+            for i in items.short[own]:
+                yield row, i, 0, int(at[begin]), int(at[end - 1]) + 1
+
+
+def leaks(items: Items, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+    """(row, item's id, edits, start, end) of the best passage per row and item; byte places within the row."""
     text, at = letters(data)
     bounds = np.searchsorted(at, offsets)
+    chosen: dict[tuple[int, int], tuple[bool, int, int, int]] = {}
+    for row, i, edits, start, end in exact_places(items, text, at, bounds):
+        match = (False, edits, start - int(offsets[row]), end - int(offsets[row]))
+        chosen[row, i] = min(chosen.get((row, i), match), match)
+    for (row, entry), match in passages(items, text, at, bounds, offsets).items():
+        match, key = (not items.whole[entry], *match), (row, int(items.ids[entry]))
+        chosen[key] = min(chosen.get(key, match), match)
+    for (row, i), (_, *match) in sorted(chosen.items()):
+        yield row, i, *match
+
+
+def passages(items: Items, text: np.ndarray, at: np.ndarray, bounds: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """(edits, start, end) of the best passage per row and entry of ``items``."""
+    if not len(items.ids):
+        return {}
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for row, item, diagonal in zip(*items.regions(text, bounds), strict=True):
         edits, size = int(items.edits[item]), int(items.size[item])
@@ -158,8 +214,7 @@ def leaks(items: Items, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple
         match = (int(found.min()), int(places[begin] - offsets[row]), int(places[end - 1] + 1 - offsets[row]))
         key = (int(row), int(item))
         best[key] = min(best.get(key, match), match)
-    for (row, item), match in sorted(best.items()):
-        yield row, item, *match
+    return best
 
 
 def _chunks(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -175,7 +230,7 @@ def _report(items: Items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
-            out = [(ids[row + i].as_py(), int(items.ids[item]), *rest) for row, data, offsets in _chunks(batch, 1) for i, item, *rest in leaks(items, data, offsets)]
+            out = [(ids[row + i].as_py(), item, *rest) for row, data, offsets in _chunks(batch, 1) for i, item, *rest in leaks(items, data, offsets)]
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(5)], ["doc_id", "item_id", "edits", "start", "end"])
     return run
 

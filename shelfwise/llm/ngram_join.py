@@ -312,7 +312,7 @@ def ngram_jaccard_join(documents: DataFrame, id_col: str = "doc_id", text_col: s
     texts = documents.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sizes = hand_off(texts.mapInArrow(_sizes(width), "doc_id long, n long, h1 long, h2 long"), "sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    classes = sizes.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("class_id"))
+    classes = hand_off(sizes.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("class_id")), "class_ids")  # a plain table: Spark splits a hot class
     named = hand_off(sizes.join(classes, ["n", "h1", "h2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id")), "classes")
     sets = candidate_sets(documents, id_col, text_col, width, percent, total)
     sets = hand_off(sets, "sets")

@@ -184,7 +184,8 @@ def quality_rules(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     """Per row: the id, counts, ``base_failed``, the rates, and the verdict ``kept``."""
     rows = documents.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
     rows = hand_off(_keys(counted(rows, "text", ["doc_id", "lang", "source"]), "lang", "source"), "counts")
-    return judge(rows, thresholds(sketches(rows, ["_lang", "_source"]), least_rows)).drop("_lang", "_source")
+    limits = hand_off(thresholds(hand_off(sketches(rows, ["_lang", "_source"]), "sketches"), least_rows), "limits")
+    return judge(rows, limits).drop("_lang", "_source")
 
 
 def keep_good(documents: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least_rows: int = LEAST_ROWS) -> DataFrame:

@@ -385,6 +385,45 @@ def _merge(piece, ranks):
         parts[k:k + 2] = [parts[k] + parts[k + 1]]
 
 
+# 2, parts and short items ---------------------------------------------------------------------
+
+
+def test_short_items_and_parts_of_long_ones(spark):
+    rng = random.Random(31)
+    long = prose(120, rng)
+    items = [(1, "Who wrote Don Quixote?"), (2, "Paris"), (3, long), (4, "to be, or not"), (5, None), (6, "who wrote don quixote")]
+    half, most = long[: len(long) // 2], edited(long[20 : 20 + int(len(long) * 0.8)], 2, rng)
+    docs = [(10, prose(30, rng) + " who WROTE Don  Quixote and when"), (11, "Whowho wrote don quixotes"), (12, "Paris in spring " + prose(5, rng)), (13, prose(9, rng) + " " + half + " " + prose(9, rng)),
+            (14, prose(9, rng) + " " + most + " " + prose(9, rng)), (15, long), (16, "To be or not to be"), (17, "unto be or nothing"), (18, ""), (19, None), (20, long[:100] + " " + prose(60, rng))]
+    found = decontam.benchmark_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id): r for r in found}
+    assert set(got) == {(10, 1), (10, 6), (13, 3), (14, 3), (15, 3), (16, 4)} and len(found) == len(got)
+    text = dict(docs)
+    assert text[10].encode()[got[10, 1].start:got[10, 1].end] == b"who WROTE Don  Quixote"
+    assert (got[15, 3].edits, got[15, 3].start, got[15, 3].end) == (0, 0, len(long.rstrip().encode()))
+
+
+def test_any_long_quotation_of_an_item_is_found():
+    """Brute force over every passage of one and a half pieces."""
+    rng = random.Random(33)
+    item = "".join(rng.choice("abcdefgh") for _ in range(700))
+    items = decontam.Items([(1, item)], decontam.Q, decontam.BUDGET)
+    size = 3 * decontam.PIECE // 2
+    for begin in range(0, len(item) - size + 1, 7):
+        data = np.frombuffer(("xyz" * 20 + item[begin : begin + size] + "zyx" * 20).encode(), np.uint8)
+        assert [x[:3] for x in decontam.leaks(items, data, np.array([0, len(data)]))] == [(0, 1, 0)]
+    data = np.frombuffer(("xyz" * 20 + item[: decontam.PIECE // 2] + "zyx" * 20).encode(), np.uint8)
+    assert list(decontam.leaks(items, data, np.array([0, len(data)]))) == []
+
+
+def test_license_with_words_between(spark):
+    words = license_scan.words_of(license_scan.TEMPLATES["ISC-text"])
+    for n in (0, 12, 20, len(words)):
+        text = " ".join([*words[:17], *[f"other{k}" for k in range(n)], *words[17:]])
+        found = {x[0]: x[1] for x in license_scan.Templates(license_scan.TEMPLATES, 80, {}).scan(text)}
+        assert found["ISC-text"] == len(words)
+
+
 # 10 ---------------------------------------------------------------------------------------------
 
 
