@@ -197,6 +197,20 @@ def test_pipeline_writes_all_tables(spark):
     assert months == sorted(months)  # row order kept in the written file
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_export_sends_every_table_in_order(spark):
+    from shelfwise.plans.pipeline import RESULT_TABLES, export
+
+    seen = []
+
+    def write(df, url, schema_name, table, properties):
+        seen.append((url, schema_name, table, properties))
+        return df.count()
+    rows = export(spark, SF, "jdbc:x", properties={"user": "u"}, write=write)
+    assert [s[2] for s in seen] == list(RESULT_TABLES) and set(s[:2] for s in seen) == {("jdbc:x", "public")} and seen[0][3] == {"user": "u"}
+    assert all(r["filas"] > 0 for r in rows)
+
+
 def test_register_and_analyze(spark):
     root = _tmp()
     spark.range(40).withColumn("k", F.col("id") % 4).write.parquet(f"{root}/t")
