@@ -1,8 +1,9 @@
 """License scans by patience alignment (operator 7).
 
 Words are letter-or-digit runs, lower-cased. A template is *found* where a passage covers at least
-``percent`` of its words in order; it may hold as many other words on each side of any of these as the template
-has words. Any such passage holds one of the template's rarest words: of any
+``percent`` of its words in order, with at most a quarter as many other words (and two) between a rare word and
+the passage's ends as the template has words. (A wider window is no better: words that occur in it once more are no
+anchors any longer.) Any such passage holds one of the template's rarest words: of any
 ``n - ceil(percent * n / 100) + 1`` template places one must be covered. These places are chosen by the
 words' counts over all documents, so few windows are looked at. Each window is aligned with the template:
 words unique in both are anchors, their longest increasing subsequence is kept, and the gaps between
@@ -105,7 +106,7 @@ class Templates:
         for at, word in enumerate(words):
             for name, place in self.seeds.get(word, ()):
                 template = self.words[name]
-                slack = len(template)
+                slack = len(template) // 4 + 2
                 begin, end = max(0, at - place - slack), at - place + len(template) + slack
                 if (name, at - place) in seen:  # not begin: near the text's start it is 0 for windows with different ends
                     continue
