@@ -28,6 +28,7 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -245,11 +246,11 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
                 continue
             new = hand_off(check(pairs), "links")
         else:
-            live = hand_off(live.select("shingle", F.col("c.doc_id").alias("centre"), "doc_id", "component"), "live")
+            live = hand_off(live.select("shingle", F.col("c.doc_id").alias("centre"), "doc_id", "component", "n"), "live")
             if live.isEmpty():
                 break
             asked = live.select("shingle", "centre").distinct()
-            members = live.select("centre", "doc_id", "component").unionByName(indexed.join(asked, "shingle").select("centre", "doc_id", "component")).distinct()
+            members = live.drop("shingle").unionByName(indexed.join(asked, "shingle").select("centre", "doc_id", "component", "n")).distinct()
             new = hand_off(in_blocks(hand_off(members, "members"), sets, percent), "links")
         found = new if found is None else found.unionByName(new)
         reached = components(found)
@@ -257,50 +258,70 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     return reached
 
 
-def _overlaps(a: list, b: list) -> np.ndarray:
-    """Sizes of the intersections of every set of a with every set of b, some shingles at a time."""
-    tokens, place = np.unique(np.concatenate([*a, *b]), return_inverse=True)
-    row = np.repeat(np.arange(len(a) + len(b)), [len(s) for s in (*a, *b)])
-    order = np.argsort(place, kind="stable")
-    place, row = place[order], row[order]
-    out = np.zeros((len(a), len(b)), np.float32)
-    for low in range(0, len(tokens), 2048):
-        begin, end = np.searchsorted(place, [low, low + 2048])
-        part = np.zeros((len(a) + len(b), 2048), np.float32)
-        part[row[begin:end], place[begin:end] - low] = 1
-        out += part[: len(a)] @ part[len(a) :].T
-    return out.astype(np.int64)
+def _common(a: list, b: list, asked: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets of a with those of b, for the pairs ``asked`` only (else 0)."""
+    own = np.split(np.unique(np.concatenate([*a, *b]), return_inverse=True)[1], np.cumsum([len(s) for s in (*a, *b)])[:-1])
+    left, right = own[: len(a)], own[len(a) :]
+    sizes = np.array([len(s) for s in right])
+    mark = np.zeros(max(int(s.max(initial=-1)) for s in own) + 1, bool)
+    out = np.zeros(asked.shape, np.int64)
+    for i in np.flatnonzero(asked.any(1)):
+        j = np.flatnonzero(asked[i])
+        mark[left[i]] = True
+        out[i, j] = np.add.reduceat(mark[np.concatenate([right[k] for k in j])], np.cumsum(sizes[j]) - sizes[j], dtype=np.int64)
+        mark[left[i]] = False
+    return out
 
 
 def _block(percent: int):
-    """Two blocks of a group's documents: one link for each two components that have any."""
+    """Two blocks of a group's documents: one link for each two components that have any.
+
+    A pair stays a candidate while its sizes and components allow a new link and its prefixes meet, one order
+    after the other; the whole sets of the pairs that are left are compared.
+    """
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         low, high = ([r for r in rows if r["block"] == group.column(k)[0].as_py()] for k in ("lo", "hi"))
-        read = lambda side, c: [np.frombuffer(r[c], np.uint64) for r in side]
-        n, m = (np.array([r["n"] for r in side]) for side in (low, high))
-        c, d = (np.array([r["component"] for r in side]) for side in (low, high))
-        same = np.ones((len(low), len(high)), dtype=bool)
-        for k in range(ORDERS):  # a candidate shares a prefix shingle in every order
-            cut = [[np.array(r["prefix"], np.int64).view(np.uint64) if k == 0 else np.frombuffer(r["filters"][k - 1], np.uint64) for r in side] for side in (low, high)]
-            same &= _overlaps(*cut) > 0
-        both = _overlaps(read(low, "shared"), read(high, "shared"))
-        i, j = np.nonzero(same & (c[:, None] != d[None, :]) & (100 * both >= percent * (n[:, None] + m[None, :] - both)))
+        n, m = (np.array([r["n"] for r in side], np.int64) for side in (low, high))
+        c, d = (np.array([r["component"] for r in side], np.int64) for side in (low, high))
+        pairs = (c[:, None] != d[None, :]) & (100 * np.minimum(n[:, None], m[None, :]) >= percent * np.maximum(n[:, None], m[None, :]))
+        cuts = [lambda r: np.array(r["prefix"], np.int64).view(np.uint64), *[lambda r, k=k: np.frombuffer(r["filters"][k], np.uint64) for k in range(ORDERS - 1)]]
+        for cut in cuts:
+            if pairs.any():
+                pairs = _common([cut(r) for r in low], [cut(r) for r in high], pairs) > 0
+        if not pairs.any():
+            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        both = _common(*([np.frombuffer(r["shared"], np.uint64) for r in side] for side in (low, high)), pairs)
+        i, j = np.nonzero(pairs & (100 * both >= percent * (n[:, None] + m[None, :] - both)))
         kept = np.unique(np.stack([np.minimum(c[i], d[j]), np.maximum(c[i], d[j])]), axis=1, return_index=True)[1] if len(i) else []
         return pa.table({"u": pa.array([low[i[k]]["doc_id"] for k in kept], pa.int64()), "v": pa.array([high[j[k]]["doc_id"] for k in kept], pa.int64())})
     return run
 
 
 def in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components among the ``members`` (centre, doc_id, component) of each centre.
+    """Links between different components among the ``members`` (centre, doc_id, component, n) of each centre.
 
-    A centre's documents are dealt into blocks of about ``BLOCK``, and each two blocks meet in a task of
-    their own: no task holds a group, and only links leave it.
+    A centre's documents are dealt into blocks of about ``BLOCK``: a component with more of them has blocks
+    of its own, the others share theirs, each by bands of set sizes that are as wide as a link allows. Two
+    blocks meet in a task of their own, unless both belong to one component or their bands do not touch. So a
+    large linked group costs its size times the number of strangers in it, no task holds a group, and only
+    links leave it.
     """
-    sizes = members.groupBy("centre").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    blocks = members.join(sizes.select("centre", F.expr(f"cast((size - 1) div {BLOCK} + 1 as int)").alias("blocks")), "centre").withColumn("block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
-    met = blocks.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("centre", "doc_id", "component", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    rows = met.join(sets.select("doc_id", "n", "shared", "prefix", "filters"), "doc_id")
+    width = max(math.log(100 / percent) * 1.0001, 1e-9)  # a little wider, so that rounding parts no linked sizes
+    kind = ["centre", "mixed", "owner", "band"]
+    block = F.struct(*kind[1:], "piece").alias("block")
+    parts = members.groupBy("centre", "component").agg(F.count("*").alias("size"))
+    several = parts.groupBy("centre").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("centre")
+    owners = parts.join(several, "centre").select("centre", "component", F.expr(f"size < {BLOCK}").alias("mixed"))
+    dealt = members.join(owners, ["centre", "component"]).withColumn("owner", F.expr("if(mixed, 0L, component)")).withColumn("band", F.expr(f"cast(floor(ln(n) / {width!r}D) as long)"))
+    counts = hand_off(dealt.groupBy(*kind).agg(F.expr(f"(count(*) - 1) div {BLOCK} + 1").alias("blocks")), "counts")
+    named = counts.withColumn("piece", F.explode(F.expr("sequence(0L, blocks - 1)"))).select("centre", block)
+    x, y = named.alias("x"), named.alias("y")
+    meet = F.expr("x.centre = y.centre and x.block <= y.block and abs(x.block.band - y.block.band) <= 1 and (x.block.mixed or y.block.mixed or x.block.owner <> y.block.owner)")
+    turns = hand_off(x.join(y, meet).select("x.centre", F.col("x.block").alias("lo"), F.col("y.block").alias("hi")), "turns")
+    sides = turns.withColumn("block", F.col("lo")).unionByName(turns.where("lo <> hi").withColumn("block", F.col("hi")))
+    own = dealt.join(counts, kind).withColumn("piece", F.expr("pmod(xxhash64(doc_id), blocks)")).select("centre", "doc_id", "component", block)
+    rows = own.join(sides, ["centre", "block"]).join(sets.select("doc_id", "n", "shared", "prefix", "filters"), "doc_id")
     return rows.groupBy("centre", "lo", "hi").applyInArrow(_block(percent), "u long, v long")
 
 

@@ -82,6 +82,31 @@ def test_join_in_blocks_keeps_every_link(spark, monkeypatch):
     assert len({c for _, c in want.values()}) > 3
 
 
+@pytest.mark.parametrize("percent", [60, 85, 100])
+def test_join_in_blocks_of_large_components_and_bands(spark, monkeypatch, percent):
+    """A linked group of many blocks, strangers in it, sizes over many bands, every link found by blocks."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "STAR_TURNS", 1)
+    rng = random.Random(10)
+    base = prose(90, rng)
+    rows = [(k, base + " " + prose(k % 40, rng)) for k in range(70)]
+    rows += [(100 + k, edited(base, rng.randint(1, 5), rng)) for k in range(40)]
+    rows += [(200 + k, " ".join(base.split()[: 20 + 2 * k])) for k in range(35)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_jaccard_join(docs, percent=percent).collect()}
+    assert got == brute.components(rows, 4, percent)
+
+
+def test_common_counts_the_asked_pairs_only():
+    rng = np.random.default_rng(4)
+    draw = lambda: np.unique(rng.integers(0, 40, rng.integers(1, 25)).astype(np.uint64))
+    a, b = [draw() for _ in range(9)], [draw() for _ in range(13)]
+    asked = rng.random((9, 13)) < 0.5
+    asked[3] = False
+    want = np.array([[len(np.intersect1d(x, y)) for y in b] for x in a]) * asked
+    assert (ngram_join._common(a, b, asked) == want).all()
+
+
 def test_join_on_empty_repeated_and_unnamed_rows(spark):
     assert ngram_join.ngram_jaccard_join(empty(spark)).count() == 0
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f")]
