@@ -2,6 +2,7 @@
 
     python -m shelfwise pipeline <sf_dir> <out_root>   # 19 tables as Parquet + manifest
     python -m shelfwise pipeline <csv_dir> <out_root> --csv   # the same from the five CSV files
+    python -m shelfwise pipeline <sf_dir> <out_root> --register   # and as catalog tables with statistics
     python -m shelfwise export <sf_dir> <jdbc url> [schema] [--csv]   # the 19 tables to a relational target
     python -m shelfwise query <name> <sf_dir> [n]      # show the first n rows of a query
     python -m shelfwise list                           # the query names
@@ -32,6 +33,8 @@ def main(argv: list[str]) -> int:
         rows = pipeline.run(spark, sf_dir, out_root, csv="--csv" in argv)
         spark.createDataFrame([json.dumps(r) for r in rows], "string").coalesce(1) \
             .write.mode("overwrite").text(f"{out_root}/_manifest")
+        if "--register" in argv:
+            pipeline.register(spark, out_root, rows)
         for r in rows:
             print(f"{r['tabla']}: {r['filas']} rows, {r['segundos']} s")
         return 0

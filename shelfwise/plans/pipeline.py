@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.plans import catalog as Q
 from shelfwise.sources.contract import load_sources
-from shelfwise.sources.sinks import materialize_small, require_complete, write_jdbc, write_with_manifest
+from shelfwise.sources.sinks import estimated_rows, materialize_small, register_and_analyze, require_complete, write_jdbc, write_with_manifest
 
 # Fixed values of the reference: the exported table names, in export order.
 RESULT_TABLES: dict[str, Callable[[Q.Context], DataFrame]] = {
@@ -98,6 +98,24 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, csv: bool = False) -> l
     return rows + [total]
 
 
+def register(spark: SparkSession, out_root: str, rows: list[dict]) -> dict[str, DataFrame]:
+    """The tables that ``run`` wrote as catalog tables of the current database, with statistics that the planner uses.
+
+    ``rows`` is the manifest. A table whose analyzed row count differs from what was written raises an error.
+    """
+    spark.conf.set("spark.sql.cbo.enabled", "true")  # row counts and column statistics, not file sizes alone
+    out = {}
+    for row in rows:
+        name = row["tabla"]
+        if name not in RESULT_TABLES:
+            continue
+        out[name] = register_and_analyze(spark, name, f"{out_root.rstrip('/')}/{name}")
+        counted = estimated_rows(out[name])
+        if counted != row["filas"]:
+            raise RuntimeError(f"{name}: {row['filas']} rows written, {counted} analyzed")
+    return out
+
+
 def export(spark: SparkSession, sf_dir: str, url: str, schema_name: str = "public", properties: dict | None = None, csv: bool = False,
            write: Callable[..., int] = write_jdbc) -> list[dict]:
     """Export all 19 tables to a relational target, one after the other (each is parallel in itself); the manifest rows.

@@ -136,6 +136,12 @@ def register_and_analyze(spark: SparkSession, name: str, path: str) -> DataFrame
     return spark.table(name)
 
 
+def estimated_rows(df: DataFrame) -> int | None:
+    """Rows that the planner expects of ``df``; None where it has no row count to go by."""
+    count = df._jdf.queryExecution().optimizedPlan().stats().rowCount()
+    return int(str(count.get())) if count.isDefined() else None
+
+
 # ---- relational target: identifiers and types ----------------------------------------
 
 IDENTIFIER = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")

@@ -220,3 +220,23 @@ def test_register_and_analyze(spark):
     assert "40 rows" in desc.get("Statistics", "")
     col = {r.info_name: r.info_value for r in spark.sql("DESCRIBE TABLE EXTENDED shelfwise_test_t k").collect()}
     assert col["distinct_count"] == "4" and col["max"] == "3"
+
+
+def test_written_tables_are_registered_with_the_statistics_of_their_plans(spark):
+    from shelfwise.plans import pipeline
+    root, was = _tmp(), spark.conf.get("spark.sql.cbo.enabled")
+    rows = pipeline.run(spark, SF, root)
+    try:
+        tables = pipeline.register(spark, root, rows)
+        counts = {r["tabla"]: r["filas"] for r in rows if r["tabla"] != "TOTAL"}
+        assert {name: S.estimated_rows(df) for name, df in tables.items()} == counts
+        stores = tables["ventas_por_tienda"]
+        assert S.estimated_rows(stores.where("store_nbr is null")) == 0  # from the column's statistics
+        one = S.estimated_rows(tables["transacciones_ventas_diarias"].where("store_nbr = 1"))
+        assert one == pytest.approx(counts["transacciones_ventas_diarias"] / stores.count(), rel=0.2)
+        with pytest.raises(RuntimeError, match="consolidado"):
+            pipeline.register(spark, root, [{**r, "filas": r["filas"] + 1} for r in rows])
+    finally:
+        spark.conf.set("spark.sql.cbo.enabled", was)
+        for name in pipeline.RESULT_TABLES:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
