@@ -561,9 +561,12 @@ def test_pieces_are_cut_like_one_by_one():
         assert [i for x in pieces for _, i in cut.automaton.iter_long(x.decode("latin-1"))] == cut(text)
 
 
-def test_scorer_equals_a_plain_forward_pass():
-    """One token after the other, one window after the other, without batches or tables."""
+@pytest.mark.parametrize("larger", [1, 40])
+def test_scorer_equals_a_plain_forward_pass(larger):
+    """One token after the other, one window after the other, without batches or tables; also where exponents need an offset."""
     layout, model = _model()
+    model["C"] *= larger
+    model["Q"] *= larger
     m = {k: v.astype(np.float64) for k, v in model.items()}
     rng = np.random.default_rng(8)
     for n in (1, 5, 16, 17, 40, 70):
@@ -578,7 +581,7 @@ def test_scorer_equals_a_plain_forward_pass():
             h = x[-1] + (a / a.sum()) @ (x @ m["V"])
             z = h @ m["C"] + m["b"]
             total += (z[layout.classes[token]] - z.max() - math.log(np.exp(z - z.max()).sum())) / math.log(10) + layout.share[token]
-        assert lm.Scorer(model, layout)([ids])[0] == pytest.approx(total, rel=1e-4)
+        assert lm.Scorer(model, layout)([ids])[0] == pytest.approx(total, rel=1e-4 * larger)
 
 
 # Hashes -----------------------------------------------------------------------------------------
