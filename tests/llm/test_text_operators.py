@@ -518,6 +518,17 @@ def test_windows_score_each_token_once_and_causally():
         assert sum(10 ** (after - before)) == pytest.approx(1, abs=1e-3)
 
 
+def test_the_context_tells_frequent_ids_apart():
+    """Also far behind the most frequent ids: which of two is likelier must not be the same after every context."""
+    layout = lm.Layout(20_000_000 // np.arange(1, 3001), 2999)
+    rng = np.random.default_rng(6)
+    score = lm.Scorer({k: v + rng.normal(size=v.shape).astype(np.float32) * 0.3 for k, v in layout.start().items()}, layout)
+    for one, other in ((40, 41), (300, 301), (900, 901)):
+        margins = [np.subtract(*score([np.array([*context, one]), np.array([*context, other])])) for context in ([3, 8], [700, 5])]
+        assert abs(margins[0] - margins[1]) > 1e-3
+    assert lm.CONTEXT - lm.STRIDE >= 8 and sorted(set(layout.classes.tolist())) == list(range(layout.size))
+
+
 def test_training_reads_every_token_once(spark, monkeypatch):
     rows = [(1, prose(4000)), (2, None), (3, ""), (None, prose(900)), (4, prose(30)), (4, prose(30))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
