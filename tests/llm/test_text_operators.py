@@ -595,6 +595,38 @@ def test_scorer_equals_a_plain_forward_pass(larger):
         assert lm.Scorer(model, layout)([ids])[0] == pytest.approx(total, rel=1e-4 * larger)
 
 
+def test_slots_without_a_target_get_no_class_scores(monkeypatch):
+    layout, model = _model()
+    counted = []
+    for name in ("exp", "exp2"):
+        monkeypatch.setattr(np, name, lambda z, *args, _plain=getattr(np, name), **more: counted.append(np.size(z)) or _plain(z, *args, **more))
+    texts = [np.array([k % 300]) for k in range(200)]
+    lm.Scorer(model, layout)(texts)
+    assert sum(counted) < 2 * len(texts) * (layout.size + lm.STRIDE * lm.CONTEXT)
+    counted.clear()
+    x, y, _ = lm._encode(texts, layout)
+    lm.gradients(model, x, np.where(y >= 0, layout.classes[y], -1), layout.pad)
+    assert sum(counted) < 2 * len(texts) * (layout.size + lm.STRIDE * lm.CONTEXT)
+
+
+@pytest.mark.parametrize("larger", [1, 30, 1000])
+def test_class_scores_in_blocks_equal_a_plain_softmax(larger):
+    """Also in a block that is not full, and where powers need an offset."""
+    rng = np.random.default_rng(9)
+    C, b = rng.normal(size=(lm.WIDTH, 70)) * larger, rng.normal(size=70)
+    classes = lm.Classes(C, b)
+    for n in (1, lm.BLOCK, lm.BLOCK * lm.STACK, 2 * lm.BLOCK * lm.STACK + 5):
+        h, own = rng.normal(size=(n, lm.WIDTH)), rng.integers(0, 70, n)
+        z = h @ C + b
+        z -= z.max(1, keepdims=True)
+        shares = np.exp(z) / np.exp(z).sum(1, keepdims=True)
+        contexts = classes.blocks(h)
+        logs = np.empty(contexts.shape[:2])
+        got = np.concatenate([(p / total[..., None]).reshape(-1, 70) for _, p, total in classes(contexts, logs)])[:n]
+        assert got == pytest.approx(shares, abs=1e-9)
+        assert (classes.chosen(contexts, own) - logs.reshape(-1)[:n]) * np.log(2) == pytest.approx((z - np.log(np.exp(z).sum(1, keepdims=True)))[np.arange(n), own], abs=1e-7 * larger)
+
+
 # Hashes -----------------------------------------------------------------------------------------
 
 
