@@ -12,6 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from shelfwise.llm import blocks, decontam, license_scan, lm, ngram_join, quality, suffix_dedup
@@ -546,6 +547,28 @@ def test_training_reads_every_token_once(spark, monkeypatch):
         assert sum(r["tokens"] for r in seen if r is not None and "tokens" in r) == sum(map(len, sequences))
 
 
+def test_parts_are_learned_from_in_tasks_of_their_own(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(lm, "PART_BYTES", 1000)
+    rng = random.Random(15)
+    docs = spark.createDataFrame([(k, prose(60, rng)) for k in range(60)], "doc_id long, text string")
+    cut, plain, folder = lm.cutter(PATH), lm._train, str(tmp_path)
+
+    def noted(layout, model, turn):
+        run = plain(layout, model, turn)
+
+        def note(group):
+            with open(f"{folder}/{turn} {group.column('part')[0]} {TaskContext.get().partitionId()}", "w"):
+                return run(group)
+        return note
+
+    monkeypatch.setattr(lm, "_train", noted)
+    lm.train(docs.mapInArrow(lm._cut(PATH), "doc_id long, text string, ids binary"), lm.Layout(np.ones(cut.size, np.int64), cut.end))
+    found = [x.name.split() for x in tmp_path.iterdir()]
+    for turn in {x[0] for x in found}:
+        parts, tasks = zip(*(x[1:] for x in found if x[0] == turn), strict=True)
+        assert len(parts) == len(set(parts)) == len(set(tasks)) > 4
+
+
 def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(lm, "PART_BYTES", 4000)
     rows = [(k, prose(60 + k % 50)) for k in range(60)] + [(7, prose(5)), (None, prose(9))]
